@@ -7,15 +7,33 @@ folds to: none for what is skipped, two for a letter such as sharp s under case
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 U64 = np.uint64
 #: Odd multipliers of the two hash families.
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
+#: Bytes of text that are turned into arrays at once; a longer text is taken alone, as a whole.
+SLICE_BYTES = 1 << 20
+
+
+def slices(batches: Iterable[pa.RecordBatch], *columns: int) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about SLICE_BYTES in the given text columns, so that arrays over characters stay small."""
+    for b in batches:
+        if not b.num_rows:
+            continue
+        size = sum(pc.fill_null(pc.binary_length(b.column(c)), 0).to_numpy(zero_copy_only=False).astype(np.int64) for c in columns)
+        group = (np.cumsum(size) - size) // SLICE_BYTES
+        cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), b.num_rows]
+        for s, e in zip(cuts[:-1], cuts[1:], strict=True):
+            yield b.slice(s, e - s)
+
+
 def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
     """A 64-bit finaliser: spreads small code points over all bits."""
     with np.errstate(over="ignore"):

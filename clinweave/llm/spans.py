@@ -73,7 +73,7 @@ def span_starts(codes: np.ndarray, hashes: np.ndarray, window: int) -> np.ndarra
 
 def _seed_spans(batches: Iterable[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
     powers = R.Powers(R.BASES[0])
-    for b in batches:
+    for b in R.slices(batches, 1):
         ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
         codes, ends = R.code_points(texts)
         hashes = R.window_hashes(R.mix(codes), SEED, R.BASES[0], powers)
@@ -92,7 +92,7 @@ def _seed_spans(batches: Iterable[pa.RecordBatch], least: int) -> Iterator[pa.Re
 
 def _candidate_windows(batches: Iterable[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
     powers = [R.Powers(b) for b in R.BASES]
-    for b in batches:
+    for b in R.slices(batches, 1):
         out: list[list[np.ndarray]] = [[], [], [], []]
         for i, text, spans in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
             codes, _ = R.code_points([text])
