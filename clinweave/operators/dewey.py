@@ -160,6 +160,7 @@ def child_rows(nodes: DataFrame, key: str = "file_id") -> DataFrame:
 
 def file_children(documents: DataFrame, payloads: DataFrame) -> DataFrame:
     """Children of the files of both deliveries: typed nested columns and raw JSON in several layouts."""
-    typed = nodes_of_columns(documents, "file_id", ["pairs", "synonyms", "umls_cuis"])
+    pairs = F.transform("pairs", lambda p: F.when(p.isNotNull(), F.struct(p["pair_id"].alias("pair_id"))))
+    typed = nodes_of_columns(documents.select("file_id", pairs.alias("pairs"), "synonyms", "umls_cuis"), "file_id", ["pairs", "synonyms", "umls_cuis"])
     raw = nodes_of_json(payloads, "file_id", "payload")
     return child_rows(typed.unionByName(raw))

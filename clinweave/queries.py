@@ -5,19 +5,481 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from clinweave.operators import dewey
+from clinweave.config import SplitConfig
+from clinweave.functions import ids, text, vectors
+from clinweave.operators import canonical, chunking, collection, dedup, dewey, embedding, quality, redaction, reports, splits
+from clinweave.plans.scratch import materialize
+from clinweave.sources import medquad_xml
 
 Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+
+
+def _query(f: Query) -> Query:
+    QUERIES[f.__name__] = f
+    return f
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def _records(spark: SparkSession, folder: str) -> DataFrame:
+    """canonical_records as delivered, with hashes made anew; a row without a document stands for itself."""
+    rows = _table(spark, folder, "canonical_records")
+    blank = F.lit("")
+    return rows.withColumns(
+        {
+            "file_id": F.col("row_id"),
+            "document_id": F.coalesce("document_id", "record_id"),
+            "content_sha256": text.content_hash(F.coalesce("question", blank), F.coalesce("answer", blank)),
+        }
+    )
+
+
+def _pairs(spark: SparkSession, folder: str) -> DataFrame:
+    return canonical.raw_pairs(_table(spark, folder, "medquad_documents"))
+
+
+def _files(spark: SparkSession, folder: str) -> DataFrame:
+    return reports.typed_files(_table(spark, folder, "medquad_documents"))
+
+
+def _kept(spark: SparkSession, folder: str) -> DataFrame:
+    return materialize(dedup.keep_first(materialize(_records(spark, folder), "records")), "kept")
+
+
+def _assigned(spark: SparkSession, folder: str) -> DataFrame:
+    return materialize(splits.assign(_kept(spark, folder), SplitConfig()), "assigned")
+
+
+# Sources and text functions
+
+
+@_query
+def normalize_text(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _table(spark, folder, "documents").withColumn("normalized", text.normalize_text(F.col("text")))
+    return rows.select("doc_id", "normalized", F.length("normalized").cast("long").alias("chars"), F.octet_length("normalized").cast("long").alias("utf8_bytes"), F.sha2("normalized", 256).alias("sha256"))
+
+
+@_query
+def content_hash(spark: SparkSession, folder: str) -> DataFrame:
+    return _records(spark, folder).select("row_id", "content_sha256")
+
+
+@_query
+def scan_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
+    return _pairs(spark, folder).select("file_id", "position", text.scan_fingerprint(F.col("question")).alias("question_fp"), text.scan_fingerprint(F.col("question"), F.col("answer")).alias("pair_fp"))
+
+
+@_query
+def normalized_question(spark: SparkSession, folder: str) -> DataFrame:
+    return _table(spark, folder, "canonical_records").select("row_id", text.normalized_question(F.col("question")).alias("normalized"))
+
+
+@_query
+def raw_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    return _pairs(spark, folder).select("file_id", "position", "relative_path", "collection", "document_id", "publisher", "focus", "category", "pair_id", "question_id", "question_type", "question", "answer")
+
+
+@_query
+def unique_synonyms(spark: SparkSession, folder: str) -> DataFrame:
+    rows = canonical.raw_documents(_table(spark, folder, "medquad_documents"))
+    return rows.select("file_id", F.posexplode("synonyms").alias("place", "synonym"))
+
+
+@_query
+def stable_ids(spark: SparkSession, folder: str) -> DataFrame:
+    path = F.col("relative_path")
+    record = ids.record_id(path, F.col("position"), F.col("pair_id"), F.col("question_id"))
+    return _pairs(spark, folder).select("file_id", "position", ids.document_id(path).alias("document_id"), record.alias("record_id"))
+
+
+@_query
+def xml_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    """Each delivered document written as XML of the current layout and parsed again."""
+    rows = canonical.raw_pairs(_table(spark, folder, "medquad_documents"))
+
+    def safe(c: F.Column) -> F.Column:
+        # characters that XML 1.0 has no way to write become blanks
+        c = F.regexp_replace(F.coalesce(c, F.lit("")), r"[\x{0}-\x{8}\x{b}\x{c}\x{e}-\x{1f}\x{fffe}\x{ffff}]", " ")
+        for char, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
+            c = F.replace(c, F.lit(char), F.lit(entity))
+        return c
+
+    def parts(*pieces: str | F.Column) -> F.Column:
+        return F.concat(*[F.lit(p) if isinstance(p, str) else safe(p) for p in pieces])
+
+    pair = parts('<QAPair pid="', F.col("pair_id"), '"><Question qid="', F.col("question_id"), '" qtype="', F.col("question_type"), '">', F.col("question"), "</Question><Answer>", F.col("answer"), "</Answer></QAPair>")
+    grouped = rows.groupBy("file_id", "document_id", "publisher", "focus").agg(F.array_sort(F.collect_list(F.struct("position", pair.alias("xml")))).alias("p"))
+    body = F.array_join(F.transform("p", lambda x: x["xml"]), "")
+    head = parts('<Document id="', F.col("document_id"), '" source="', F.col("publisher"), '"><Focus>', F.col("focus"), "</Focus><QAPairs>")
+    files = grouped.select("file_id", F.encode(F.concat(head, body, F.lit("</QAPairs></Document>")), "UTF-8").alias("content"))
+    parsed = medquad_xml.parse_files(files, "file_id")
+    return parsed.select("file_id", "document_id", "publisher", "focus", "parse_error", F.explode("pairs").alias("p")).select(
+        "file_id", "document_id", "publisher", "focus", "parse_error", F.col("p.position").cast("long").alias("position"), "p.pair_id", "p.question_id", "p.question_type", "p.question", "p.answer"
+    )
+
+
+@_query
+def malformed_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Payloads read as XML: none is, and each is reported without stopping the others."""
+    files = _table(spark, folder, "medquad_payloads").select("file_id", F.encode("payload", "UTF-8").alias("content"))
+    return medquad_xml.parse_files(files, "file_id").select("file_id", F.col("parse_error").isNotNull().alias("malformed"))
+
+
+@_query
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return dewey.file_children(_table(spark, folder, "medquad_documents"), _table(spark, folder, "medquad_payloads"))
 
 
-QUERIES: dict[str, Query] = {"p5_found": p5_found}
-SQL: dict[str, str] = {}
+@_query
+def p5_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    """The table of pairs with their links, from the typed deliveries."""
+    nodes = dewey.nodes_of_columns(_table(spark, folder, "medquad_documents"), "file_id", ["pairs"])
+    table = dewey.flat_table(nodes, "file_id", "pairs[]", ["pair_id", "question_id", "question_type", "question", "answer"])
+    dotted = {c: F.array_join(F.col(c).cast("array<string>"), ".") for c in ("label", "parent")}
+    return table.withColumns(dotted).withColumn("place", F.col("place").cast("long"))
+
+
+# Quality scan
+
+
+@_query
+def rejections(spark: SparkSession, folder: str) -> DataFrame:
+    rows = quality.rejections(_files(spark, folder), _pairs(spark, folder))
+    return rows.select("record_type", "file_id", "position", "relative_path", "collection", "document_id", "question_id", "pair_id", "question", F.array_join("reasons", ",").alias("reasons"), "error")
+
+
+@_query
+def collection_stats(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.collection_stats(_files(spark, folder), _pairs(spark, folder))
+
+
+@_query
+def summary_rollup(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.summary(quality.collection_stats(_files(spark, folder), _pairs(spark, folder)))
+
+
+@_query
+def question_type_histogram(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.question_type_histogram(_pairs(spark, folder))
+
+
+@_query
+def category_histogram(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.category_histogram(_files(spark, folder))
+
+
+# Redaction and canonical records
+
+
+@_query
+def pii_redact(spark: SparkSession, folder: str) -> DataFrame:
+    rows = redaction.redact_columns(_table(spark, folder, "canonical_records").select("row_id", "focus", "question", "answer"), ["focus", "question", "answer"])
+    return rows.select("row_id", "focus", "question", "answer", F.array_join(F.array_distinct(F.concat("focus_types", "question_types", "answer_types")), ",").alias("types"))
+
+
+@_query
+def canonicalize(spark: SparkSession, folder: str) -> DataFrame:
+    rows = canonical.canonicalize(_pairs(spark, folder))
+    return rows.select("file_id", "record_id", "document_id", "content_sha256", "focus", "question", "answer", "source.collection", "curation.pii_status", F.array_join("curation.pii_types", ",").alias("pii_types"))
+
+
+@_query
+def pii_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return redaction.pii_audit(_table(spark, folder, "canonical_records"))
+
+
+@_query
+def pii_findings(spark: SparkSession, folder: str) -> DataFrame:
+    found = redaction.pii_findings(_table(spark, folder, "canonical_records"))
+    return found.withColumn("detected_types", F.array_join("detected_types", ","))
+
+
+@_query
+def constraint_violations(spark: SparkSession, folder: str) -> DataFrame:
+    return canonical.constraint_violations(_table(spark, folder, "canonical_records"))
+
+
+# Duplicates, components and splits
+
+
+@_query
+def keep_first(spark: SparkSession, folder: str) -> DataFrame:
+    return dedup.keep_first(materialize(_records(spark, folder), "records")).select("row_id", "content_sha256", "record_id")
+
+
+@_query
+def duplicate_trace(spark: SparkSession, folder: str) -> DataFrame:
+    return dedup.removals(materialize(_records(spark, folder), "records"))
+
+
+@_query
+def first_records(spark: SparkSession, folder: str) -> DataFrame:
+    """The first 100 parents in canonical order: the limit of the index command."""
+    return dedup.first_records(_records(spark, folder), 100).select("row_id", "record_id")
+
+
+@_query
+def components(spark: SparkSession, folder: str) -> DataFrame:
+    return splits.document_components(_kept(spark, folder))
+
+
+@_query
+def component_split(spark: SparkSession, folder: str) -> DataFrame:
+    return _assigned(spark, folder).select("row_id", "document_id", "component", F.round(ids.split_position(F.col("component"), 42), 9).alias("position"), "split")
+
+
+@_query
+def split_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return splits.split_counts(_assigned(spark, folder))
+
+
+@_query
+def collection_split_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return splits.collection_counts(_assigned(spark, folder))
+
+
+@_query
+def leakage_report(spark: SparkSession, folder: str) -> DataFrame:
+    return splits.leakage_report(_assigned(spark, folder))
+
+
+@_query
+def prepare_summary(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole preparation from raw documents: records and documents per split."""
+    return splits.split_counts(reports.prepare(_table(spark, folder, "medquad_documents")).records)
+
+
+# Chunks, embeddings and the vector collection
+
+
+def _chunks(spark: SparkSession, folder: str) -> DataFrame:
+    return chunking.chunk_records(_records(spark, folder).withColumn("split", F.lit("train")))
+
+
+@_query
+def index_text(spark: SparkSession, folder: str) -> DataFrame:
+    blank = F.lit("")
+    return _table(spark, folder, "canonical_records").select("row_id", canonical.index_text(F.col("focus"), F.coalesce("question", blank), F.coalesce("answer", blank)).alias("index_text"))
+
+
+@_query
+def chunk_documents(spark: SparkSession, folder: str) -> DataFrame:
+    return _chunks(spark, folder).select("record_id", "parent_record_id", "chunk_index", "chunk_count", "chunk_sha256", "chunk_utf8_bytes", "text")
+
+
+@_query
+def index_summary(spark: SparkSession, folder: str) -> DataFrame:
+    return chunking.index_summary(_chunks(spark, folder))
+
+
+@_query
+def embed_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    """Chunks with hashed embeddings: their length is 1, so the squares sum to 1."""
+    rows = embedding.embed_texts(_chunks(spark, folder).select("record_id", "chunk_sha256", "text"), "text", embedding.hashing_embedder(64), 64)
+    return rows.select("record_id", "chunk_sha256", F.size("embedding").alias("dimension"), F.round(vectors.dot(F.col("embedding"), F.col("embedding")), 4).alias("squares"))
+
+
+@_query
+def cosine_distance(spark: SparkSession, folder: str) -> DataFrame:
+    """Distance of every vector to the first one."""
+    rows = _table(spark, folder, "embeddings")
+    first = rows.orderBy("vec_id").select("embedding").first()
+    reference = F.lit([float(x) for x in first.embedding] if first else [])
+    return rows.select("vec_id", F.round(vectors.cosine_distance(F.col("embedding"), reference), 6).alias("distance"))
+
+
+@_query
+def vector_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    """The five nearest of each vector whose id is divisible by 50, among all vectors."""
+    rows = _table(spark, folder, "embeddings")
+    return collection.top_k(rows.filter("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), "embedding"), rows, 5)
+
+
+@_query
+def vector_upsert(spark: SparkSession, folder: str) -> DataFrame:
+    """Every fourth vector delivered again with another label, and as many new ids."""
+    rows = _table(spark, folder, "embeddings").select("vec_id", "label")
+    again = rows.filter("vec_id % 4 = 0").select("vec_id", F.lit(-1).cast(rows.schema["label"].dataType).alias("label"))
+    fresh = rows.filter("vec_id % 4 = 0").select((-F.col("vec_id") - 1).alias("vec_id"), "label")
+    return collection.upserted(rows, again.unionByName(fresh), "vec_id")
+
+
+@_query
+def collection_count(spark: SparkSession, folder: str) -> DataFrame:
+    return _table(spark, folder, "embeddings").agg(F.count("*").alias("collection_records"))
+
+
+# The same in SQL
+
+
+def _norm(x: str) -> str:
+    return rf"trim(regexp_replace(coalesce({x}, ''), '[\s\x0b\x{{1c}}-\x{{1f}}\x{{85}}\p{{Z}}]+', ' ', 'g'))"
+
+
+def _uuid(kind: str, *parts: str) -> str:
+    name = " || ".join([f"'medquad:{kind}'", *[f"':' || coalesce({p}::VARCHAR, '')" for p in parts]])
+    h = f"sha1(unhex('{ids.NAMESPACE.replace('-', '')}') || encode({name}))"
+    return (
+        f"(substr({h}, 1, 8) || '-' || substr({h}, 9, 4) || '-5' || substr({h}, 14, 3) || '-' || substr('89ab', ('0x' || substr({h}, 17, 1))::INT % 4 + 1, 1)"
+        f" || substr({h}, 18, 3) || '-' || substr({h}, 21, 12))"
+    )
+
+
+_COLLECTION = "CASE WHEN contains(relative_path, '/') THEN split_part(relative_path, '/', 1) ELSE 'root' END"
+_RAW = f"""
+    pr AS (SELECT file_id, relative_path, {_COLLECTION} AS collection, nullif({_norm("document_id")}, '') AS document_id, nullif({_norm("publisher")}, '') AS publisher,
+        nullif({_norm("focus")}, '') AS focus, nullif({_norm("category")}, '') AS category, i AS position, nullif({_norm("p.pair_id")}, '') AS pair_id,
+        nullif({_norm("p.question_id")}, '') AS question_id, nullif({_norm("p.question_type")}, '') AS question_type, {_norm("p.question")} AS question, {_norm("p.answer")} AS answer
+        FROM (SELECT *, unnest(pairs) AS p, generate_subscripts(pairs, 1) AS i FROM medquad_documents))
+"""
+_FOLD = "replace(lower({0}), 'ß', 'ss')"
+_GOOD = "good AS (SELECT * FROM pr WHERE question <> '' AND answer <> '')"
+_STATS = f"""
+    WITH {_RAW}, {_GOOD},
+    f AS (SELECT {_COLLECTION} AS collection, count(*) AS n FROM medquad_documents GROUP BY 1),
+    c AS (SELECT collection, count(*) AS total, count(*) FILTER (question <> '' AND answer <> '') AS ok, count(*) FILTER (question = '') AS no_q, count(*) FILTER (answer = '') AS no_a FROM pr GROUP BY 1),
+    o AS (SELECT collection, row_number() OVER (PARTITION BY {_FOLD.format("question")} ORDER BY relative_path, file_id, position) AS q,
+        row_number() OVER (PARTITION BY {_FOLD.format("question")}, {_FOLD.format("answer")} ORDER BY relative_path, file_id, position) AS p FROM good),
+    d AS (SELECT collection, count(*) FILTER (q > 1) AS dq, count(*) FILTER (p > 1) AS dp FROM o GROUP BY 1),
+    stats AS (SELECT f.collection, f.n AS xml_files_discovered, f.n AS xml_files_parsed, 0::BIGINT AS malformed_files, coalesce(total, 0) AS qa_pairs_total, coalesce(ok, 0) AS qa_pairs_accepted,
+        coalesce(total - ok, 0) AS qa_pairs_rejected, coalesce(no_q, 0) AS missing_question, coalesce(no_a, 0) AS missing_answer, coalesce(dq, 0) AS duplicate_question_occurrences,
+        coalesce(dp, 0) AS duplicate_pair_occurrences FROM f LEFT JOIN c USING (collection) LEFT JOIN d USING (collection))
+"""
+_REC = """
+    rec AS (SELECT row_id, record_id, coalesce(document_id, record_id) AS document_id, question, source, sha256(coalesce(question, '') || '␟' || coalesce(answer, '')) AS sha FROM canonical_records),
+    ranked AS (SELECT *, row_number() OVER w AS rn, first_value(record_id) OVER w AS kept_record_id, first_value(document_id) OVER w AS kept_document_id FROM rec
+        WINDOW w AS (PARTITION BY sha ORDER BY coalesce(source.relative_path, ''), coalesce(source.upstream_question_id, ''), coalesce(source.upstream_pair_id, ''), record_id, row_id))
+"""
+# compatibility forms that occur in the tables: full-width letters by rule, and single characters
+_WIDE, _NARROW = "".join(chr(0xFF01 + i) for i in range(94)), "".join(chr(0x21 + i) for i in range(94)).replace("'", "''")
+_COMPAT = f"translate(replace(replace(replace(question, 'ﬁ', 'fi'), 'ﬂ', 'fl'), '…', '...'), '{_WIDE}º²³¹‑', '{_NARROW}o231‐')"
+_EQ3 = rf"regexp_replace({_norm(f"replace(lower({_COMPAT}), 'ß', 'ss')")}, ' ([?!.,;:])', '\1', 'g')"
+_COMPONENTS = f"""
+    WITH RECURSIVE {_REC}, kept AS (SELECT *, {_EQ3} AS q FROM ranked WHERE rn = 1),
+    asked AS (SELECT DISTINCT document_id AS d, q FROM kept),
+    links AS (SELECT DISTINCT x.d AS a, y.m AS b FROM asked x JOIN (SELECT q, min(d) AS m FROM asked GROUP BY q) y USING (q)),
+    edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+    reach AS (SELECT a, b FROM edges UNION SELECT r.a, e.b FROM reach r JOIN edges e ON r.b = e.a),
+    comp AS (SELECT a AS document_id, min(b) AS component FROM reach GROUP BY a),
+    placed AS (SELECT k.*, c.component, ('0x' || substr(sha256('42:' || c.component), 1, 16))::UBIGINT::DOUBLE / 18446744073709551616 AS position FROM kept k JOIN comp c USING (document_id)),
+    assigned AS (SELECT *, CASE WHEN position < 0.8 THEN 'train' WHEN position < 0.8 + 0.1 THEN 'validation' ELSE 'test' END AS split FROM placed)
+"""
+_UUID_FORMAT = "'^[0-9a-f]{8}-[0-9a-f]{4}-5[0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}$'"
+_RULES = {
+    "redacted_has_types": "curation.pii_status <> 'redacted' OR len(coalesce(curation.pii_types, [])) > 0",
+    "not_detected_has_no_types": "curation.pii_status <> 'not_detected' OR len(coalesce(curation.pii_types, [])) = 0",
+    "question_not_blank": f"{_norm('question')} <> ''",
+    "answer_not_blank": f"{_norm('answer')} <> ''",
+    "schema_version": "schema_version = '1.1'",
+    "language": "language = 'en'",
+    "dataset": "source.dataset = 'MedQuAD'",
+    "license": "source.license = 'CC-BY-4.0'",
+    "status": "curation.status = 'accepted'",
+    "record_id_format": f"regexp_matches(record_id, {_UUID_FORMAT})",
+    "document_id_format": f"regexp_matches(document_id, {_UUID_FORMAT})",
+    "content_sha256_format": "regexp_matches(content_sha256, '^[0-9a-f]{64}$')",
+    # list_distinct leaves nulls out, so they are counted by themselves
+    **{f"{c}_unique": f"len(list_distinct({c})) + CASE WHEN len({c}) > list_count({c}) THEN 1 ELSE 0 END = len({c})" for c in canonical.LISTS},
+    **{f"{c}_no_blanks": f"len(list_filter({c}, lambda v: v IS NULL OR v = '')) = 0" for c in canonical.LISTS},
+}
+_TYPES = redaction.TYPE_ORDER
+
+
+def _elements(value: str, path: str) -> str:
+    """The elements of a JSON list, a bare one as a list of one, nothing as none."""
+    kind = f"json_type({value}, '{path}')"
+    return f"(CASE WHEN {kind} = 'ARRAY' THEN json_extract({value}, '{path}[*]') WHEN {kind} IS NULL OR {kind} = 'NULL' THEN []::JSON[] ELSE [json_extract({value}, '{path}')] END)"
+
+
+def _texts(lists: str, *fields: str) -> str:
+    """Text of each element: of the first of its fields if it is an object."""
+    inner = ", ".join(f"json_extract_string(e, '$.\"{f}\"')" for f in fields)
+    return f"list_transform({lists}, lambda e: CASE WHEN json_type(e) = 'OBJECT' THEN coalesce({inner}) ELSE json_extract_string(e, '$') END)"
+
+
+_XML_PAIRS = f"list_concat({_elements('j', '$.Document.QAPairs.QAPair')}, {_elements('j', '$.doc.qaPairs.pair')})"
+_PLAIN_PAIRS = f"list_concat({_elements('j', '$.pairs')}, flatten(list_transform({_elements('j', '$.sections')}, lambda s: {_elements('s', '$.pairs')})))"
+_SYNONYMS = " || ".join(_elements("j", p) for p in ("$.synonyms", "$.meta.focus.synonyms", "$.Document.FocusAnnotations.Synonyms.Synonym", "$.doc.synonym"))
+_CUIS = " || ".join(_elements("j", p) for p in ("$.umls_cuis", "$.meta.focus.umls_cuis", "$.Document.FocusAnnotations.UMLS.CUIs.CUI", "$.doc.umls.cui"))
+
+SQL: dict[str, str] = {
+    "normalize_text": f"WITH n AS (SELECT doc_id, {_norm('text')} AS normalized FROM documents) SELECT doc_id, normalized, length(normalized) AS chars, strlen(normalized) AS utf8_bytes, sha256(normalized) AS sha256 FROM n",
+    "content_hash": "SELECT row_id, sha256(coalesce(question, '') || '␟' || coalesce(answer, '')) AS content_sha256 FROM canonical_records",
+    "scan_fingerprint": f"WITH {_RAW} SELECT file_id, position, sha256({_FOLD.format('question')}) AS question_fp, sha256({_FOLD.format('question')} || '␟' || {_FOLD.format('answer')}) AS pair_fp FROM pr",
+    "normalized_question": f"SELECT row_id, {_EQ3} AS normalized FROM canonical_records",
+    "raw_pairs": f"WITH {_RAW} SELECT * FROM pr",
+    "unique_synonyms": f"""
+        WITH s AS (SELECT file_id, {_norm("v")} AS synonym, i FROM (SELECT file_id, unnest(synonyms) AS v, generate_subscripts(synonyms, 1) AS i FROM medquad_documents)),
+        f AS (SELECT file_id, synonym, min(i) AS i FROM s WHERE synonym <> '' GROUP BY ALL)
+        SELECT file_id, synonym, row_number() OVER (PARTITION BY file_id ORDER BY i) - 1 AS place FROM f
+    """,
+    "stable_ids": f"WITH {_RAW} SELECT file_id, position, {_uuid('document', 'relative_path')} AS document_id, {_uuid('record', 'relative_path', 'position', 'pair_id', 'question_id')} AS record_id FROM pr",
+    "xml_round_trip": f"WITH {_RAW} SELECT file_id, document_id, publisher, focus, NULL::VARCHAR AS parse_error, position, pair_id, question_id, question_type, question, answer FROM pr",
+    "malformed_files": "SELECT file_id, true AS malformed FROM medquad_payloads",
+    "p5_found": f"""
+        WITH whole AS (SELECT file_id, payload::JSON AS j FROM medquad_payloads WHERE json_valid(payload)),
+        p AS (SELECT file_id, {_XML_PAIRS} || {_PLAIN_PAIRS} AS l FROM whole),
+        pairs AS (
+            SELECT file_id, i AS child_pos, coalesce(json_extract_string(e, '$.pair_id'), json_extract_string(e, '$."@pid"'), '') AS child_key
+            FROM (SELECT file_id, unnest(l) AS e, generate_subscripts(l, 1) AS i FROM p) WHERE e IS NOT NULL AND json_type(e) <> 'NULL'
+            UNION ALL SELECT file_id, i, coalesce(p.pair_id, '') FROM (SELECT file_id, unnest(pairs) AS p, generate_subscripts(pairs, 1) AS i FROM medquad_documents) WHERE p IS NOT NULL),
+        lists AS (
+            SELECT file_id, 'synonym' AS child_kind, {_texts(_SYNONYMS, "#text", "text")} AS l FROM whole UNION ALL SELECT file_id, 'cui', {_texts(_CUIS, "#text", "cui", "text")} FROM whole
+            UNION ALL SELECT file_id, 'synonym', synonyms FROM medquad_documents UNION ALL SELECT file_id, 'cui', umls_cuis FROM medquad_documents),
+        texts AS (SELECT file_id, child_kind, i AS child_pos, regexp_replace(e, '^[\\s\\p{{Z}}]+|[\\s\\p{{Z}}]+$', '', 'g') AS child_key
+            FROM (SELECT file_id, child_kind, unnest(l) AS e, generate_subscripts(l, 1) AS i FROM lists))
+        SELECT file_id, 'pair' AS child_kind, child_pos, child_key FROM pairs UNION ALL SELECT file_id, child_kind, child_pos, child_key FROM texts WHERE child_key <> ''
+    """,
+    "p5_pairs": """
+        SELECT file_id, '1.' || i AS label, '1' AS parent, i AS place, p.pair_id AS pair_id, p.question_id AS question_id, p.question_type AS question_type, p.question AS question, p.answer AS answer
+        FROM (SELECT file_id, unnest(pairs) AS p, generate_subscripts(pairs, 1) AS i FROM medquad_documents) WHERE p IS NOT NULL
+    """,
+    "rejections": f"""
+        WITH {_RAW} SELECT 'qa_pair' AS record_type, file_id, position, relative_path, collection, document_id, question_id, pair_id, nullif(question, '') AS question,
+        concat_ws(',', CASE WHEN question = '' THEN 'missing_question' END, CASE WHEN answer = '' THEN 'missing_answer' END) AS reasons, NULL::VARCHAR AS error
+        FROM pr WHERE question = '' OR answer = ''
+    """,
+    "collection_stats": _STATS + "SELECT * FROM stats",
+    "summary_rollup": _STATS + f"SELECT coalesce(collection, '(all)') AS collection, {', '.join(f'sum({c})::BIGINT AS {c}' for c in quality.COUNTERS)} FROM stats GROUP BY ROLLUP (collection)",
+    "question_type_histogram": f"WITH {_RAW}, {_GOOD} SELECT collection, coalesce(question_type, 'unknown') AS question_type, count(*) AS n_pairs FROM good GROUP BY ALL",
+    "category_histogram": f"SELECT {_COLLECTION} AS collection, coalesce(nullif({_norm('category')}, ''), 'unknown') AS category, count(*) AS n_files FROM medquad_documents GROUP BY 1, 2",
+    "pii_audit": f"""
+        SELECT '1.0' AS policy_version, count(*) AS records_scanned, {", ".join(f"count(*) FILTER (curation.pii_status = '{s}') AS status_{s}" for s in ("not_evaluated", "not_detected", "detected", "redacted"))},
+        {", ".join(f"count(*) FILTER (list_contains(curation.pii_types, '{t}')) AS type_{t}" for t in _TYPES)}, count(*) FILTER (curation.pii_status IN ('not_evaluated', 'detected')) AS unresolved FROM canonical_records
+    """,
+    "pii_findings": """
+        SELECT record_id, document_id, source.relative_path AS source_relative_path, source.upstream_pair_id AS upstream_pair_id, array_to_string(curation.pii_types, ',') AS detected_types, 'redacted' AS action
+        FROM canonical_records WHERE curation.pii_status = 'redacted'
+    """,
+    "constraint_violations": " UNION ALL ".join(f"SELECT '{name}' AS rule, count(*) FILTER (NOT coalesce({ok}, false)) AS n_violations FROM canonical_records" for name, ok in _RULES.items()),
+    "keep_first": f"WITH {_REC} SELECT row_id, sha AS content_sha256, record_id FROM ranked WHERE rn = 1",
+    "duplicate_trace": f"WITH {_REC} SELECT sha AS content_sha256, kept_record_id, kept_document_id, record_id AS dropped_record_id, document_id AS dropped_document_id FROM ranked WHERE rn > 1",
+    "first_records": """
+        SELECT row_id, record_id FROM canonical_records
+        ORDER BY coalesce(source.relative_path, ''), coalesce(source.upstream_question_id, ''), coalesce(source.upstream_pair_id, ''), record_id, row_id LIMIT 100
+    """,
+    "components": _COMPONENTS + "SELECT document_id, component FROM comp",
+    "component_split": _COMPONENTS + "SELECT row_id, document_id, component, round(position, 9) AS position, split FROM assigned",
+    "split_counts": _COMPONENTS + "SELECT s.split, count(a.row_id) AS records, count(DISTINCT a.document_id) AS documents FROM (VALUES ('train'), ('validation'), ('test')) s(split) LEFT JOIN assigned a USING (split) GROUP BY 1",
+    "collection_split_counts": _COMPONENTS + "SELECT split, source.collection AS collection, count(*) AS records FROM assigned GROUP BY 1, 2",
+    "leakage_report": _COMPONENTS
+    + " UNION ALL ".join(
+        f"SELECT '{k}' AS kind, (SELECT count(*) FROM (SELECT {v} FROM assigned GROUP BY 1 HAVING count(DISTINCT split) > 1)) AS overlap"
+        for k, v in (("document_id", "document_id"), ("record_id", "record_id"), ("content_sha256", "sha"), ("normalized_question", "q"))
+    ),
+    "index_text": "SELECT row_id, CASE WHEN focus <> '' THEN 'Medical topic: ' || focus || chr(10) ELSE '' END || 'Question: ' || coalesce(question, '') || chr(10) || 'Answer: ' || coalesce(answer, '') AS index_text FROM canonical_records",
+    "cosine_distance": "WITH r AS (SELECT CAST(embedding AS DOUBLE[]) AS v FROM embeddings ORDER BY vec_id LIMIT 1) SELECT vec_id, round(list_cosine_distance(CAST(embedding AS DOUBLE[]), r.v), 6) AS distance FROM embeddings, r",
+    "vector_top_k": """
+        WITH d AS (SELECT q.vec_id AS query_id, v.vec_id, round(list_cosine_distance(CAST(q.embedding AS DOUBLE[]), CAST(v.embedding AS DOUBLE[])), 6) AS distance
+            FROM embeddings q, embeddings v WHERE q.vec_id % 50 = 0),
+        k AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank FROM d)
+        SELECT query_id, vec_id, distance, rank FROM k WHERE rank <= 5
+    """,
+    "vector_upsert": "SELECT vec_id, CASE WHEN vec_id % 4 = 0 THEN -1 ELSE label END AS label FROM embeddings UNION ALL SELECT -vec_id - 1, label FROM embeddings WHERE vec_id % 4 = 0",
+    "collection_count": "SELECT count(*) AS collection_records FROM embeddings",
+}
