@@ -59,54 +59,84 @@ def _texts_with_grams(batches: Iterable[pa.RecordBatch], wanted: np.ndarray) ->
         )
 
 
-def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int, int]:
-    """Smith-Waterman over words: (best score, end of its passage in ``text``, start of it, longest run of equal words).
+def align(items: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Smith-Waterman over words for many pairs at once: best scores, starts and ends of their passages, longest runs of equal words.
 
-    The score's row over the item is computed at once; a gap along the row costs GAP a word, so a running maximum
-    of ``score - GAP * place`` gives the best gap into each place.
+    ``items`` and ``texts`` have a row of word hashes per pair, padded with 0 and 1, which equal nothing. The score row
+    over the item is computed at once; a gap along it costs GAP a word, so a running maximum of
+    ``score - GAP * place`` gives the best gap into each place.
     """
-    n = len(item)
+    pairs, n = items.shape
     steps = np.arange(n + 1) * -GAP
-    row, run = np.zeros(n + 1, np.int64), np.zeros(n + 1, np.int64)
-    origin = np.zeros(n + 1, np.int64)
-    best, best_end, best_start, longest = 0, 0, 0, 0
-    for i, word in enumerate(text):
-        equal = item == word
-        fresh = np.zeros(n + 1, np.int64)
-        fresh[1:] = row[:-1] + np.where(equal, MATCH, MISMATCH)
-        from_above = row + GAP
-        came = np.concatenate([[i], np.where(row[:-1] > 0, origin[:-1], i)])
-        came = np.where(from_above > fresh, origin, came)
-        fresh = np.maximum(np.maximum(fresh, from_above), 0)
-        lifted = fresh + steps
-        top = np.maximum.accumulate(lifted)
-        leader = np.maximum.accumulate(np.where(lifted == top, np.arange(n + 1), 0))
-        came = came[leader]
-        row = np.maximum(top - steps, 0)
-        origin = np.where(row > 0, came, i + 1)
-        grown = np.zeros(n + 1, np.int64)
-        grown[1:] = np.where(equal, run[:-1] + 1, 0)
+    rows, places = np.arange(pairs), np.arange(n + 1)
+    row, run, origin = (np.zeros((pairs, n + 1), np.int32) for _ in range(3))
+    best, start, end, longest = (np.zeros(pairs, np.int32) for _ in range(4))
+    for i in range(texts.shape[1]):
+        equal = items == texts[:, i : i + 1]
+        fresh = np.zeros_like(row)
+        fresh[:, 1:] = row[:, :-1] + np.where(equal, MATCH, MISMATCH)
+        came = np.full_like(origin, i)
+        came[:, 1:] = np.where(row[:, :-1] > 0, origin[:, :-1], i)
+        came = np.where(row + GAP > fresh, origin, came)
+        lifted = np.maximum(np.maximum(fresh, row + GAP), 0) + steps
+        top = np.maximum.accumulate(lifted, axis=1)
+        leader = np.maximum.accumulate(np.where(lifted == top, places, 0), axis=1)
+        row = np.maximum(top - steps, 0).astype(np.int32)
+        origin = np.where(row > 0, np.take_along_axis(came, leader, 1), i + 1).astype(np.int32)
+        grown = np.zeros_like(run)
+        grown[:, 1:] = np.where(equal, run[:, :-1] + 1, 0)
         run = grown
-        longest = max(longest, int(run.max()))
-        if row.max() > best:
-            best, best_end = int(row.max()), i + 1
-            best_start = int(origin[int(row.argmax())])
-    return best, best_end, best_start, longest
+        longest = np.maximum(longest, run.max(axis=1))
+        at = row.argmax(axis=1)
+        better = row[rows, at] > best
+        best = np.where(better, row[rows, at], best)
+        end = np.where(better, i + 1, end)
+        start = np.where(better, origin[rows, at], start)
+    return best, start, end, longest
+
+
+def _passages(item: np.ndarray, text: np.ndarray, powers: R.Powers) -> list[tuple[int, int]]:
+    """Stretches of the text around the n-grams it shares with the item, twice the item's length to each side."""
+    own = np.unique(R.window_hashes(item, GRAM, R.BASES[1], powers))
+    at = np.flatnonzero(np.isin(R.window_hashes(text, GRAM, R.BASES[1], powers), own))
+    out: list[tuple[int, int]] = []
+    for p in at.tolist():
+        lo, hi = max(0, p - 2 * len(item)), min(len(text), p + GRAM + 2 * len(item))
+        if out and lo <= out[-1][1]:
+            out[-1] = (out[-1][0], hi)
+        else:
+            out.append((lo, hi))
+    return out
+
+
+#: Words of padded text that are aligned at once.
+ALIGNED_AT_ONCE = 1 << 15
 
 
 def _align_all(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    words = WordHasher()
+    words, powers = WordHasher(), R.Powers(R.BASES[1])
     for b in R.slices(batches, 1, 3):
         doc, doc_ends = words(b.column(1).to_pylist())
         item, item_ends = words(b.column(3).to_pylist())
-        rows = [align(item[item_ends[i] : item_ends[i + 1]], doc[doc_ends[i] : doc_ends[i + 1]]) for i in range(b.num_rows)]
-        score, end, start, longest = (list(x) for x in zip(*rows, strict=True)) if rows else ([], [], [], [])
-        sizes = np.diff(item_ends).tolist()
+        items = [item[s:e] for s, e in zip(item_ends[:-1], item_ends[1:], strict=True)]
+        texts = [doc[s:e] for s, e in zip(doc_ends[:-1], doc_ends[1:], strict=True)]
+        jobs = sorted((hi - lo, r, lo) for r in range(b.num_rows) for lo, hi in _passages(items[r], texts[r], powers))
+        score, start, end, longest = (np.zeros(b.num_rows, np.int32) for _ in range(4))
+        while jobs:
+            width = jobs[-1][0]
+            take, jobs = jobs[-max(1, ALIGNED_AT_ONCE // width) :], jobs[: -max(1, ALIGNED_AT_ONCE // width)]
+            left = np.zeros((len(take), max(len(items[r]) for _, r, _ in take)), np.uint64)
+            right = np.ones((len(take), width), np.uint64)
+            for k, (size, r, lo) in enumerate(take):
+                left[k, : len(items[r])] = items[r]
+                right[k, :size] = texts[r][lo : lo + size]
+            for (_, r, lo), s, f, t, n in zip(take, *align(left, right), strict=True):
+                longest[r] = max(longest[r], n)
+                if s > score[r]:
+                    score[r], start[r], end[r] = s, lo + f, lo + t
+        most = MATCH * np.maximum(np.diff(item_ends), 1)
         yield pa.RecordBatch.from_arrays(
-            [
-                b.column(0), b.column(2), pa.array(score, pa.int32()), pa.array([s / (MATCH * n) if n else 0.0 for s, n in zip(score, sizes, strict=True)], pa.float64()),
-                pa.array(start, pa.int32()), pa.array(end, pa.int32()), pa.array(longest, pa.int32()),
-            ],
+            [b.column(0), b.column(2), *(pa.array(x, t) for x, t in ((score, pa.int32()), (score / most, pa.float64()), (start, pa.int32()), (end, pa.int32()), (longest, pa.int32())))],
             names=["doc_id", "item_id", "score", "share", "word_start", "word_end", "run_words"],
         )
 
@@ -116,7 +146,7 @@ def alignments(documents: DataFrame, items: DataFrame, run: int = 12) -> DataFra
 
     ``documents`` needs doc_id and text, ``items`` item_id and item_text; other columns are ignored. Every pair that
     shares ``run`` consecutive words is among the candidates: each stretch of ``run`` words of an item has a seed
-    in it, the n-gram of the stretch that fewest texts hold, and all texts with a seed are aligned as wholes.
+    in it, the n-gram of the stretch that fewest texts hold. A candidate is aligned around every n-gram it shares with the item.
     Words are runs of letters and digits in lower case. Null or short texts on either side give no candidate.
     """
     if run < GRAM:
