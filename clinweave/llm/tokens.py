@@ -59,6 +59,12 @@ def _int_lists(lists: list) -> pa.Array:
     return pa.array(lists, pa.list_(pa.int32()))
 
 
+def _list_ends(lists: pa.Array) -> np.ndarray:
+    ends = np.zeros(len(lists) + 1, np.int64)
+    np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False), out=ends[1:])
+    return ends
+
+
 def _look_up(batches: Iterable[pa.RecordBatch], words: pa.Array, ids: pa.ListArray) -> Iterator[pa.RecordBatch]:
     """ids of each text, the number of ids at each place, and the places and words that the table lacks."""
     id_ends = ids.offsets.to_numpy()
@@ -67,8 +73,7 @@ def _look_up(batches: Iterable[pa.RecordBatch], words: pa.Array, ids: pa.ListArr
     for b in batches:
         lists = b.column(1)
         flat = lists.flatten()
-        ends = np.zeros(len(lists) + 1, np.int64)
-        np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False), out=ends[1:])
+        ends = _list_ends(lists)
         at = pc.fill_null(pc.index_in(flat, value_set=words), -1).to_numpy(zero_copy_only=False).astype(np.int64)
         known = at >= 0
         sizes = np.where(known, id_sizes[at], 0)
@@ -96,15 +101,20 @@ def _look_up(batches: Iterable[pa.RecordBatch], words: pa.Array, ids: pa.ListArr
 def _fill_in(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Puts the ids of the joined words into their places."""
     for b in batches:
-        out = []
-        for ids, sizes, found in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
-            late = {x["place"]: x["ids"] for x in found}
-            row, at = [], 0
-            for place, size in enumerate(sizes):
-                row.extend(ids[at : at + size] if size else late.get(place, ()))
-                at += size
-            out.append(row)
-        yield pa.RecordBatch.from_arrays([b.column(0), _int_lists(out)], names=["doc_id", "ids"])
+        sizes = b.column(2).flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        word_ends, late_ends = _list_ends(b.column(2)), _list_ends(b.column(3))
+        late = b.column(3).flatten()
+        late_ids, places = late.field("ids"), late.field("place").to_numpy(zero_copy_only=False).astype(np.int64)
+        at = places + np.repeat(word_ends[:-1], np.diff(late_ends))
+        all_sizes = sizes.copy()
+        all_sizes[at] = np.diff(_list_ends(late_ids))
+        starts = np.zeros(len(sizes) + 1, np.int64)
+        np.cumsum(all_sizes, out=starts[1:])
+        out = np.zeros(int(starts[-1]), np.int32)
+        for values, where, n in ((b.column(1).flatten(), starts[:-1], sizes), (late_ids.flatten(), starts[at], all_sizes[at])):
+            before = np.cumsum(n) - n
+            out[np.repeat(where - before, n) + np.arange(int(n.sum()))] = values.to_numpy(zero_copy_only=False)
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(starts[word_ends], pa.int32()), pa.array(out))], names=["doc_id", "ids"])
 
 
 def encode_corpus(documents: DataFrame, ranks: dict[bytes, int] | None = None) -> DataFrame:
@@ -162,8 +172,7 @@ def decode_corpus(encoded: DataFrame, ranks: dict[bytes, int] | None = None) ->
 
     def decode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ends = np.zeros(b.num_rows + 1, np.int64)
-            np.cumsum(pc.list_value_length(b.column(1)).to_numpy(zero_copy_only=False), out=ends[1:])
+            ends = _list_ends(b.column(1))
             found = pa.LargeListArray.from_arrays(pa.array(ends), shared.value.take(b.column(1).flatten()))
             joined = [b"".join(x).decode("utf-8", "replace") for x in found.to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(joined, pa.string())], names=["doc_id", "text"])
