@@ -97,7 +97,7 @@ def discover(spark: SparkSession, root: str) -> DataFrame:
     base = fs.resolvePath(path).toUri().getPath().rstrip("/")
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.xml").load(root)
     full = F.regexp_replace("path", r"^[a-z0-9]+:(//[^/]*)?", "")
-    files = files.select(F.url_decode(F.replace(F.substring(full, F.lit(len(base) + 2), F.length(full)), F.lit("+"), F.lit("%2B"))).alias("relative_path"), "content")
+    files = files.select(F.substring(full, F.lit(len(base) + 2), F.length(full)).alias("relative_path"), "content")
     if files.isEmpty():
         raise ScanError("the source has no XML file")
     return files
