@@ -37,11 +37,14 @@ CONDITIONS = frozenset(
     " arthritis diabetes hepatitis carcinoma sarcoma lymphoma leukemia".split()
 )
 
-FINGERPRINT = "row_id bigint, k1 bigint, k2 bigint, words array<bigint>, tokens array<bigint>, chunks array<bigint>, sizes array<int>"
+# Words before a condition that are no part of its name.
+SMALL_WORDS = frozenset("of with to about the a an and or is in for from said has have make confirm explain getting signs think".split())
+
+FINGERPRINT = "row_id bigint, k1 bigint, k2 bigint, kw bigint, tokens array<bigint>, chunks array<bigint>, sizes array<int>"
 
 
 def _fingerprints(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per row: a key of its letters and digits alone, its word hashes, the same made distinct, coarse chunk digests and their words."""
+    """Per row: a key of its letters and digits alone, one of its words in order, its fine chunks made distinct, coarse chunk digests and their words."""
     hasher, powers = WordHasher(), R.Powers(R.BASES[1])
     folds = [R.FoldTable(lower_counting, b, seed + 11) for seed, b in enumerate(R.BASES)]
     fold_powers = [R.Powers(b) for b in R.BASES]
@@ -58,7 +61,9 @@ def _fingerprints(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         rolled = np.zeros(len(hashes), np.uint64)
         pair = R.window_hashes(hashes, 2, R.BASES[1], powers)
         rolled[1 : len(pair) + 1] = pair
-        words, tokens, chunks, sizes = [], [], [], []
+        order = R.stretch_hashes(hashes, np.arange(len(hashes)) - np.repeat(ends[:-1], np.diff(ends)), ends[:-1], ends[1:], powers)
+        keys.append(R.mix(order, 5))
+        tokens, chunks, sizes = [], [], []
         with np.errstate(over="ignore"):
             for s, e in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
                 own = hashes[s:e]
@@ -71,15 +76,14 @@ def _fingerprints(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                     cut[0], cut[-1] = False, True
                 stop = np.flatnonzero(cut) + 1
                 start = np.concatenate([[0], stop[:-1]]).astype(np.int64)[: len(stop)]
-                words.append(R.signed(own))
                 tokens.append(R.signed(R.mix(own + nth * np.uint64(0x9E3779B97F4A7C15))))
                 places = np.arange(e - s) - np.repeat(start, stop - start)
                 chunks.append(R.signed(R.mix(R.stretch_hashes(own, places, start, stop, powers), 3)))
                 sizes.append((stop - start).astype(np.int32))
         longs = pa.list_(pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [b.column(0), *(pa.array(R.signed(R.mix(k))) for k in keys), pa.array(words, longs), pa.array(tokens, longs), pa.array(chunks, longs), pa.array(sizes, pa.list_(pa.int32()))],
-            names=["row_id", "k1", "k2", "words", "tokens", "chunks", "sizes"],
+            [b.column(0), *(pa.array(R.signed(R.mix(k))) for k in keys), pa.array(tokens, longs), pa.array(chunks, longs), pa.array(sizes, pa.list_(pa.int32()))],
+            names=["row_id", "k1", "k2", "kw", "tokens", "chunks", "sizes"],
         )
 
 
@@ -149,14 +153,18 @@ def _alike(a: str, b: str) -> bool:
 
 
 def _condition_names(words: list[str]) -> list[tuple[str, list[str]]]:
-    return [(w, words[max(0, i - 2) : i]) for i, w in enumerate(words) if w in CONDITIONS]
+    return [(w, [x for x in words[max(0, i - 2) : i] if x not in SMALL_WORDS]) for i, w in enumerate(words) if w in CONDITIONS]
 
 
 def other_conditions(a: list[str], b: list[str]) -> bool:
-    """Whether both texts name conditions but have none in common (the same head, and a name word alike if both have one)."""
+    """Whether both texts name conditions but none in common: each name then has a head or a word that the other text lacks."""
+
+    def same(head: str, names: list[str], head2: str, names2: list[str]) -> bool:
+        lacks = (all(any(_alike(x, y) for y in text) for x in words) for words, text in ((names, b), (names2, a)))
+        return head == head2 and any(lacks)
+
     one, two = _condition_names(a), _condition_names(b)
-    alike = (h == h2 and (not (n and n2) or any(_alike(x, y) for x in n for y in n2)) for h, n in one for h2, n2 in two)
-    return bool(one and two) and not any(alike)
+    return bool(one and two) and not any(same(h, n, h2, n2) for h, n in one for h2, n2 in two)
 
 
 def _near(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,19 +198,19 @@ def cross_split_pairs(records: DataFrame, splits: DataFrame) -> DataFrame:
     Same: equal letters and digits once case, punctuation, spacing and compatibility forms are gone. Nearly: at
     most one word in TOLERANCE of the longer question changed, added, dropped or exchanged with its neighbour, and
     the conditions named are not different ones. The smaller row id comes first. Rows without an assignment, and
-    questions that are null or without any letter or digit, take no part. Repeated questions are compared once, as
-    one class; its rows appear only in the final pairs. Empty tables give no pairs.
+    questions that are null or without any letter or digit, take no part. Questions of the same words are compared
+    once, as one class; its rows appear only in the final pairs. Empty tables give no pairs.
     """
     rows = materialize(_assigned(records, splits).filter("question is not null"), "assigned")
-    prints = rows.select("row_id", "question").mapInArrow(_fingerprints, FINGERPRINT).filter(F.size("words") > 0)
-    keyed = prints.select("row_id", "k1", "k2", "tokens").join(rows.select("row_id", (F.col("split_name") == "train").alias("train")), "row_id")
+    prints = rows.select("row_id", "question").mapInArrow(_fingerprints, FINGERPRINT).filter(F.size("tokens") > 0)
+    keyed = prints.select("row_id", "k1", "k2", "kw", "tokens").join(rows.select("row_id", (F.col("split_name") == "train").alias("train")), "row_id")
     keyed = materialize(keyed, "question-keys")
     total = keyed.count()
-    sizes = keyed.groupBy("k1", "k2").agg(
+    sizes = keyed.groupBy("k1", "k2", "kw").agg(
         F.min("row_id").alias("rep"), F.count("*").alias("n"), F.bool_or("train").alias("has_train"), F.bool_or(~F.col("train")).alias("has_eval")
     )
     sizes = materialize(sizes, "question-classes")
-    members = join_by_key_stats(keyed.select("row_id", "k1", "k2", "train"), sizes.select("k1", "k2", "rep", "n"), ["k1", "k2"], "n", total)
+    members = join_by_key_stats(keyed.select("row_id", "k1", "k2", "kw", "train"), sizes.select("k1", "k2", "kw", "rep", "n"), ["k1", "k2", "kw"], "n", total)
     members = materialize(members.select("rep", "row_id", "train", "n"), "question-members")
     classes = materialize(keyed.select(F.col("row_id").alias("rep"), "tokens").join(sizes.select("rep", "has_train", "has_eval"), "rep"), "class-tokens")
 
@@ -230,8 +238,9 @@ def cross_split_pairs(records: DataFrame, splits: DataFrame) -> DataFrame:
         .select("a", "b", "qa", "qb")
         .mapInArrow(_near, "a bigint, b bigint")
     )
-    both = sizes.filter("has_train and has_eval").select(F.col("rep").alias("a"), F.col("rep").alias("b"))
-    links = materialize(close.unionByName(both), "question-links")
+    # classes with the same letters and digits in other words, each class with itself among them
+    both = sizes.filter("has_train").select("k1", "k2", F.col("rep").alias("a")).join(sizes.filter("has_eval").select("k1", "k2", F.col("rep").alias("b")), ["k1", "k2"]).select("a", "b")
+    links = materialize(close.unionByName(both).distinct(), "question-links")
     left = members.filter("train").select(F.col("rep").alias("a"), F.col("row_id").alias("t"))
     right = members.filter("not train").select(F.col("rep").alias("b"), F.col("row_id").alias("e"))
     return links.join(left, "a").join(right, "b").select(F.least("t", "e").alias("row_id_a"), F.greatest("t", "e").alias("row_id_b"))

@@ -69,17 +69,18 @@ def _look_up(batches: Iterable[pa.RecordBatch], words: pa.Array, ids: pa.ListArr
     """ids of each text, the number of ids at each place, and the places and words that the table lacks."""
     id_ends = ids.offsets.to_numpy()
     id_values = ids.values.to_numpy(zero_copy_only=False)
-    id_starts, id_sizes = id_ends[:-1].astype(np.int64), np.diff(id_ends).astype(np.int64)
+    # one more entry, without ids, for words that the table lacks
+    id_starts, id_sizes = np.append(id_ends[:-1], 0).astype(np.int64), np.append(np.diff(id_ends), 0).astype(np.int64)
     for b in batches:
         lists = b.column(1)
         flat = lists.flatten()
         ends = _list_ends(lists)
         at = pc.fill_null(pc.index_in(flat, value_set=words), -1).to_numpy(zero_copy_only=False).astype(np.int64)
         known = at >= 0
-        sizes = np.where(known, id_sizes[at], 0)
+        sizes = id_sizes[at]
         after = np.zeros(len(sizes) + 1, np.int64)
         np.cumsum(sizes, out=after[1:])
-        take = np.repeat(np.where(known, id_starts[at], 0) - after[:-1], sizes) + np.arange(after[-1])
+        take = np.repeat(id_starts[at] - after[:-1], sizes) + np.arange(after[-1])
         missing = np.flatnonzero(~known)
         doc_of = np.searchsorted(ends, missing, side="right") - 1
         n_missing = np.zeros(len(lists) + 1, np.int64)
