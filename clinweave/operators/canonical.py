@@ -46,11 +46,11 @@ def accepted(pairs: DataFrame) -> DataFrame:
 def canonicalize(pairs: DataFrame, repository: str | None = None, revision: str | None = None) -> DataFrame:
     """Canonical records of the accepted pairs, redacted before hashing. ``file_id`` is kept as the last order key."""
     rows = redact_columns(accepted(pairs), ["focus", "question", "answer"])
-    synonyms = F.transform("synonyms", redact)
-    types = F.flatten(F.transform("synonyms", lambda s: detected_types(s, redact(s))))
-    changed = synonyms != F.col("synonyms")
-    found = F.array_distinct(F.concat("focus_types", "question_types", "answer_types", F.when(changed, types).otherwise(F.array().cast("array<string>"))))
-    rows = rows.withColumns({"synonyms": synonyms, "pii_types": found})
+    # each synonym beside its redaction, so that the rules stand in the plan once
+    rows = rows.select("*", F.transform("synonyms", lambda s: F.struct(s.alias("s"), redact(s).alias("r"))).alias("_synonyms"))
+    types = F.flatten(F.transform("_synonyms", lambda x: detected_types(x["s"], x["r"])))
+    found = F.array_distinct(F.concat("focus_types", "question_types", "answer_types", types))
+    rows = rows.withColumns({"synonyms": F.col("_synonyms.r"), "pii_types": found})
     some = F.size("pii_types") > 0
     path = F.col("relative_path")
     return rows.select(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clinweave.plans.scratch import materialize
-from clinweave.plans.skew import join_by_key_stats
+from clinweave.plans.skew import hot_rows, join_by_key_stats
 
 
 def _star(edges: DataFrame, total: int, large: bool) -> DataFrame:
@@ -14,9 +14,10 @@ def _star(edges: DataFrame, total: int, large: bool) -> DataFrame:
     around = edges.select("u", "v")
     if large:
         around = around.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    around = materialize(around, "star")
-    least = materialize(around.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).withColumn("m", F.least("m", "u")), "star-least")
-    told = join_by_key_stats(around, least, ["u"], "n", 2 * total)
+    large_input = 2 * total > hot_rows(2 * total)  # only then are both sides read twice
+    around = materialize(around, "star") if large_input else around
+    least = around.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).withColumn("m", F.least("m", "u"))
+    told = join_by_key_stats(around, materialize(least, "star-least") if large_input else least, ["u"], "n", 2 * total)
     if large:
         new = told.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
