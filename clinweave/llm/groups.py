@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clinweave.plans.scratch import materialize
-from clinweave.plans.skew import join_by_key_stats
+from clinweave.plans.skew import hot_rows, join_by_key_stats
 
 #: A component with at least this share of the rows is placed by itself; there are 1 / HEAVY_SHARE at most.
 HEAVY_SHARE = 0.002
@@ -38,7 +38,9 @@ def hash_to_min(links: DataFrame, most_rounds: int = 60) -> DataFrame:
 
     before = state(clusters)
     for _ in range(most_rounds):
-        lowest = materialize(clusters.groupBy("v").agg(F.min("u").alias("m"), F.count("*").alias("n")), "lowest")
+        lowest = clusters.groupBy("v").agg(F.min("u").alias("m"), F.count("*").alias("n"))
+        if before[0] > hot_rows(before[0]):  # only then is it read twice
+            lowest = materialize(lowest, "lowest")
         told = join_by_key_stats(clusters, lowest, ["v"], "n", before[0])
         sent = told.select(F.explode(F.array(F.struct(F.col("m").alias("v"), F.col("u")), F.struct(F.col("u").alias("v"), F.col("m").alias("u")))).alias("p"))
         clusters = materialize(sent.select("p.v", "p.u").distinct(), "clusters")
