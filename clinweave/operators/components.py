@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clinweave.plans.scratch import materialize
+from clinweave.plans.scratch import materialize, release
 from clinweave.plans.skew import hot_rows, join_by_key_stats
 
 
@@ -35,7 +35,10 @@ def connected_components(links: DataFrame, most_rounds: int = 40) -> DataFrame:
 
     before = state(edges)
     for _ in range(most_rounds):
-        edges = materialize(_star(materialize(_star(edges, before[0], True), "edges"), before[0], False), "edges")
+        half = materialize(_star(edges, before[0], True), "edges")
+        release(edges)
+        edges = materialize(_star(half, before[0], False), "edges")
+        release(half)
         after = state(edges)
         if after == before:
             break

@@ -47,4 +47,12 @@ def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     path = f"{shared_folder(spark)}/clinweave-{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     atexit.register(_drop, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch_path = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Removes tables made by ``materialize`` now. Only for tables from which nothing is still to be computed."""
+    for df in tables:
+        _drop(df.sparkSession, df._scratch_path)
