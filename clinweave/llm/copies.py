@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clinweave.llm import rolling as R
-from clinweave.plans.scratch import materialize
+from clinweave.plans.scratch import materialize, release
 from clinweave.plans.skew import join_by_key_stats
 
 KEYS = T.StructType([T.StructField(n, T.LongType(), False) for n in ("row_id", "k1", "k2")])
@@ -84,8 +84,8 @@ def _compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(same, pa.bool_())], names=["first_row_id", "row_id", "same"])
 
 
-def _groups(texts: DataFrame, salt: int) -> tuple[DataFrame, DataFrame]:
-    """Members (first_row_id, row_id, same) of each key with more than one row, and the keys' sizes."""
+def _groups(texts: DataFrame, salt: int) -> DataFrame:
+    """Members (first_row_id, row_id, same) of each key with more than one row."""
     keys = materialize(texts.mapInArrow(lambda it: pair_keys(it, salt), KEYS), "copy-keys")
     total = keys.count()
     sizes = materialize(keys.groupBy("k1", "k2").agg(F.min("row_id").alias("first_row_id"), F.count("*").alias("n")).filter("n > 1"), "copy-sizes")
@@ -93,9 +93,12 @@ def _groups(texts: DataFrame, salt: int) -> tuple[DataFrame, DataFrame]:
     members = materialize(members, "copy-members")
     mine = members.join(texts, "row_id")
     reps = sizes.join(texts.withColumnsRenamed({"row_id": "first_row_id", "question": "rq", "answer": "ra"}), "first_row_id").select("first_row_id", "n", "rq", "ra")
-    both = join_by_key_stats(materialize(mine, "copy-texts"), materialize(reps, "copy-reps"), ["first_row_id"], "n", total)
+    mine, reps = materialize(mine, "copy-texts"), materialize(reps, "copy-reps")
+    both = join_by_key_stats(mine, reps, ["first_row_id"], "n", total)
     checked = both.select("first_row_id", "row_id", "question", "answer", "rq", "ra").mapInArrow(_compare, "first_row_id bigint, row_id bigint, same boolean")
-    return materialize(checked, "copy-checked"), sizes
+    checked = materialize(checked, "copy-checked")
+    release(keys, sizes, members, mine, reps)
+    return checked
 
 
 def find_copies(records: DataFrame, most_rounds: int = 4) -> DataFrame:
@@ -107,13 +110,13 @@ def find_copies(records: DataFrame, most_rounds: int = 4) -> DataFrame:
     grouped again under other multipliers, ``most_rounds`` times at most.
     """
     texts = records.select(F.col("row_id").cast("long").alias("row_id"), "question", "answer")
-    checked, _ = _groups(texts, 0)
+    checked = _groups(texts, 0)
     out = checked.filter("same").select("first_row_id", "row_id")
     for salt in range(1, most_rounds):
         rest = checked.filter("not same").select("row_id")
         if rest.isEmpty():
             break
-        checked, _ = _groups(texts.join(rest, "row_id", "left_semi"), salt)
+        checked = _groups(texts.join(rest, "row_id", "left_semi"), salt)
         out = out.unionByName(checked.filter("same").select("first_row_id", "row_id"))
     return out
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clinweave.plans.scratch import materialize
+from clinweave.plans.scratch import materialize, release
 from clinweave.plans.skew import join_by_key_stats
 
 #: A component with at least this share of the rows is placed by itself; there are 1 / HEAVY_SHARE at most.
@@ -41,7 +41,9 @@ def hash_to_min(links: DataFrame, most_rounds: int = 60) -> DataFrame:
         lowest = materialize(clusters.groupBy("v").agg(F.min("u").alias("m"), F.count("*").alias("n")), "lowest")
         told = join_by_key_stats(clusters, lowest, ["v"], "n", before[0])
         sent = told.select(F.explode(F.array(F.struct(F.col("m").alias("v"), F.col("u")), F.struct(F.col("u").alias("v"), F.col("m").alias("u")))).alias("p"))
-        clusters = materialize(sent.select("p.v", "p.u").distinct(), "clusters")
+        fresh = materialize(sent.select("p.v", "p.u").distinct(), "clusters")
+        release(clusters, lowest)
+        clusters = fresh
         after = state(clusters)
         if after == before:
             break

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from clinweave.llm import rolling as R
 from clinweave.llm.words import WordHasher, lower_counting, plain
-from clinweave.plans.scratch import materialize
+from clinweave.plans.scratch import materialize, release
 from clinweave.plans.skew import join_by_key_stats
 
 #: Words of a coarse chunk on average (a power of two), and words that one edit in TOLERANCE allows.
@@ -241,6 +241,7 @@ def cross_split_pairs(records: DataFrame, splits: DataFrame) -> DataFrame:
     # classes with the same letters and digits in other words, each class with itself among them
     both = sizes.filter("has_train").select("k1", "k2", F.col("rep").alias("a")).join(sizes.filter("has_eval").select("k1", "k2", F.col("rep").alias("b")), ["k1", "k2"]).select("a", "b")
     links = materialize(close.unionByName(both).distinct(), "question-links")
+    release(rows, keyed, sizes, classes, tokens, counts, keys, candidates)
     left = members.filter("train").select(F.col("rep").alias("a"), F.col("row_id").alias("t"))
     right = members.filter("not train").select(F.col("rep").alias("b"), F.col("row_id").alias("e"))
     return links.join(left, "a").join(right, "b").select(F.least("t", "e").alias("row_id_a"), F.greatest("t", "e").alias("row_id_b"))

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clinweave.llm import rolling as R
-from clinweave.plans.scratch import materialize
+from clinweave.plans.scratch import materialize, release
 from clinweave.plans.skew import join_by_key_stats
 
 SEED = 100
@@ -150,7 +150,8 @@ def shared_spans(documents: DataFrame, least: int = 200) -> DataFrame:
     searched = texts.join(materialize(places, "span-places"), "doc_id").select("doc_id", "text", "spans")
     windows = materialize(searched.mapInArrow(lambda it: _candidate_windows(it, least), "doc_id bigint, h bigint, g bigint, p int"), "windows")
     starts = _repeated(windows, ["h", "g"], "window-hashes").join(copies.select("doc_id"), "doc_id", "left_anti").groupBy("doc_id").agg(F.collect_list("p").alias("starts"))
-    found = starts.mapInArrow(lambda it: _stretches(it, least), "doc_id bigint, span_start bigint, span_end bigint")
+    found = materialize(starts.mapInArrow(lambda it: _stretches(it, least), "doc_id bigint, span_start bigint, span_end bigint"), "stretches")
+    release(seeds, windows)
     return ends.unionByName(found)
 
 
