@@ -23,17 +23,22 @@ from clinweave.plans.scratch import materialize, release
 from clinweave.plans.skew import join_by_key_stats
 
 SEED = 100
-#: Characters that end a sentence when white space or another of them follows.
-ENDERS = ".!?\n\r。！？"
-
-
-def _sentence_starts(codes: np.ndarray) -> np.ndarray:
-    """Mask of places that follow an ender and white space (or a line end)."""
-    ender = np.isin(codes, np.array([ord(c) for c in ENDERS], np.uint32))
-    space = np.isin(codes, np.array([9, 10, 13, 32, 160], np.uint32))
+#: Characters that end a sentence when white space follows, those that end a line, and white space.
+ENDERS, LINE_ENDS, SPACES = ".!?\n\r。！？", "\n\r", "\t\n\r \xa0"
+_ENDER, _LINE_END, _SPACE = 1, 2, 4
+_KINDS = np.zeros(0x110000, np.uint8)
+for _chars, _kind in ((ENDERS, _ENDER), (LINE_ENDS, _LINE_END), (SPACES, _SPACE)):
+    _KINDS[[ord(c) for c in _chars]] |= _kind
+
+
+def _sentence_starts(codes: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """Mask of places that follow an ender and white space, or a line end; the first two places of a text never count."""
+    kinds = _KINDS[codes]
+    ender, line_end, other = (kinds & _ENDER) > 0, (kinds & _LINE_END) > 0, (kinds & _SPACE) == 0
     out = np.zeros(len(codes), bool)
-    out[2:] = ender[:-2] & space[1:-1] & ~space[2:]
-    out[1:] |= np.isin(codes[:-1], np.array([10, 13], np.uint32)) & ~space[1:]
+    out[2:] = other[2:] & (line_end[1:-1] | (ender[:-2] & ~other[1:-1]))
+    out[cuts[:-1]] = False
+    out[cuts[:-1] + 1] = False
     return out
 
 
@@ -47,47 +52,42 @@ def _window_min(x: np.ndarray, w: int) -> np.ndarray:
     return out
 
 
-def span_starts(codes: np.ndarray, hashes: np.ndarray, window: int) -> np.ndarray:
-    """Chosen starts among the places 0..len(hashes)-1 of one text: at least one in every ``window`` consecutive places.
+def span_starts(codes: np.ndarray, cuts: np.ndarray, hashes: np.ndarray, window: int) -> np.ndarray:
+    """Chosen starts in the texts between ``cuts``, none shorter than SEED: at least one in every ``window`` consecutive places of a text.
 
-    The first two places never count as sentence starts, because a start there depends on what stands before.
+    ``hashes`` has the hash of SEED characters from each place. Only places from which SEED characters of the same
+    text follow are chosen. A start at a text's first two places would depend on what stands before, so sentences
+    are not taken to start there.
     """
     n = len(hashes)
-    if n == 0:
-        return np.zeros(0, np.int64)
-    starts = _sentence_starts(codes)[:n]
+    ahead = np.repeat(cuts[1:], np.diff(cuts))[:n] - np.arange(n)  # characters from each place to its text's end
+    chosen = _sentence_starts(codes, cuts)[:n] & (ahead >= SEED)
     if n < window:
-        return np.flatnonzero(starts)
-    ahead = np.zeros(n + 1, np.int64)
-    np.cumsum(starts, out=ahead[1:])
-    empty = (ahead[window:] - ahead[:-window]) == 0
-    chosen = starts.copy()
+        return np.flatnonzero(chosen)
+    before = np.zeros(n + 1, np.int64)
+    np.cumsum(chosen, out=before[1:])
+    empty = (before[window:] == before[:-window]) & (ahead[: n - window + 1] >= SEED + window - 1)
     if empty.any():
         # A place is chosen if an empty window that covers it has its hash as the smallest. No window's smallest hash
         # is above that of a place it covers, so comparing with the largest over the covering windows is enough.
         low = np.where(empty, _window_min(hashes, window), np.uint64(0))
         pad = np.zeros(window - 1, np.uint64)
-        chosen |= hashes == ~_window_min(~np.concatenate([pad, low, pad]), window)
+        covered = np.zeros(n + 1, np.int32)
+        covered[: n - window + 1] += empty
+        covered[window:] -= empty
+        chosen |= (hashes == ~_window_min(~np.concatenate([pad, low, pad]), window)) & (np.cumsum(covered[:-1]) > 0)
     return np.flatnonzero(chosen)
 
 
 def _seed_spans(batches: Iterable[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
     powers = R.Powers(R.BASES[0])
     for b in R.slices(batches, 1):
-        ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
-        codes, ends = R.code_points(texts)
+        codes, cuts = R.code_points(b.column(1).to_pylist())
         hashes = R.window_hashes(R.mix(codes), SEED, R.BASES[0], powers)
-        out_id, out_h, out_p = [], [], []
-        for i, s, e in zip(ids, ends[:-1].tolist(), ends[1:].tolist(), strict=True):
-            if e - s < least:
-                continue
-            own = hashes[s : e - SEED + 1]
-            at = span_starts(codes[s:e], own, least - SEED - 1)
-            out_id.append(np.full(len(at), i, np.int64))
-            out_h.append(own[at])
-            out_p.append(at)
-        if out_id:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_id)), pa.array(R.signed(np.concatenate(out_h))), pa.array(np.concatenate(out_p).astype(np.int32))], names=["doc_id", "h", "p"])
+        at = span_starts(codes, cuts, hashes, least - SEED - 1)
+        text = np.searchsorted(cuts, at, "right") - 1
+        ids = b.column(0).to_numpy()[text]
+        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(R.signed(hashes[at])), pa.array((at - cuts[text]).astype(np.int32))], names=["doc_id", "h", "p"])
 
 
 def _candidate_windows(batches: Iterable[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
@@ -133,12 +133,12 @@ def shared_spans(documents: DataFrame, least: int = 200) -> DataFrame:
     """(doc_id, span_start, span_end): maximal stretches of characters that lie in ``least`` consecutive ones found in another document.
 
     Characters are code points, compared unchanged; a repetition inside one document does not count. ``documents``
-    needs ``doc_id`` and ``text``; other columns are ignored. Null and short texts and an empty table give no rows.
+    needs ``doc_id`` and ``text``; other columns are ignored. Null and short texts, rows without ``doc_id`` and an empty table give no rows.
     Documents with equal texts are shared from end to end and are searched once, through their smallest doc_id.
     """
     if least <= SEED + 2:
         raise ValueError(f"least must be above {SEED + 2}")
-    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter(F.length("text") >= least)
+    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter((F.length("text") >= least) & F.col("doc_id").isNotNull())
     whole = materialize(texts.select("doc_id", F.xxhash64("text").alias("h"), F.xxhash64(F.lit(1), "text", F.lit(2)).alias("g"), F.length("text").alias("len")), "whole-texts")
     equal = materialize(whole.groupBy("h", "g", "len").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")).filter("n > 1"), "equal-texts")
     copies = materialize(join_by_key_stats(whole, equal, ["h", "g", "len"], "n", whole.count()).select("doc_id", "rep", "len"), "copies")
