@@ -5,8 +5,9 @@ a run of consecutive sentences or their beginnings; the hashes are joined global
 every stretch of ``least`` characters, since a stretch may begin and end inside two long sentences. So wherever
 ``least - SEED`` characters hold no sentence start, one more start is chosen by content: the place whose span has
 the smallest hash. Both choices depend only on the characters of the stretch itself, so two texts that share a
-stretch of ``least`` characters share at least one hashed span in it. Around the repeated spans every window of
-``least`` characters is then hashed and joined, which gives the shared characters exactly.
+stretch of ``least`` characters share at least one hashed span in it. Each window of ``least`` characters around a
+span also holds one of two longer stretches, its cores; around those that are repeated too, every window of
+``least`` characters is hashed and joined, which gives the shared characters exactly.
 """
 
 from __future__ import annotations
@@ -79,27 +80,40 @@ def span_starts(codes: np.ndarray, cuts: np.ndarray, hashes: np.ndarray, window:
     return np.flatnonzero(chosen)
 
 
+def cores(least: int) -> tuple[int, int]:
+    """(length, reach): a window of ``least`` characters around a span at p holds the ``length`` characters from p or those from p - reach."""
+    half = (least - SEED + 1) // 2
+    return least - half, least - SEED - half
+
+
 def _seed_spans(batches: Iterable[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
     powers = R.Powers(R.BASES[0])
+    length, reach = cores(least)
     for b in R.slices(batches, 1):
         codes, cuts = R.code_points(b.column(1).to_pylist())
-        hashes = R.window_hashes(R.mix(codes), SEED, R.BASES[0], powers)
+        values = R.mix(codes)
+        hashes = R.window_hashes(values, SEED, R.BASES[0], powers)
         at = span_starts(codes, cuts, hashes, least - SEED - 1)
         text = np.searchsorted(cuts, at, "right") - 1
-        ids = b.column(0).to_numpy()[text]
-        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(R.signed(hashes[at])), pa.array((at - cuts[text]).astype(np.int32))], names=["doc_id", "h", "p"])
+        longer = R.signed(R.window_hashes(values, length, R.BASES[0], powers))
+        out = [pa.array(b.column(0).to_numpy()[text]), pa.array(R.signed(hashes[at])), pa.array((at - cuts[text]).astype(np.int32))]
+        for start in (at, at - reach):
+            outside = (start < cuts[text]) | (start + length > cuts[text + 1])
+            out.append(pa.array(longer[np.where(outside, 0, start)], mask=outside))
+        yield pa.RecordBatch.from_arrays(out, names=["doc_id", "h", "p", "ahead", "around"])
 
 
 def _candidate_windows(batches: Iterable[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
     powers = [R.Powers(b) for b in R.BASES]
+    length, _ = cores(least)
     for b in R.slices(batches, 1):
         out: list[list[np.ndarray]] = [[], [], [], []]
-        for i, text, spans in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+        for i, text, starts in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
             codes, _ = R.code_points([text])
             n = len(codes) - least + 1
             want = np.zeros(n + 1, np.int64)
-            for p in spans:  # every window of `least` characters that contains the span
-                want[max(0, p + SEED - least)] += 1
+            for p in starts:  # every window of `least` characters that contains the core
+                want[max(0, p + length - least)] += 1
                 want[min(n, p + 1)] -= 1
             at = np.flatnonzero(np.cumsum(want[:-1]) > 0)
             values = R.mix(codes)
@@ -145,9 +159,12 @@ def shared_spans(documents: DataFrame, least: int = 200) -> DataFrame:
     ends = copies.select("doc_id", F.lit(0).cast("long").alias("span_start"), F.col("len").cast("long").alias("span_end"))
     distinct = texts.join(copies.filter("doc_id <> rep").select("doc_id"), "doc_id", "left_anti")
 
-    seeds = materialize(distinct.mapInArrow(lambda it: _seed_spans(it, least), "doc_id bigint, h bigint, p int"), "spans")
-    places = _repeated(seeds, ["h"], "span-hashes").groupBy("doc_id").agg(F.collect_list("p").alias("spans"))
-    searched = texts.join(materialize(places, "span-places"), "doc_id").select("doc_id", "text", "spans")
+    seeds = materialize(distinct.mapInArrow(lambda it: _seed_spans(it, least), "doc_id bigint, h bigint, p int, ahead bigint, around bigint"), "spans")
+    near = _repeated(seeds, ["h"], "span-hashes")
+    sides = F.explode(F.array(F.struct(F.col("ahead").alias("h"), F.lit(0).alias("back")), F.struct(F.col("around").alias("h"), F.lit(cores(least)[1]).alias("back"))))
+    near = materialize(near.select("doc_id", "p", sides.alias("c")).filter("c.h IS NOT NULL").select("doc_id", "p", "c.h", "c.back"), "cores")
+    places = _repeated(near, ["h", "back"], "core-hashes").groupBy("doc_id").agg(F.collect_list(F.col("p") - F.col("back")).alias("starts"))
+    searched = texts.join(materialize(places, "core-places"), "doc_id").select("doc_id", "text", "starts")
     windows = materialize(searched.mapInArrow(lambda it: _candidate_windows(it, least), "doc_id bigint, h bigint, g bigint, p int"), "windows")
     starts = _repeated(windows, ["h", "g"], "window-hashes").join(copies.select("doc_id"), "doc_id", "left_anti").groupBy("doc_id").agg(F.collect_list("p").alias("starts"))
     found = materialize(starts.mapInArrow(lambda it: _stretches(it, least), "doc_id bigint, span_start bigint, span_end bigint"), "stretches")
