@@ -57,6 +57,14 @@ def test_spans_equal_brute_force(spark, seed, monkeypatch):
     assert len(share) == len(rows) and share[100].n_chars == 0 and share[105].shared_fraction == 1.0
 
 
+@pytest.mark.parametrize("least", [103, 131, 250])
+def test_spans_of_other_lengths(spark, least):
+    rng = random.Random(least)
+    pool = [prose(rng, rng.randrange(90, 400)) for _ in range(5)]
+    rows = [(i, prose(rng, rng.randrange(0, 200)) + rng.choice(pool)[rng.randrange(60) :] + prose(rng, rng.randrange(0, 200))) for i in range(40)]
+    assert {tuple(r) for r in spans.shared_spans(spark.createDataFrame(rows, "doc_id long, text string"), least).collect()} == brute_spans(rows, least)
+
+
 def test_a_footer_in_a_third_of_all_rows(spark, monkeypatch):
     monkeypatch.setattr(skew, "LEAST_HOT_ROWS", 10)
     rng = random.Random(8)
