@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from clinweave.plans.scratch import materialize
 
 FIELDS = ("question", "answer", "focus")
-#: Rows from whose texts the gazetteer of first names is gathered, about; names it keeps at most.
-GAZETTEER_SAMPLE, MOST_NAMES = 40_000, 5_000
+#: First names up to which the gazetteer is sent to every executor; the rarer ones beyond it are joined to the rows whose texts hold them.
+MOST_SENT_NAMES = 200_000
 #: Candidates on which the span classifier is trained, about; the reliabilities use all candidates.
 TRAINING_SAMPLE = 50_000
 PLACEHOLDERS = {"email": "[REDACTED_EMAIL]", "phone": "[REDACTED_PHONE]", "id_number": "[REDACTED_ID_NUMBER]", "address": "[REDACTED_ADDRESS]", "name": "[REDACTED_NAME]"}
@@ -113,18 +113,24 @@ class Gazetteer:
     """First names gathered from the corpus."""
 
     names: frozenset[str] = frozenset()
-    pattern: re.Pattern | None = field(default=None, repr=False)
 
-    def __post_init__(self) -> None:
-        if self.names and self.pattern is None:
-            alternatives = "|".join(sorted(map(re.escape, self.names), key=lambda n: (-len(n), n)))
-            self.pattern = re.compile(rf"(?<![\w@.+%'-])((?:{alternatives})(?:\s(?:[A-Z]\.\s)?{_CAP})?)(?![\w@+%])")
+    def spans(self, text: str) -> Iterator[tuple[int, int]]:
+        """The names of the gazetteer in a text, each with a capitalised word after it."""
+        last = 0
+        for w in WORDS.finditer(text):
+            if w.group() in self.names and w.start() >= last and not BEFORE_NAME.search(text, max(0, w.start() - 1), w.start()):
+                m = NAME_REST.match(text, w.end())
+                if m:
+                    last = m.end()
+                    yield w.start(), last
 
 
 Span = tuple[int, int, str, tuple[int, int, int, int]]
 
 
 WORDS = re.compile(r"[^\W\d_]+")
+BEFORE_NAME = re.compile(r"[\w@.+%'-]")
+NAME_REST = re.compile(rf"(?:\s(?:[A-Z]\.\s)?{_CAP})?(?![\w@+%])")
 
 
 def _digits(text: str) -> int:
@@ -133,8 +139,8 @@ def _digits(text: str) -> int:
 
 def _names(text: str, gazetteer: Gazetteer, taken: list[tuple[int, int]], words_here: frozenset[str]) -> Iterator[Span]:
     spans = [(m.start(1), m.end(1), 1, n) for n, (hints, cue) in enumerate(NAME_CUES) if not hints.isdisjoint(words_here) for m in cue.finditer(text)]
-    if gazetteer.pattern and not gazetteer.names.isdisjoint(WORDS.findall(text)):
-        spans += [(m.start(1), m.end(1), 0, -1) for m in gazetteer.pattern.finditer(text)]
+    if not gazetteer.names.isdisjoint(WORDS.findall(text)):
+        spans += [(start, end, 0, -1) for start, end in gazetteer.spans(text)]
     seen: set[tuple[int, int]] = set()
     for start, end, cued, n in spans:
         shown = text[start:end]
@@ -299,16 +305,11 @@ def train(rows: list[tuple[list[str], float]], rounds: int = 300, rate: float =
     return SpanModel(dict(zip(names, w.tolist(), strict=True)))
 
 
-def gather_gazetteer(records: DataFrame) -> Gazetteer:
-    """First names that stand in a name's context at least twice among about GAZETTEER_SAMPLE rows; MOST_NAMES of them at most."""
-    total = records.count()
-    if not total:
-        return Gazetteer()
-    bound = min(1.0, GAZETTEER_SAMPLE / total) * 2**31
-    sample = records.filter(F.pmod(F.xxhash64(F.lit(3), "row_id"), F.lit(2**31)) < bound).select(*FIELDS)
+def first_names(records: DataFrame) -> DataFrame:
+    """(name, n) of the first names that stand in a name's context at least twice in the texts of all rows."""
     nobody = Gazetteer()
 
-    def first_names(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out: Counter = Counter()
             for column in range(len(FIELDS)):
@@ -321,30 +322,61 @@ def gather_gazetteer(records: DataFrame) -> Gazetteer:
                                 out[name.capitalize()] += 1
             yield pa.RecordBatch.from_arrays([pa.array(list(out.keys()), pa.string()), pa.array(list(out.values()), pa.int64())], names=["name", "n"])
 
-    found = sample.mapInArrow(first_names, "name string, n bigint").groupBy("name").agg(F.sum("n").alias("n")).filter("n >= 3")
-    return Gazetteer(frozenset(r.name for r in found.orderBy(F.desc("n"), "name").limit(MOST_NAMES).collect()))
+    return records.select(*FIELDS).mapInArrow(count, "name string, n bigint").groupBy("name").agg(F.sum("n").alias("n")).filter("n >= 2")
+
+
+def gather_gazetteer(records: DataFrame) -> tuple[Gazetteer, DataFrame | None]:
+    """The MOST_SENT_NAMES most frequent first names and, if there are more, (row_id, own) with the others that the texts of a row hold."""
+    names = materialize(first_names(records), "first-names")
+    order = [F.desc("n"), F.asc("name")]
+    sent = Gazetteer(frozenset(r.name for r in names.orderBy(*order).limit(MOST_SENT_NAMES).collect()))
+    if names.count() <= MOST_SENT_NAMES:
+        return sent, None
+
+    def words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ids: list[int] = []
+            own: list[str] = []
+            for i, *texts in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                here = {w.capitalize() for t in texts for w in WORDS.findall(t or "")}
+                own += here
+                ids += [i] * len(here)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(own, pa.string())], names=["row_id", "name"])
+
+    rest = names.join(names.orderBy(*order).limit(MOST_SENT_NAMES).select("name"), "name", "left_anti")
+    held = records.select(F.col("row_id").cast("long").alias("row_id"), *FIELDS).mapInArrow(words, "row_id bigint, name string")
+    return sent, held.join(rest.select("name"), "name").groupBy("row_id").agg(F.collect_list("name").alias("own"))
 
 
 SPANS = "row_id bigint, field_name string, start int, stop int, pii_type string, votes array<tinyint>, shown string"
 
 
-def candidate_spans(records: DataFrame, gazetteer: Gazetteer) -> DataFrame:
-    """Candidates of all rows and fields with their votes."""
+def candidate_spans(records: DataFrame, gazetteer: Gazetteer, own: DataFrame | None = None) -> DataFrame:
+    """Candidates of all rows and fields with their votes; ``own`` has further names of the gazetteer by row_id."""
     sent = records.sparkSession.sparkContext.broadcast(gazetteer)
+    rows = records.select(F.col("row_id").cast("long").alias("row_id"), *FIELDS)
+    joined = own is not None
+    if joined:
+        rows = rows.join(own, "row_id", "left")
 
     def label(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids = b.column(0).to_pylist()
+            known = [sent.value] * len(ids)
+            if joined:
+                for k, (*texts, more) in enumerate(zip(*(c.to_pylist() for c in b.columns[1:]), strict=True)):
+                    if more:
+                        known[k] = Gazetteer(frozenset(more) | sent.value.names.intersection(w.capitalize() for t in texts for w in WORDS.findall(t or "")))
             rows: list[tuple] = []
             for column, name in enumerate(FIELDS, 1):
-                for i, text in zip(ids, b.column(column).to_pylist(), strict=True):
+                for i, text, names in zip(ids, b.column(column).to_pylist(), known, strict=True):
                     if text:
-                        rows += [(i, name, s, e, kind, list(votes), text[s:e]) for s, e, kind, votes in candidates(text, sent.value)]
+                        rows += [(i, name, s, e, kind, list(votes), text[s:e]) for s, e, kind, votes in candidates(text, names)]
             columns = list(zip(*rows, strict=True)) or [()] * 7
             types = (pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.list_(pa.int8()), pa.string())
             yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types, strict=True)], names=["row_id", "field_name", "start", "stop", "pii_type", "votes", "shown"])
 
-    return records.select(F.col("row_id").cast("long").alias("row_id"), *FIELDS).mapInArrow(label, SPANS)
+    return rows.mapInArrow(label, SPANS)
 
 
 def fit_spans(spans: DataFrame) -> SpanModel:
@@ -369,7 +401,7 @@ def accepted_spans(records: DataFrame, model: SpanModel | None = None, gazetteer
     ``records`` needs row_id, question, answer and focus; other columns are ignored. Null and empty texts have none;
     placeholders already set are left alone. Texts are read whole.
     """
-    spans = materialize(candidate_spans(records, gazetteer or gather_gazetteer(records)), "pii-candidates")
+    spans = materialize(candidate_spans(records, *((gazetteer,) if gazetteer else gather_gazetteer(records))), "pii-candidates")
     sent = records.sparkSession.sparkContext.broadcast(model or fit_spans(spans))
 
     def decide(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

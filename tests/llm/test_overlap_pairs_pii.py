@@ -206,6 +206,20 @@ def test_details_are_found_and_replaced(spark):
     assert pii.redaction_report(df, spans).count() == 5
 
 
+@pytest.mark.parametrize("sent", [200_000, 1])
+def test_names_of_the_whole_corpus_are_known(spark, monkeypatch, sent):
+    monkeypatch.setattr(pii, "MOST_SENT_NAMES", sent)
+    rows = [(i, "What is Foo-Bar fever?", f"Dr. {n} Linduleti told us about this.", None) for i, n in enumerate(["Jessamy", "Jessamy", "Jessamy", "Pavlina", "Pavlina", "Once"])]
+    rows += [(10, None, "Lately Pavlina felt tired.", None), (11, None, "Lately Once felt tired.", "Jessamy"), (12, None, "Mail pavlina@site.example or x-Pavlina, Jessamy Test-Name and Pavlina_1.", None)]
+    rows += [(i, "Is it inherited?", "Rest and water help.", None) for i in range(100, 45_100)]
+    df = spark.createDataFrame(rows, "row_id long, question string, answer string, focus string")
+    known, own = pii.gather_gazetteer(df)
+    assert set(known.names) == {"Jessamy", "Pavlina"} if sent > 1 else set(known.names) == {"Jessamy"}
+    assert own is None if sent > 1 else {r.row_id: r.own for r in own.collect()} == {i: ["Pavlina"] for i in (3, 4, 10, 12)}
+    spans = pii.candidate_spans(df, known, own).filter("row_id between 10 and 12 and pii_type = 'name' and votes[2] = 1").collect()
+    assert {(r.row_id, r.shown) for r in spans} == {(10, "Pavlina"), (11, "Jessamy"), (12, "Jessamy Test-Name")}
+
+
 def test_placeholders_blanks_and_nothing(spark):
     rows = [(1, "[REDACTED_EMAIL] or [REDACTED_PHONE]", None, ""), (2, None, None, None)]
     df = spark.createDataFrame(rows, "row_id long, question string, answer string, focus string")
