@@ -1,7 +1,8 @@
 """Evaluation texts that leak into training text.
 
-Method: rare word n-grams of the test items are seeds that join them to training texts; a Smith-Waterman
-alignment then scores each candidate, so edited and paraphrased copies are ranked as well.
+Method: word n-grams of the test items are seeds that join them to training texts; a Smith-Waterman alignment then
+scores each candidate, so edited and paraphrased copies are ranked as well. Where only unbroken runs are asked for,
+the rarest n-gram of each stretch is seed enough.
 """
 
 from __future__ import annotations
@@ -113,13 +114,17 @@ def _passages(item: np.ndarray, text: np.ndarray, powers: R.Powers) -> list[tupl
 ALIGNED_AT_ONCE = 1 << 15
 
 
+def _hashed(texts: pa.Array, words: WordHasher) -> list[np.ndarray]:
+    """The word hashes of each text; equal texts are hashed once."""
+    coded = texts.dictionary_encode()
+    hashes, ends = words(coded.dictionary.to_pylist())
+    return [hashes[ends[i] : ends[i + 1]] for i in coded.indices.to_pylist()]
+
+
 def _align_all(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     words, powers = WordHasher(), R.Powers(R.BASES[1])
     for b in R.slices(batches, 1, 3):
-        doc, doc_ends = words(b.column(1).to_pylist())
-        item, item_ends = words(b.column(3).to_pylist())
-        items = [item[s:e] for s, e in zip(item_ends[:-1], item_ends[1:], strict=True)]
-        texts = [doc[s:e] for s, e in zip(doc_ends[:-1], doc_ends[1:], strict=True)]
+        texts, items = (_hashed(b.column(c), words) for c in (1, 3))
         jobs = sorted((hi - lo, r, lo) for r in range(b.num_rows) for lo, hi in _passages(items[r], texts[r], powers))
         score, start, end, longest = (np.zeros(b.num_rows, np.int32) for _ in range(4))
         while jobs:
@@ -134,19 +139,20 @@ def _align_all(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 longest[r] = max(longest[r], n)
                 if s > score[r]:
                     score[r], start[r], end[r] = s, lo + f, lo + t
-        most = MATCH * np.maximum(np.diff(item_ends), 1)
+        most = MATCH * np.maximum([len(item) for item in items], 1)
         yield pa.RecordBatch.from_arrays(
             [b.column(0), b.column(2), *(pa.array(x, t) for x, t in ((score, pa.int32()), (score / most, pa.float64()), (start, pa.int32()), (end, pa.int32()), (longest, pa.int32())))],
             names=["doc_id", "item_id", "score", "share", "word_start", "word_end", "run_words"],
         )
 
 
-def alignments(documents: DataFrame, items: DataFrame, run: int = 12) -> DataFrame:
+def alignments(documents: DataFrame, items: DataFrame, run: int = 12, edited: bool = True) -> DataFrame:
     """Scored candidates: doc_id, item_id, score, share (of the item's best score), word_start, word_end, run_words.
 
     ``documents`` needs doc_id and text, ``items`` item_id and item_text; other columns are ignored. Every pair that
-    shares ``run`` consecutive words is among the candidates: each stretch of ``run`` words of an item has a seed
-    in it, the n-gram of the stretch that fewest texts hold. A candidate is aligned around every n-gram it shares with the item.
+    shares an n-gram is among the candidates. Without ``edited`` only each pair that shares ``run`` consecutive words is
+    sure to be: each stretch of ``run`` words of an item has one seed in it, the n-gram of the stretch that fewest texts
+    hold, and copies with edits in every stretch are left out. A candidate is aligned around every n-gram it shares with the item.
     Words are runs of letters and digits in lower case. Null or short texts on either side give no candidate.
     """
     if run < GRAM:
@@ -167,12 +173,15 @@ def alignments(documents: DataFrame, items: DataFrame, run: int = 12) -> DataFra
         holding = texts.join(found.groupBy(F.col("id").alias("doc_id")).agg(F.collect_set("gram").alias("grams")), "doc_id")
     holding = materialize(holding, "texts-with-grams")
     hits = holding.select("doc_id", F.explode("grams").alias("gram"))
-    texts_with = hits.groupBy("gram").agg(F.count("*").alias("n"))
-    last = run - GRAM
-    ranked = grams.join(texts_with, "gram", "left").select("id", "place", "gram", F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram").alias("rank"))
-    windows = ranked.select("id", F.explode(F.sequence(F.greatest(F.col("place") - last, F.lit(0)), F.col("place"))).alias("window"), "rank")
-    seeds = windows.groupBy("id", "window").agg(F.min("rank").alias("rank"), F.count("*").alias("k")).filter(F.col("k") == last + 1)
-    seeds = seeds.select(F.col("id").alias("item_id"), F.col("rank.gram").alias("gram")).distinct()
+    if edited:
+        seeds = grams.select(F.col("id").alias("item_id"), "gram").distinct()
+    else:
+        texts_with = hits.groupBy("gram").agg(F.count("*").alias("n"))
+        last = run - GRAM
+        ranked = grams.join(texts_with, "gram", "left").select("id", "place", "gram", F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram").alias("rank"))
+        windows = ranked.select("id", F.explode(F.sequence(F.greatest(F.col("place") - last, F.lit(0)), F.col("place"))).alias("window"), "rank")
+        seeds = windows.groupBy("id", "window").agg(F.min("rank").alias("rank"), F.count("*").alias("k")).filter(F.col("k") == last + 1)
+        seeds = seeds.select(F.col("id").alias("item_id"), F.col("rank.gram").alias("gram")).distinct()
     candidates = hits.join(seeds, "gram").select("doc_id", "item_id").distinct()
     pairs = holding.select("doc_id", "text").join(candidates, "doc_id").join(tests, "item_id").select("doc_id", "text", "item_id", "item_text")
     return pairs.mapInArrow(_align_all, "doc_id bigint, item_id bigint, score int, share double, word_start int, word_end int, run_words int")
@@ -180,7 +189,7 @@ def alignments(documents: DataFrame, items: DataFrame, run: int = 12) -> DataFra
 
 def leaked_items(documents: DataFrame, items: DataFrame, run: int = 12) -> DataFrame:
     """(doc_id, item_id) of each text that shares at least ``run`` consecutive words with an item; see ``alignments``."""
-    return alignments(documents, items, run).filter(F.col("run_words") >= run).select("doc_id", "item_id")
+    return alignments(documents, items, run, edited=False).filter(F.col("run_words") >= run).select("doc_id", "item_id")
 
 
 def leak_report(documents: DataFrame, items: DataFrame, run: int = 12, share: float = 0.8) -> DataFrame:

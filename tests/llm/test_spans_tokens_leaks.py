@@ -153,3 +153,14 @@ def test_alignment_scores_an_edited_copy():
     assert (score[0], start[0], end[0], longest[0]) == (9 * leaks.MATCH + leaks.MISMATCH, 5, 15, 5)
     score, start, end, longest = leaks.align(item[None], np.delete(item, 4)[None])
     assert (score[0], longest[0]) == (9 * leaks.MATCH + leaks.GAP, 5)
+
+
+def test_report_counts_edited_copies(spark):
+    items = [[f"{name}{i}" for i in range(40)] for name in ("alpha", "beta")]
+    copies = [["changed" if i % 8 == 4 else w for i, w in enumerate(item)] for item in items]
+    rows = [(1, "before " + " ".join(items[0])), (2, " ".join(copies[0]) + " after"), (3, "Before, " + ", ".join(copies[1])), (4, "alpha0 alpha1 alpha2 alpha3"), (5, " ".join(items[1][:6]))]
+    tests = spark.createDataFrame([(j, " ".join(item)) for j, item in enumerate(items)], "item_id long, item_text string")
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    report = {r.item_id: (r.docs_with_run, r.docs_with_copy, r.best_share) for r in leaks.leak_report(df, tests).collect()}
+    assert report == {0: (1, 2, 1.0), 1: (0, 1, (35 * leaks.MATCH + 5 * leaks.MISMATCH) / (40 * leaks.MATCH))}
+    assert {tuple(r) for r in leaks.leaked_items(df, tests).collect()} == {(1, 0)}
