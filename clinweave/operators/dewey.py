@@ -164,3 +164,43 @@ def file_children(documents: DataFrame, payloads: DataFrame) -> DataFrame:
     typed = nodes_of_columns(documents.select("file_id", pairs.alias("pairs"), "synonyms", "umls_cuis"), "file_id", ["pairs", "synonyms", "umls_cuis"])
     raw = nodes_of_json(payloads, "file_id", "payload")
     return child_rows(typed.unionByName(raw))
+
+
+# The names under which the known layouts keep the fields of a pair.
+PAIR_FIELDS = {
+    "pair_id": ("pair_id", "@pid"),
+    "question_id": ("question_id", "Question.@qid", "question.@qid"),
+    "question_type": ("question_type", "Question.@qtype", "question.@qtype"),
+    "question": ("question", "question.#text", "Question", "Question.#text"),
+    "answer": ("answer", "answer.#text", "Answer", "Answer.#text"),
+}
+
+
+def pair_rows(documents: DataFrame, payloads: DataFrame, key: str = "file_id") -> DataFrame:
+    """The pairs of the files of both deliveries: key, label, parent, place and the fields of PAIR_FIELDS.
+
+    Every pair that is not null has a row, also one that stands bare. ``place`` counts the delivered elements, null ones too,
+    through sections, as in ``child_rows``. Fields that a layout lacks are null.
+    """
+    nodes = nodes_of_columns(documents, key, ["pairs"]).unionByName(nodes_of_json(payloads, key, "payload"))
+    none = F.lit(None).cast("string")
+    element, field, depth = F.lit(False), none, F.lit(0)
+    for p in LISTS["pair"]:
+        element = element | (F.col("path") == f"{p}[]") | ((F.col("path") == p) & ~F.col("kind").isin("array", "null"))
+        for name, ways in PAIR_FIELDS.items():
+            for way in ways:
+                here = F.col("path").isin(f"{p}[].{way}", f"{p}.{way}")
+                field, depth = F.when(here, F.lit(name)).otherwise(field), F.when(here, F.lit(1 + way.count("."))).otherwise(depth)
+    leaf = F.col("kind").isin("string", "number", "boolean")
+    tagged = nodes.select(key, "label", "kind", "value", element.alias("element"), F.when(leaf, field).alias("field"), depth.alias("depth"))
+    tagged = tagged.filter("element or field is not null")
+    of = F.when(F.col("element"), F.col("label")).otherwise(F.slice("label", 1, F.size("label") - F.col("depth")))
+    # one shuffle by file and element, one by file; only labels are gathered per file
+    picked = tagged.groupBy(key, of.alias("label")).agg(
+        F.max(F.when(F.col("element"), F.col("kind"))).alias("kind"),
+        F.max(F.when(F.col("element") & leaf, F.col("value"))).alias("bare"),
+        *[F.first(F.when(F.col("field") == name, F.col("value")), ignorenulls=True).alias(name) for name in PAIR_FIELDS],
+    )
+    places = tagged.filter("element").groupBy(key).agg(F.array_sort(F.collect_list("label")).alias("labels")).select(key, F.posexplode("labels").alias("pos", "label"))
+    rows = picked.filter("kind <> 'null'").join(places, [key, "label"])
+    return rows.select(key, "label", parent_label(F.col("label")).alias("parent"), (F.col("pos") + 1).alias("place"), F.coalesce("bare", "pair_id").alias("pair_id"), *[f for f in PAIR_FIELDS if f != "pair_id"])

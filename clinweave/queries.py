@@ -139,7 +139,16 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
 def p5_pairs(spark: SparkSession, folder: str) -> DataFrame:
     """The table of pairs with their links, from the typed deliveries."""
     nodes = dewey.nodes_of_columns(_table(spark, folder, "medquad_documents"), "file_id", ["pairs"])
-    table = dewey.flat_table(nodes, "file_id", "pairs[]", ["pair_id", "question_id", "question_type", "question", "answer"])
+    return _dotted(dewey.flat_table(nodes, "file_id", "pairs[]", ["pair_id", "question_id", "question_type", "question", "answer"]))
+
+
+@_query
+def p5_all_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    """The table of pairs with their links, from the typed deliveries and the payloads of every layout."""
+    return _dotted(dewey.pair_rows(_table(spark, folder, "medquad_documents"), _table(spark, folder, "medquad_payloads")))
+
+
+def _dotted(table: DataFrame) -> DataFrame:
     dotted = {c: F.array_join(F.col(c).cast("array<string>"), ".") for c in ("label", "parent")}
     return table.withColumns(dotted).withColumn("place", F.col("place").cast("long"))
 

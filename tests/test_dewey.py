@@ -78,3 +78,23 @@ def test_flat_table_and_parents(spark):
     assert rows == [([1, 1], [1], 1, "p", "q"), ([1, 3], [1], 3, "r", None)]
     links = D.with_parents(nodes)
     assert links.alias("c").join(links.alias("p"), F.expr("c.parent = p.label")).count() == nodes.count() - 1
+
+
+def test_pairs_of_every_layout_with_their_fields(spark):
+    texts = {
+        1: {"pairs": [{"pair_id": "a", "question_id": "q", "question_type": "t", "question": "Q", "answer": "A"}, None, {"question": "R", "answer": None}]},
+        2: {"Document": {"QAPairs": {"QAPair": [{"@pid": 7, "Question": {"@qid": "q", "@qtype": "t", "#text": "Q"}, "Answer": "A"}]}}},
+        3: {"doc": {"qaPairs": {"pair": {"@pid": "b", "question": {"@qid": "q", "@qtype": None, "#text": "Q"}, "answer": {"#text": "A"}}}}},
+        4: {"sections": [{"title": "s", "pairs": [{"pair_id": "c", "question": "Q"}, None]}, {"pairs": {"pair_id": "d", "answer": "A"}}]},
+        5: {"pairs": None},
+    }
+    raw = spark.createDataFrame([*((i, json.dumps(t)) for i, t in texts.items()), (6, '{"pairs": [{"pair_id": "1"}'), (7, None)], "file_id long, payload string")
+    schema = "file_id long, pairs array<struct<position:int,pair_id:string,question_id:string,question_type:string,question:string,answer:string>>"
+    typed = spark.createDataFrame([(100, [None, (1, "a", "q", "t", "Q", "A")]), (101, None)], schema)
+    got = {tuple(tuple(v) if isinstance(v, list) else v for v in r) for r in D.pair_rows(typed, raw).collect()}
+    assert got == {
+        (1, (1, 1), (1,), 1, "a", "q", "t", "Q", "A"), (1, (1, 3), (1,), 3, None, None, None, "R", None),
+        (2, (1, 1, 1, 1), (1, 1, 1), 1, "7", "q", "t", "Q", "A"), (3, (1, 1, 1), (1, 1), 1, "b", "q", None, "Q", "A"),
+        (4, (1, 1, 2, 1), (1, 1, 2), 1, "c", None, None, "Q", None), (4, (1, 2, 1), (1, 2), 3, "d", None, None, None, "A"),
+        (100, (1, 2), (1,), 2, "a", "q", "t", "Q", "A"),
+    }
