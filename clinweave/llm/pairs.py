@@ -183,9 +183,13 @@ def tiles(question: list[str], answer: list[str], least: int = 2) -> tuple[int,
 
 def is_echo(question: list[str], answer: list[str]) -> bool:
     """Whether the answer says only the question again, perhaps after a short lead-in; spacing and punctuation are free."""
-    if len(question) < 3 or not answer:
+    if not answer:
         return False
     q, a = "".join(question), "".join(answer)
+    if q == a:
+        return True
+    if len(question) < 3:
+        return False
     if len(q) > 12 and q in a and len(a) - a.count(q) * len(q) <= 30 and len(a.replace(q, " ").split()) <= 3:
         return True
     if len(set(answer) & set(question)) < 0.5 * len(set(answer)):
@@ -311,10 +315,9 @@ def plain_answer(text: str | None) -> str:
 
 def is_empty(bare: str) -> bool:
     """Whether a text without markup has no letter or digit, or only stands in for an answer."""
-    if len(bare) > 80:
-        return False
-    words = " ".join(WORD.findall(bare.lower()))
-    return not words or STAND_IN.fullmatch(words) is not None
+    if WORD.search(bare) is None:
+        return True
+    return len(bare) <= 80 and STAND_IN.fullmatch(" ".join(WORD.findall(bare.lower()))) is not None
 
 
 def is_refusal(bare: str) -> bool:

@@ -149,6 +149,12 @@ def test_defects(answer, kind):
     assert pairs.defect_of(Q, answer, MODELS) == kind
 
 
+def test_echoes_and_blanks_of_any_length():
+    assert pairs.defect_of("什么是红斑狼疮？", "什么是红斑狼疮", MODELS) == "echo" and pairs.defect_of("Foo fever?", "foo fever", MODELS) == "echo"
+    assert pairs.defect_of(Q, "- " * 60, MODELS) == "empty" and pairs.defect_of(Q, "." * 200, MODELS) == "empty"
+    assert not pairs.is_echo([], ["rest"]) and not pairs.is_echo(["fever"], ["rest"])
+
+
 def test_same_other_language_and_exchanged_fields_are_sound():
     german = ("Welche Beschwerden macht die Krankheit und wie lange dauern sie?", "Die Krankheit dauert meist lange und ist nicht leicht zu heilen.")
     assert pairs.defect_of(*german, MODELS) is None
