@@ -7,6 +7,7 @@ pointers that skip what does not count.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -23,8 +24,8 @@ KEYS = T.StructType([T.StructField(n, T.LongType(), False) for n in ("row_id", "
 
 
 def counting(char: str) -> str:
-    """What a character contributes: its case-folded letters and digits; '' for anything else."""
-    return "".join(x for x in char.casefold() if x.isalnum())
+    """What a character contributes: its letters and digits in lower case; '' for anything else. Ligatures and sharp s stay what they are."""
+    return "".join(x for x in char.lower() if x.isalnum())
 
 
 def _field_hashes(texts: list[str], tables: list[R.FoldTable], powers: list[R.Powers]) -> list[np.ndarray]:
@@ -101,18 +102,18 @@ def _groups(texts: DataFrame, salt: int) -> DataFrame:
     return checked
 
 
-def find_copies(records: DataFrame, most_rounds: int = 4) -> DataFrame:
+def find_copies(records: DataFrame) -> DataFrame:
     """(first_row_id, row_id) for each row that repeats an earlier one up to spacing, case, punctuation or field order.
 
     ``records`` needs ``row_id``, ``question`` and ``answer``; other columns are ignored. Null texts count as
     empty; rows with nothing that counts in either field are copies of one another. Row ids are unique. An
     empty table gives an empty result. Rows that share a key but not the text (a collision of 128 bits) are
-    grouped again under other multipliers, ``most_rounds`` times at most.
+    grouped again under other multipliers until none is left; each round settles the first row of every such group.
     """
     texts = records.select(F.col("row_id").cast("long").alias("row_id"), "question", "answer")
     checked = _groups(texts, 0)
     out = checked.filter("same").select("first_row_id", "row_id")
-    for salt in range(1, most_rounds):
+    for salt in itertools.count(1):
         rest = checked.filter("not same").select("row_id")
         if rest.isEmpty():
             break

@@ -96,10 +96,7 @@ QUERIES: dict[str, Query] = {
 }
 
 _PLAIN_ID = r"nullif(regexp_replace(lower({0}), '^[{{}}\s]+|[{{}}\s]+$', '', 'g'), '')"
-# full case folding as far as SQL's lower() lacks it: sharp s and the ligatures
 _BARE = "lower(regexp_replace(coalesce({0}, ''), '[^\\p{{L}}\\p{{N}}]', '', 'g'))"
-for _one, _two in (("ß", "ss"), ("ﬃ", "ffi"), ("ﬄ", "ffl"), ("ﬀ", "ff"), ("ﬁ", "fi"), ("ﬂ", "fl"), ("ﬅ", "st"), ("ﬆ", "st")):
-    _BARE = f"replace({_BARE}, '{_one}', '{_two}')"
 _COPIES = f"""
     WITH k AS (SELECT row_id, {_BARE.format("question")} AS q, {_BARE.format("answer")} AS a FROM canonical_records),
     g AS (SELECT row_id, min(row_id) OVER (PARTITION BY least(q, a), greatest(q, a)) AS first_row_id FROM k)
