@@ -90,9 +90,14 @@ def p9_share(spark: SparkSession, folder: str) -> DataFrame:
     return spans.shared_share(_table(spark, folder, "documents"))
 
 
+def p9_removed(spark: SparkSession, folder: str) -> DataFrame:
+    """The sentences that a repeated run of sentences covers which is not the first of its kind."""
+    return spans.removable(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (p1_found, p1_counts, p2_found, p2_splits, p3_found, p3_report, p4_found, p4_redacted, p4_report, p6_found, p6_collapsed, p7_ids, p7_round_trip, p8_found, p8_report, p9_found, p9_share)
+    for f in (p1_found, p1_counts, p2_found, p2_splits, p3_found, p3_report, p4_found, p4_redacted, p4_report, p6_found, p6_collapsed, p7_ids, p7_round_trip, p8_found, p8_report, p9_found, p9_share, p9_removed)
 }
 
 _PLAIN_ID = r"nullif(regexp_replace(lower({0}), '^[{{}}\s]+|[{{}}\s]+$', '', 'g'), '')"

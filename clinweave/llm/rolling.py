@@ -101,14 +101,28 @@ def stretch_hashes(values: np.ndarray, places: np.ndarray, starts: np.ndarray, e
 
 def window_hashes(values: np.ndarray, k: int, base: int, powers: Powers) -> np.ndarray:
     """Hash of every window of ``k`` values; len(values) - k + 1 of them, equal for equal windows wherever they stand."""
-    n = len(values) - k + 1
-    if n <= 0:
-        return np.zeros(0, U64)
-    inverse = _inverse_powers(base, len(values))
-    with np.errstate(over="ignore"):
-        sums = np.zeros(len(values) + 1, U64)
-        np.cumsum(values * powers.upto(len(values))[: len(values)], out=sums[1:])
-        return mix((sums[k:] - sums[:n]) * inverse[:n])
+    return Sums(values, base, powers).windows(k)
+
+
+class Sums:
+    """Running sums over one array of values, from which the hash of any stretch is a subtraction; equal stretches have equal hashes wherever they stand."""
+
+    def __init__(self, values: np.ndarray, base: int, powers: Powers) -> None:
+        self.inverse = _inverse_powers(base, len(values))
+        self.sums = np.zeros(len(values) + 1, U64)
+        with np.errstate(over="ignore"):
+            np.cumsum(values * powers.upto(len(values))[: len(values)], out=self.sums[1:])
+
+    def windows(self, k: int) -> np.ndarray:
+        """Hashes of all stretches of ``k`` values."""
+        n = max(0, len(self.sums) - k)
+        with np.errstate(over="ignore"):
+            return mix((self.sums[k:] - self.sums[:n]) * self.inverse[:n])
+
+    def stretches(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Hashes of the stretches [start, end)."""
+        with np.errstate(over="ignore"):
+            return mix((self.sums[ends] - self.sums[starts]) * self.inverse[starts])
 
 
 _INVERSES: dict[int, Powers] = {}

@@ -1,13 +1,17 @@
 """Long exact spans shared between records.
 
-Method: sliding sentence spans. A span of SEED characters is hashed from every sentence start, so that it covers
-a run of consecutive sentences or their beginnings; the hashes are joined globally. Sentences alone cannot find
-every stretch of ``least`` characters, since a stretch may begin and end inside two long sentences. So wherever
-``least - SEED`` characters hold no sentence start, one more start is chosen by content: the place whose span has
-the smallest hash. Both choices depend only on the characters of the stretch itself, so two texts that share a
-stretch of ``least`` characters share at least one hashed span in it. Each window of ``least`` characters around a
-span also holds one of two longer stretches, its cores; around those that are repeated too, every window of
-``least`` characters is hashed and joined, which gives the shared characters exactly.
+Method: sliding sentence spans. From every sentence start the shortest run of several consecutive sentences with at
+least ``least`` characters is hashed, and the hashes are joined globally: a run found in two documents is shared from
+end to end, which settles most shared text at one row a sentence. ``removable`` gives the sentences that a non-first
+repeated run covers, ``without_repeats`` the texts without them.
+
+Runs of whole sentences alone cannot find every shared stretch, since one may begin and end inside long sentences.
+What they leave is searched exactly. Spans of SEED characters are hashed from every sentence start and, where
+``least - SEED`` characters hold none, from the place whose span has the smallest hash. Both choices depend only on
+the characters of the stretch itself, so two texts that share ``least`` characters share at least one such span in
+them. Each window of ``least`` characters around a span also holds one of two longer stretches, its cores. Where a
+core is repeated and some window around one of its occurrences has a character that no run covers, every window of
+``least`` characters around its occurrences is hashed and joined, which gives the shared characters exactly.
 """
 
 from __future__ import annotations
@@ -16,7 +20,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clinweave.llm import rolling as R
@@ -86,21 +90,107 @@ def cores(least: int) -> tuple[int, int]:
     return least - half, least - SEED - half
 
 
-def _seed_spans(batches: Iterable[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
-    powers = R.Powers(R.BASES[0])
+SPANS = "doc_id bigint, p int, h bigint, ahead int, around int, run bigint, len int, last boolean"
+
+
+def sentence_runs(starts: np.ndarray, cuts: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """(start, end) of the shortest run of two sentences or more with ``least`` characters from each sentence start, and of the last such run of each text."""
+    edges = np.union1d(starts, cuts)
+    text = np.searchsorted(cuts, edges, "right") - 1
+    final = np.searchsorted(edges, cuts[1:])  # each text's end among the edges
+    at = np.arange(len(edges) - 1)
+    to = np.maximum(at + 2, np.searchsorted(edges, edges[:-1] + least))
+    whole = to <= final[np.minimum(text[:-1], len(final) - 1)]
+    back = np.minimum(final - 2, np.searchsorted(edges, cuts[1:] - least, "right") - 1)
+    fits = (back >= 0) & (edges[np.maximum(back, 0)] >= cuts[:-1])
+    both = np.unique(np.stack([np.concatenate([at[whole], back[fits]]), np.concatenate([to[whole], final[fits]])]), axis=1)
+    return edges[both[0]], edges[both[1]]
+
+
+def _run_columns(codes: np.ndarray, cuts: np.ndarray, least: int, sums: list[R.Sums]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends, hashes and the texts' numbers of the sentence runs of one slice."""
+    start, end = sentence_runs(np.flatnonzero(_sentence_starts(codes, cuts)), cuts, least)
+    with np.errstate(over="ignore"):
+        key = R.signed(sums[0].stretches(start, end) * np.uint64(3) + sums[1].stretches(start, end))
+    return start, end, key, np.searchsorted(cuts, start, "right") - 1
+
+
+def _sums(codes: np.ndarray, powers: list[R.Powers]) -> list[R.Sums]:
+    return [R.Sums(R.mix(codes, seed), base, power) for seed, (base, power) in enumerate(zip(R.BASES, powers, strict=True))]
+
+
+def _hashed_spans(batches: Iterable[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """Seeds (h, and a hash for each of their cores) and sentence runs (run, len, and whether they end the text) of the texts."""
+    powers = [R.Powers(b) for b in R.BASES]
     length, reach = cores(least)
     for b in R.slices(batches, 1):
         codes, cuts = R.code_points(b.column(1).to_pylist())
-        values = R.mix(codes)
-        hashes = R.window_hashes(values, SEED, R.BASES[0], powers)
+        ids = b.column(0).to_numpy()
+        sums = _sums(codes, powers)
+        hashes = sums[0].windows(SEED)
         at = span_starts(codes, cuts, hashes, least - SEED - 1)
         text = np.searchsorted(cuts, at, "right") - 1
-        longer = R.signed(R.window_hashes(values, length, R.BASES[0], powers))
-        out = [pa.array(b.column(0).to_numpy()[text]), pa.array(R.signed(hashes[at])), pa.array((at - cuts[text]).astype(np.int32))]
-        for start in (at, at - reach):
-            outside = (start < cuts[text]) | (start + length > cuts[text + 1])
-            out.append(pa.array(longer[np.where(outside, 0, start)], mask=outside))
-        yield pa.RecordBatch.from_arrays(out, names=["doc_id", "h", "p", "ahead", "around"])
+        start, end, key, of = _run_columns(codes, cuts, least, sums)
+        seeds, runs = len(at), len(start)
+        columns = [pa.array(np.concatenate([ids[text], ids[of]])), pa.array(np.concatenate([at - cuts[text], start - cuts[of]]).astype(np.int32)), _padded(R.signed(hashes[at]), 0, runs)]
+        for begin in (at, at - reach):
+            outside = (begin < cuts[text]) | (begin + length > cuts[text + 1])
+            begin = np.where(outside, 0, begin)
+            near = sums[0].stretches(begin, np.minimum(begin + length, len(codes)))
+            columns.append(_padded((near >> np.uint64(32)).astype(np.uint32).view(np.int32), 0, runs, outside))
+        columns += [_padded(key, seeds, 0), _padded((end - start).astype(np.int32), seeds, 0), _padded(end == cuts[of + 1], seeds, 0)]
+        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "p", "h", "ahead", "around", "run", "len", "last"])
+
+
+def _padded(values: np.ndarray, before: int, after: int, null: np.ndarray | None = None) -> pa.Array:
+    """The values with nulls before and after them."""
+    mask = np.ones(before + len(values) + after, bool)
+    mask[before : before + len(values)] = False if null is None else null
+    return pa.array(np.concatenate([np.zeros(before, values.dtype), values, np.zeros(after, values.dtype)]), mask=mask)
+
+
+def _only_runs(batches: Iterable[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    powers = [R.Powers(b) for b in R.BASES]
+    for b in R.slices(batches, 1):
+        codes, cuts = R.code_points(b.column(1).to_pylist())
+        start, end, key, of = _run_columns(codes, cuts, least, _sums(codes, powers))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(b.column(0).to_numpy()[of]), pa.array((start - cuts[of]).astype(np.int32)), pa.array(key), pa.array((end - start).astype(np.int32))], names=["doc_id", "p", "run", "len"]
+        )
+
+
+#: The end of a covered stretch that reaches its text's end.
+OPEN_END = 2**31 - 1
+
+
+def _uncovered(batches: Iterable[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """The cores of each document, with whether some window around them has a character outside the covered stretches."""
+    length, _ = cores(least)
+    for b in batches:
+        doc, place, seed, core, open_ = [], [], [], [], []
+        for i, found, covered in zip(b.column(0).to_pylist(), b.column(1), b.column(2), strict=True):
+            at = found.values.field("at").to_numpy().astype(np.int64)
+            begin, end = _merged(covered.values.field("s").to_numpy().astype(np.int64), covered.values.field("e").to_numpy().astype(np.int64)) if covered.is_valid else (np.zeros(0, np.int64),) * 2
+            lo, hi = np.maximum(0, at + length - least), at + least
+            slot = np.searchsorted(begin, lo, "right") - 1
+            inside = np.zeros(len(at), bool)
+            if len(begin):
+                inside = (slot >= 0) & (end[slot] >= hi)
+            doc.append(np.full(len(at), i, np.int64))
+            place.append(at.astype(np.int32))
+            seed.append(found.values.field("h").to_numpy())
+            core.append(found.values.field("core").to_numpy())
+            open_.append(~inside)
+        if doc:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (doc, place, seed, core, open_)], names=["doc_id", "at", "h", "core", "open"])
+
+
+def _merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The maximal stretches of the union of [start, end)."""
+    order = np.argsort(starts, kind="stable")
+    starts, reach = starts[order], np.maximum.accumulate(ends[order]) if len(ends) else ends
+    cut = np.flatnonzero(starts[1:] > reach[:-1])
+    return np.concatenate([starts[:1], starts[cut + 1]]), np.concatenate([reach[cut], reach[-1:]])
 
 
 def _candidate_windows(batches: Iterable[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
@@ -116,33 +206,42 @@ def _candidate_windows(batches: Iterable[pa.RecordBatch], least: int) -> Iterato
                 want[max(0, p + length - least)] += 1
                 want[min(n, p + 1)] -= 1
             at = np.flatnonzero(np.cumsum(want[:-1]) > 0)
-            values = R.mix(codes)
-            hs = [R.window_hashes(v, least, base, power)[at] for v, base, power in zip((values, R.mix(codes, 1)), R.BASES, powers, strict=True)]
+            hs = [s.stretches(at, at + least) for s in _sums(codes, powers)]
             for k, x in enumerate((np.full(len(at), i, np.int64), R.signed(hs[0]), R.signed(hs[1]), at.astype(np.int32))):
                 out[k].append(x)
         if out[0]:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], names=["doc_id", "h", "g", "p"])
 
 
-def _stretches(batches: Iterable[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+def _stretches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         out: list[list[np.ndarray]] = [[], [], []]
-        for i, starts in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-            at = np.sort(np.asarray(starts.values, np.int64))
-            cut = np.flatnonzero(np.diff(at) > least)
-            first, last = np.concatenate([at[:1], at[cut + 1]]), np.concatenate([at[cut], at[-1:]])
-            for k, x in enumerate((np.full(len(first), i, np.int64), first, last + least)):
+        for i, found in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+            first, last = _merged(*(found.values.field(c).to_numpy().astype(np.int64) for c in ("s", "e")))
+            for k, x in enumerate((np.full(len(first), i, np.int64), first, last)):
                 out[k].append(x)
         if out[0]:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], names=["doc_id", "span_start", "span_end"])
 
 
-def _repeated(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
+def _repeated(rows: DataFrame, keys: list[str], name: str, *more: Column, where: str = "true") -> DataFrame:
     """The rows whose key occurs in more than one document."""
-    stats = rows.groupBy(*keys).agg(F.count("*").alias("n"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").select(*keys, "n")
+    stats = rows.groupBy(*keys).agg(F.count("*").alias("n"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), *more).filter("lo < hi").filter(where).select(*keys, "n")
     return join_by_key_stats(rows, materialize(stats, name), keys, "n", rows.count())
 
 
+def _long_texts(documents: DataFrame, least: int) -> DataFrame:
+    if least <= SEED + 2:
+        raise ValueError(f"least must be above {SEED + 2}")
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter((F.length("text") >= least) & F.col("doc_id").isNotNull())
+
+
+def _maximal(stretches: DataFrame) -> DataFrame:
+    """The maximal stretches of each document's (doc_id, s, e)."""
+    grouped = stretches.groupBy("doc_id").agg(F.collect_list(F.struct("s", "e")).alias("found"))
+    return grouped.mapInArrow(_stretches, "doc_id bigint, span_start bigint, span_end bigint")
+
+
 def shared_spans(documents: DataFrame, least: int = 200) -> DataFrame:
     """(doc_id, span_start, span_end): maximal stretches of characters that lie in ``least`` consecutive ones found in another document.
 
@@ -150,28 +249,64 @@ def shared_spans(documents: DataFrame, least: int = 200) -> DataFrame:
     needs ``doc_id`` and ``text``; other columns are ignored. Null and short texts, rows without ``doc_id`` and an empty table give no rows.
     Documents with equal texts are shared from end to end and are searched once, through their smallest doc_id.
     """
-    if least <= SEED + 2:
-        raise ValueError(f"least must be above {SEED + 2}")
-    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter((F.length("text") >= least) & F.col("doc_id").isNotNull())
+    texts = _long_texts(documents, least)
     whole = materialize(texts.select("doc_id", F.xxhash64("text").alias("h"), F.xxhash64(F.lit(1), "text", F.lit(2)).alias("g"), F.length("text").alias("len")), "whole-texts")
     equal = materialize(whole.groupBy("h", "g", "len").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")).filter("n > 1"), "equal-texts")
     copies = materialize(join_by_key_stats(whole, equal, ["h", "g", "len"], "n", whole.count()).select("doc_id", "rep", "len"), "copies")
     ends = copies.select("doc_id", F.lit(0).cast("long").alias("span_start"), F.col("len").cast("long").alias("span_end"))
     distinct = texts.join(copies.filter("doc_id <> rep").select("doc_id"), "doc_id", "left_anti")
 
-    seeds = materialize(distinct.mapInArrow(lambda it: _seed_spans(it, least), "doc_id bigint, h bigint, p int, ahead bigint, around bigint"), "spans")
-    near = _repeated(seeds, ["h"], "span-hashes")
-    sides = F.explode(F.array(F.struct(F.col("ahead").alias("h"), F.lit(0).alias("back")), F.struct(F.col("around").alias("h"), F.lit(cores(least)[1]).alias("back"))))
-    near = materialize(near.select("doc_id", "p", sides.alias("c")).filter("c.h IS NOT NULL").select("doc_id", "p", "c.h", "c.back"), "cores")
-    places = _repeated(near, ["h", "back"], "core-hashes").groupBy("doc_id").agg(F.collect_list(F.col("p") - F.col("back")).alias("starts"))
+    spans = materialize(distinct.mapInArrow(lambda it: _hashed_spans(it, least), SPANS), "spans")
+    runs = _repeated(spans.filter("run is not null").select("doc_id", "p", "run", "len", "last"), ["run", "len"], "run-hashes")
+    runs = materialize(runs.select("doc_id", F.col("p").alias("s"), (F.col("p") + F.col("len")).alias("e"), "last"), "repeated-runs")
+    known = runs.select("doc_id", "s", F.when(F.col("last"), F.lit(OPEN_END)).otherwise(F.col("e")).alias("e"))
+    known = known.unionByName(copies.filter("doc_id = rep").select("doc_id", F.lit(0).alias("s"), F.lit(OPEN_END).alias("e")))
+
+    near = _repeated(spans.filter("h is not null").select("doc_id", "p", "h", "ahead", "around"), ["h"], "span-hashes")
+    sides = F.explode(F.array(F.struct(F.col("ahead").alias("core"), F.col("p").alias("at")), F.struct(F.col("around").alias("core"), (F.col("p") - cores(least)[1]).alias("at"))))
+    near = near.select("doc_id", "h", sides.alias("c")).filter("c.core IS NOT NULL").groupBy("doc_id").agg(F.collect_list(F.struct("c.at", "h", "c.core")).alias("cores"))
+    near = near.join(known.groupBy("doc_id").agg(F.collect_list(F.struct("s", "e")).alias("covered")), "doc_id", "left")
+    near = materialize(near.mapInArrow(lambda it: _uncovered(it, least), "doc_id bigint, at int, h bigint, core int, open boolean"), "cores")
+    # the side of a core follows from its length before the seed, so equal seeds and cores are equal stretches up to a chance of 2**-32
+    places = _repeated(near, ["h", "core"], "core-hashes", F.bool_or("open").alias("open"), where="open").groupBy("doc_id").agg(F.collect_set("at").alias("starts"))
     searched = texts.join(materialize(places, "core-places"), "doc_id").select("doc_id", "text", "starts")
     windows = materialize(searched.mapInArrow(lambda it: _candidate_windows(it, least), "doc_id bigint, h bigint, g bigint, p int"), "windows")
-    starts = _repeated(windows, ["h", "g"], "window-hashes").join(copies.select("doc_id"), "doc_id", "left_anti").groupBy("doc_id").agg(F.collect_list("p").alias("starts"))
-    found = materialize(starts.mapInArrow(lambda it: _stretches(it, least), "doc_id bigint, span_start bigint, span_end bigint"), "stretches")
-    release(seeds, windows)
+    exact = _repeated(windows, ["h", "g"], "window-hashes").select("doc_id", F.col("p").alias("s"), (F.col("p") + least).alias("e"))
+    found = exact.unionByName(runs.select("doc_id", "s", "e")).join(copies.select("doc_id"), "doc_id", "left_anti")
+    found = materialize(_maximal(found), "stretches")
+    release(spans, runs, near, windows)
     return ends.unionByName(found)
 
 
+def removable(documents: DataFrame, least: int = 200) -> DataFrame:
+    """(doc_id, span_start, span_end): the sentences covered by a repeated run of sentences that is not the first of its kind.
+
+    Runs have two sentences or more and at least ``least`` characters; the first is the one with the smallest doc_id
+    and start. A run said twice in one document counts too. Adjoining sentences come as one stretch. Null and short
+    texts, rows without ``doc_id`` and an empty table give no rows.
+    """
+    runs = materialize(_long_texts(documents, least).mapInArrow(lambda it: _only_runs(it, least), "doc_id bigint, p int, run bigint, len int"), "sentence-runs")
+    stats = runs.groupBy("run", "len").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "p")).alias("first")).filter("n > 1")
+    again = join_by_key_stats(runs, materialize(stats, "run-hashes"), ["run", "len"], "n", runs.count()).filter(F.struct("doc_id", "p") != F.col("first"))
+    return _maximal(again.select("doc_id", F.col("p").alias("s"), (F.col("p") + F.col("len")).alias("e")))
+
+
+def without_repeats(documents: DataFrame, least: int = 200) -> DataFrame:
+    """(doc_id, text) without the sentences of ``removable``; null and short texts stay as they are."""
+
+    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = b.column(1).to_pylist()
+            for k, found in enumerate(b.column(2).to_pylist()):
+                for x in sorted(found or (), key=lambda x: -x["span_start"]):
+                    texts[k] = texts[k][: x["span_start"]] + texts[k][x["span_end"] :]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], names=["doc_id", "text"])
+
+    gone = removable(documents, least).groupBy("doc_id").agg(F.collect_list(F.struct("span_start", "span_end")).alias("gone"))
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(gone, "doc_id", "left")
+    return rows.mapInArrow(cut, "doc_id bigint, text string")
+
+
 def shared_share(documents: DataFrame, least: int = 200) -> DataFrame:
     """How much of each document is shared: doc_id, n_chars, shared_chars and shared_fraction (0 for null and empty texts)."""
     spans = shared_spans(documents, least).groupBy("doc_id").agg(F.sum(F.col("span_end") - F.col("span_start")).alias("shared_chars"))

@@ -77,6 +77,21 @@ def test_spans_of_nothing(spark):
     assert spans.shared_spans(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_sentences_of_later_runs_are_removed(spark):
+    rng = random.Random(4)
+    own = [prose(rng, 150) + ". " for _ in range(6)]
+    shared = "First sentence of a passage that stands in several documents. " * 2 + "And a third one that closes the passage with quite some more words in it. Done. "
+    rows = [(1, own[0] + shared + own[1]), (2, own[2] + shared + own[3]), (3, shared + own[4]), (4, own[5]), (5, None), (6, "short"), (7, shared + own[5] + shared)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("run", F.lit(1))
+    for i, a, b in [tuple(r) for r in spans.removable(df).collect()]:
+        assert dict(rows)[i][a:b] in shared + own[5] + shared and i != 1
+    kept = {r.doc_id: r.text for r in spans.without_repeats(df).collect()}
+    assert {i: kept[i] for i in (1, 4, 5, 6)} == {i: t for i, t in rows if i in (1, 4, 5, 6)}
+    assert kept[2] == own[2] + own[3] and kept[3] == own[4]
+    assert "First sentence" not in kept[7]
+    assert spans.removable(df.limit(0)).count() == 0
+
+
 ODD = ["", None, " ", "\n\n ", "a  b   c", "don't we'll I'M 's", "<|endoftext|> x", "naïve café 日本語 🙂👍🏽", "x y z\u0085w", "１２３ ²³ Ⅷ", "é ﬁ", "​﻿", "tab\tand\r\nline", "͸\U000e0fff odd", "ab" * 3000, "1234567890" * 50, "\x1c\x1d words"]
 
 
