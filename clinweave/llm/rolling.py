@@ -8,6 +8,7 @@ folds to: none for what is skipped, two for a letter such as sharp s under case
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +44,16 @@ def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
         return z ^ (z >> U64(31))
 
 
+@lru_cache(maxsize=4)
+def _character_values(seed: int) -> np.ndarray:
+    return mix(np.arange(0x110000, dtype=np.uint32), seed)
+
+
+def character_values(codes: np.ndarray, seed: int = 0) -> np.ndarray:
+    """``mix`` of each code point, looked up in a table."""
+    return _character_values(seed)[codes]
+
+
 def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """All code points of the batch and the offsets of its texts (one more than texts)."""
     raw = "".join(texts).encode("utf-32-le", "surrogatepass")

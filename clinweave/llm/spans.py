@@ -10,8 +10,8 @@ What they leave is searched exactly. Spans of SEED characters are hashed from ev
 ``least - SEED`` characters hold none, from the place whose span has the smallest hash. Both choices depend only on
 the characters of the stretch itself, so two texts that share ``least`` characters share at least one such span in
 them. Each window of ``least`` characters around a span also holds one of two longer stretches, its cores. Where a
-core is repeated and some window around one of its occurrences has a character that no run covers, every window of
-``least`` characters around its occurrences is hashed and joined, which gives the shared characters exactly.
+core is repeated, the windows of ``least`` characters around its occurrences are hashed and joined, from the first to
+the last that has a character which no run covers in any of them. This gives the shared characters exactly.
 """
 
 from __future__ import annotations
@@ -116,7 +116,7 @@ def _run_columns(codes: np.ndarray, cuts: np.ndarray, least: int, sums: list[R.S
 
 
 def _sums(codes: np.ndarray, powers: list[R.Powers]) -> list[R.Sums]:
-    return [R.Sums(R.mix(codes, seed), base, power) for seed, (base, power) in enumerate(zip(R.BASES, powers, strict=True))]
+    return [R.Sums(R.character_values(codes, seed), base, power) for seed, (base, power) in enumerate(zip(R.BASES, powers, strict=True))]
 
 
 def _hashed_spans(batches: Iterable[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
@@ -164,25 +164,25 @@ OPEN_END = 2**31 - 1
 
 
 def _uncovered(batches: Iterable[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
-    """The cores of each document, with whether some window around them has a character outside the covered stretches."""
+    """The cores of each document, with the first and last window around them (counted from the core) that has a character outside the covered stretches."""
     length, _ = cores(least)
+    steps = np.arange(length - least, 1)
     for b in batches:
-        doc, place, seed, core, open_ = [], [], [], [], []
+        out: list[list[np.ndarray]] = [[], [], [], [], [], []]
         for i, found, covered in zip(b.column(0).to_pylist(), b.column(1), b.column(2), strict=True):
-            at = found.values.field("at").to_numpy().astype(np.int64)
-            begin, end = _merged(covered.values.field("s").to_numpy().astype(np.int64), covered.values.field("e").to_numpy().astype(np.int64)) if covered.is_valid else (np.zeros(0, np.int64),) * 2
-            lo, hi = np.maximum(0, at + length - least), at + least
-            slot = np.searchsorted(begin, lo, "right") - 1
-            inside = np.zeros(len(at), bool)
+            at, seed, core = (found.values.field(c).to_numpy() for c in ("at", "h", "core"))
+            begin, end = _merged(*(covered.values.field(c).to_numpy().astype(np.int64) for c in ("s", "e"))) if covered.is_valid else (np.zeros(0, np.int64),) * 2
+            windows = at.astype(np.int64)[:, None] + steps
+            needed = windows >= 0
             if len(begin):
-                inside = (slot >= 0) & (end[slot] >= hi)
-            doc.append(np.full(len(at), i, np.int64))
-            place.append(at.astype(np.int32))
-            seed.append(found.values.field("h").to_numpy())
-            core.append(found.values.field("core").to_numpy())
-            open_.append(~inside)
-        if doc:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (doc, place, seed, core, open_)], names=["doc_id", "at", "h", "core", "open"])
+                slot = np.searchsorted(begin, windows, "right") - 1
+                needed &= (slot < 0) | (end[slot] < windows + least)
+            some = needed.any(axis=1)
+            first, last = steps[needed.argmax(axis=1)], steps[::-1][needed[:, ::-1].argmax(axis=1)]
+            for k, x in enumerate((np.full(len(at), i, np.int64), at, seed, core, np.where(some, first, 1).astype(np.int32), np.where(some, last, -least).astype(np.int32))):
+                out[k].append(x)
+        if out[0]:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], names=["doc_id", "at", "h", "core", "first", "final"])
 
 
 def _merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -195,16 +195,14 @@ def _merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 def _candidate_windows(batches: Iterable[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
     powers = [R.Powers(b) for b in R.BASES]
-    length, _ = cores(least)
     for b in R.slices(batches, 1):
         out: list[list[np.ndarray]] = [[], [], [], []]
-        for i, text, starts in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+        for i, text, wanted in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
             codes, _ = R.code_points([text])
             n = len(codes) - least + 1
             want = np.zeros(n + 1, np.int64)
-            for p in starts:  # every window of `least` characters that contains the core
-                want[max(0, p + length - least)] += 1
-                want[min(n, p + 1)] -= 1
+            np.add.at(want, np.clip(wanted.values.field("s").to_numpy(), 0, n), 1)
+            np.add.at(want, np.clip(wanted.values.field("e").to_numpy() + 1, 0, n), -1)
             at = np.flatnonzero(np.cumsum(want[:-1]) > 0)
             hs = [s.stretches(at, at + least) for s in _sums(codes, powers)]
             for k, x in enumerate((np.full(len(at), i, np.int64), R.signed(hs[0]), R.signed(hs[1]), at.astype(np.int32))):
@@ -224,10 +222,11 @@ def _stretches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], names=["doc_id", "span_start", "span_end"])
 
 
-def _repeated(rows: DataFrame, keys: list[str], name: str, *more: Column, where: str = "true") -> DataFrame:
-    """The rows whose key occurs in more than one document."""
-    stats = rows.groupBy(*keys).agg(F.count("*").alias("n"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), *more).filter("lo < hi").filter(where).select(*keys, "n")
-    return join_by_key_stats(rows, materialize(stats, name), keys, "n", rows.count())
+def _repeated(rows: DataFrame, keys: list[str], name: str, stats: dict[str, Column] | None = None, where: str = "true") -> DataFrame:
+    """The rows whose key occurs in more than one document, with further ``stats`` of their key."""
+    more = stats or {}
+    found = rows.groupBy(*keys).agg(F.count("*").alias("n"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), *[c.alias(k) for k, c in more.items()])
+    return join_by_key_stats(rows, materialize(found.filter("lo < hi").filter(where).select(*keys, "n", *more), name), keys, "n", rows.count())
 
 
 def _long_texts(documents: DataFrame, least: int) -> DataFrame:
@@ -266,10 +265,12 @@ def shared_spans(documents: DataFrame, least: int = 200) -> DataFrame:
     sides = F.explode(F.array(F.struct(F.col("ahead").alias("core"), F.col("p").alias("at")), F.struct(F.col("around").alias("core"), (F.col("p") - cores(least)[1]).alias("at"))))
     near = near.select("doc_id", "h", sides.alias("c")).filter("c.core IS NOT NULL").groupBy("doc_id").agg(F.collect_list(F.struct("c.at", "h", "c.core")).alias("cores"))
     near = near.join(known.groupBy("doc_id").agg(F.collect_list(F.struct("s", "e")).alias("covered")), "doc_id", "left")
-    near = materialize(near.mapInArrow(lambda it: _uncovered(it, least), "doc_id bigint, at int, h bigint, core int, open boolean"), "cores")
-    # the side of a core follows from its length before the seed, so equal seeds and cores are equal stretches up to a chance of 2**-32
-    places = _repeated(near, ["h", "core"], "core-hashes", F.bool_or("open").alias("open"), where="open").groupBy("doc_id").agg(F.collect_set("at").alias("starts"))
-    searched = texts.join(materialize(places, "core-places"), "doc_id").select("doc_id", "text", "starts")
+    near = materialize(near.mapInArrow(lambda it: _uncovered(it, least), "doc_id bigint, at int, h bigint, core int, first int, final int"), "cores")
+    # the part of a core beyond its seed is hashed to 32 bits; a chance agreement only adds windows to compare
+    reach = {"lo_window": F.min("first"), "hi_window": F.max("final")}
+    places = _repeated(near, ["h", "core"], "core-hashes", reach, "lo_window <= hi_window")
+    places = places.groupBy("doc_id").agg(F.collect_list(F.struct((F.col("at") + F.col("lo_window")).alias("s"), (F.col("at") + F.col("hi_window")).alias("e"))).alias("wanted"))
+    searched = texts.join(materialize(places, "core-places"), "doc_id").select("doc_id", "text", "wanted")
     windows = materialize(searched.mapInArrow(lambda it: _candidate_windows(it, least), "doc_id bigint, h bigint, g bigint, p int"), "windows")
     exact = _repeated(windows, ["h", "g"], "window-hashes").select("doc_id", F.col("p").alias("s"), (F.col("p") + least).alias("e"))
     found = exact.unionByName(runs.select("doc_id", "s", "e")).join(copies.select("doc_id"), "doc_id", "left_anti")
