@@ -202,7 +202,7 @@ def _candidate_windows(batches: Iterable[pa.RecordBatch], least: int) -> Iterato
             n = len(codes) - least + 1
             want = np.zeros(n + 1, np.int64)
             np.add.at(want, np.clip(wanted.values.field("s").to_numpy(), 0, n), 1)
-            np.add.at(want, np.clip(wanted.values.field("e").to_numpy() + 1, 0, n), -1)
+            np.add.at(want, np.clip(wanted.values.field("e").to_numpy(), 0, n), -1)
             at = np.flatnonzero(np.cumsum(want[:-1]) > 0)
             hs = [s.stretches(at, at + least) for s in _sums(codes, powers)]
             for k, x in enumerate((np.full(len(at), i, np.int64), R.signed(hs[0]), R.signed(hs[1]), at.astype(np.int32))):
@@ -269,8 +269,9 @@ def shared_spans(documents: DataFrame, least: int = 200) -> DataFrame:
     # the part of a core beyond its seed is hashed to 32 bits; a chance agreement only adds windows to compare
     reach = {"lo_window": F.min("first"), "hi_window": F.max("final")}
     places = _repeated(near, ["h", "core"], "core-hashes", reach, "lo_window <= hi_window")
-    places = places.groupBy("doc_id").agg(F.collect_list(F.struct((F.col("at") + F.col("lo_window")).alias("s"), (F.col("at") + F.col("hi_window")).alias("e"))).alias("wanted"))
-    searched = texts.join(materialize(places, "core-places"), "doc_id").select("doc_id", "text", "wanted")
+    wanted = _maximal(places.select("doc_id", (F.col("at") + F.col("lo_window")).alias("s"), (F.col("at") + F.col("hi_window") + 1).alias("e")))
+    wanted = wanted.groupBy("doc_id").agg(F.collect_list(F.struct(F.col("span_start").cast("int").alias("s"), F.col("span_end").cast("int").alias("e"))).alias("wanted"))
+    searched = texts.join(materialize(wanted, "core-places"), "doc_id").select("doc_id", "text", "wanted")
     windows = materialize(searched.mapInArrow(lambda it: _candidate_windows(it, least), "doc_id bigint, h bigint, g bigint, p int"), "windows")
     exact = _repeated(windows, ["h", "g"], "window-hashes").select("doc_id", F.col("p").alias("s"), (F.col("p") + least).alias("e"))
     found = exact.unionByName(runs.select("doc_id", "s", "e")).join(copies.select("doc_id"), "doc_id", "left_anti")
