@@ -4,22 +4,23 @@ from __future__ import annotations
 
 import json
 import time
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
+from typing import Protocol
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from clinweave.errors import KnowledgeIndexError, KnowledgeStoreError
 from clinweave.functions.vectors import cosine_distance
 from clinweave.operators.embedding import Embed, checked
-from clinweave.plans.scratch import materialize
+from clinweave.plans.scratch import materialize, release
 
-
-#: Queries that are sent to the executors at once.
-QUERY_BLOCK = 20_000
+#: Queries and vectors that are compared at once, in one task.
+QUERY_BLOCK = 10_000
+VECTOR_BLOCK = 50_000
 
 
 def upserted(existing: DataFrame, new: DataFrame, key: str = "record_id") -> DataFrame:
@@ -30,91 +31,141 @@ def upserted(existing: DataFrame, new: DataFrame, key: str = "record_id") -> Dat
 def top_k(queries: DataFrame, vectors: DataFrame, k: int = 5) -> DataFrame:
     """The ``k`` nearest vectors of each query by cosine distance: query_id, vec_id, distance, rank; ties go by id.
 
-    ``queries`` has query_id and embedding, ``vectors`` vec_id and embedding. Exact: each task compares its vectors
-    with blocks of queries by matrix products and keeps k per query, so tasks x queries x k rows are shuffled.
-    Zero vectors have no distance and are left out. Queries are sent in blocks of about QUERY_BLOCK, each block
-    against all vectors; distances are rounded to six digits.
+    ``queries`` has query_id and embedding, ``vectors`` vec_id and embedding. Exact: queries and vectors are numbered
+    into blocks of about QUERY_BLOCK and VECTOR_BLOCK, and each pair of blocks meets in one task, which compares them by
+    matrix products and keeps k per query. The best k of all blocks are chosen by rank, cut to k before the shuffle.
+    Zero vectors and null embeddings have no distance and are left out; distances are rounded to six digits.
     """
-    count = queries.count()
-    blocks = max(1, -(-count // QUERY_BLOCK))
-    found = None
-    for i in range(blocks):
-        part = queries if blocks == 1 else queries.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == i)
-        near = _nearest(part, vectors, k)
-        found = near if found is None else found.unionByName(near)
-    best = found.groupBy("query_id").agg(F.slice(F.sort_array(F.collect_list(F.struct("distance", "vec_id"))), 1, k).alias("best"))
-    return best.select("query_id", F.posexplode("best").alias("at", "b")).select("query_id", F.col("b.vec_id").alias("vec_id"), F.col("b.distance").alias("distance"), (F.col("at") + 1).alias("rank"))
-
-
-def _nearest(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
-    """The best k of each batch of vectors for each query of one block, by distance to six digits, then id."""
-    rows = queries.select("query_id", "embedding").toArrow()
-    ids = rows.column("query_id").to_numpy()
-    asked = np.array(rows.column("embedding").to_pylist(), np.float64) if len(ids) else np.zeros((0, 0))
-    norms = np.linalg.norm(asked, axis=1) if len(ids) else np.zeros(0)
-    keep = norms > 0
-    sent = queries.sparkSession.sparkContext.broadcast((ids[keep], asked[keep] / norms[keep, None] if keep.any() else asked[keep]))
-
-    def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        q_ids, q = sent.value
-        for b in batches:
-            v = np.array(b.column(1).to_pylist(), np.float64).reshape(b.num_rows, -1)
-            n = np.linalg.norm(v, axis=1)
-            own, v, n = b.column(0).to_numpy(zero_copy_only=False)[n > 0], v[n > 0], n[n > 0]
-            if not len(own) or not len(q_ids):
-                continue
-            order = np.argsort(own, kind="stable")
-            own, v = own[order], v[order] / n[order, None]
-            take = min(k, len(own))
-            for s in range(0, len(q_ids), 256):
-                micro = np.rint((1.0 - q[s : s + 256] @ v.T) * 1e6).astype(np.int64)
-                best = np.argpartition(micro * len(own) + np.arange(len(own)), take - 1, axis=1)[:, :take]
-                d = np.take_along_axis(micro, best, 1) / 1e6
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(q_ids[s : s + 256], take)), pa.array(own[best.ravel()]), pa.array(d.ravel())], names=["query_id", "vec_id", "distance"])
-
-    return vectors.select("vec_id", "embedding").mapInArrow(compare, "query_id bigint, vec_id bigint, distance double")
+    spark = queries.sparkSession
+    across = max(1, -(-queries.count() // QUERY_BLOCK))
+    down = max(spark.sparkContext.defaultParallelism, -(-vectors.count() // VECTOR_BLOCK))
+
+    def blocked(rows: DataFrame, key: str, own: str, n: int, other: str, others: int) -> DataFrame:
+        kept = rows.filter("embedding is not null").select(F.col(key).cast("long").alias("id"), F.col("embedding").cast("array<double>").alias("embedding"), F.pmod(F.xxhash64(key), F.lit(n)).alias(own))
+        return kept.withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(others - 1))))
+
+    left = blocked(queries, "query_id", "across", across, "down", down).groupBy("across", "down")
+    right = blocked(vectors, "vec_id", "down", down, "across", across).groupBy("across", "down")
+
+    def nearest(asked: pa.Table, held: pa.Table) -> pa.Table:
+        return _nearest(asked, held, k)
+
+    near = left.cogroup(right).applyInArrow(nearest, "query_id long, vec_id long, distance double")
+    order = Window.partitionBy("query_id").orderBy("distance", "vec_id")
+    return near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "vec_id", "distance", "rank")
+
+
+def _units(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and unit vectors of a block in the order of ids, without zero vectors."""
+    ids = table.column("id").to_numpy()
+    values = table.column("embedding").combine_chunks()
+    v = np.asarray(values.flatten() if isinstance(values, pa.ListArray) else [], np.float64).reshape(len(ids), -1)
+    norms = np.linalg.norm(v, axis=1)
+    order = np.argsort(ids, kind="stable")
+    order = order[norms[order] > 0]
+    return ids[order], v[order] / norms[order, None]
+
+
+def _nearest(asked: pa.Table, held: pa.Table, k: int) -> pa.Table:
+    """The best k of a block of vectors for each query of a block, by distance to six digits, then id."""
+    found: list[list[np.ndarray]] = [[np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]]
+    if len(asked) and len(held):
+        (q_ids, q), (own, v) = _units(asked), _units(held)
+        take = min(k, len(own))
+        for s in range(0, len(q_ids) if take else 0, 256):
+            micro = np.rint((1.0 - q[s : s + 256] @ v.T) * 1e6).astype(np.int64)
+            best = np.argpartition(micro * len(own) + np.arange(len(own)), take - 1, axis=1)[:, :take]
+            for column, x in zip(found, (np.repeat(q_ids[s : s + 256], take), own[best.ravel()], np.take_along_axis(micro, best, 1).ravel() / 1e6), strict=True):
+                column.append(x)
+    return pa.table([pa.array(np.concatenate(x)) for x in found], names=["query_id", "vec_id", "distance"])
+
+
+class VectorStore(Protocol):
+    """What indexing and searching need of a store."""
+
+    dimension: int
+
+    def upsert(self, rows: DataFrame) -> None: ...
+
+    def count(self) -> int: ...
+
+    def search(self, query: str, embed: Embed, k: int = 5) -> DataFrame: ...
 
 
 class Collection:
-    """A named collection under a folder: versions of parquet and a pointer to the current one."""
+    """A named collection under a folder: rows in BUCKETS buckets by a hash of their id, and numbered manifests.
+
+    A manifest names the folder of each bucket. An upsert writes the buckets that it touches to a new folder and then
+    publishes the next manifest under its final name; the one with the greatest number holds. So readers see the old
+    rows or the new ones, also if a writer ends halfway, and a second writer with the same number fails.
+    """
+
+    BUCKETS = 64
 
-    def __init__(self, spark: SparkSession, folder: str, name: str, dimension: int) -> None:
-        self.spark, self.root, self.dimension = spark, f"{folder.rstrip('/')}/{name}", dimension
-        jvm = spark.sparkContext._jvm
-        self._path = jvm.org.apache.hadoop.fs.Path
+    def __init__(self, spark: SparkSession, folder: str, name: str, dimension: int, read_only: bool = False) -> None:
+        self.spark, self.root, self.dimension, self.read_only = spark, f"{folder.rstrip('/')}/{name}", dimension, read_only
+        self._path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
-    def _current(self) -> str | None:
-        pointer = self._path(f"{self.root}/CURRENT")
-        if not self._fs.exists(pointer):
+    def _manifest(self) -> dict | None:
+        folder = self._path(f"{self.root}/manifests")
+        numbers = [f.getPath().getName() for f in self._fs.listStatus(folder)] if self._fs.exists(folder) else []
+        numbers = sorted(n for n in numbers if n.endswith(".json"))
+        if not numbers:
+            return None
+        found = json.loads(self.spark.read.text(f"{self.root}/manifests/{numbers[-1]}", wholetext=True).first().value)
+        if found["dimension"] != self.dimension:
+            raise KnowledgeStoreError(f"the collection has vectors of {found['dimension']} dimensions")
+        return found
+
+    def _publish(self, manifest: dict) -> None:
+        number = f"{manifest['number']:012d}"
+        temporary = self._path(f"{self.root}/.{number}-{time.time_ns()}")
+        out = self._fs.create(temporary, False)
+        out.write(bytearray(json.dumps(manifest, sort_keys=True).encode()))
+        out.close()
+        self._fs.mkdirs(self._path(f"{self.root}/manifests"))
+        final = self._path(f"{self.root}/manifests/{number}.json")
+        if self._fs.exists(final) or not self._fs.rename(temporary, final):
+            raise KnowledgeStoreError("another writer published first")
+
+    def _rows(self, manifest: dict, buckets: set[int] | None = None) -> DataFrame | None:
+        paths = [path for bucket, path in sorted(manifest["buckets"].items()) if buckets is None or int(bucket) in buckets]
+        if not paths:
             return None
-        return json.loads(self.spark.read.text(f"{self.root}/CURRENT", wholetext=True).first().value)["version"]
-
-    def read(self) -> DataFrame | None:
-        """The rows, or None before the first write."""
-        version = self._current()
         try:
-            return None if version is None else self.spark.read.parquet(f"{self.root}/{version}")
+            rows = self.spark.read.parquet(*[f"{self.root}/{p}" for p in paths])
         except AnalysisException as e:
             raise KnowledgeStoreError("the collection cannot be read") from e
+        types = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
+        if types.get("record_id") != "string" or types.get("text") != "string" or not types.get("embedding", "").startswith("array<"):
+            raise KnowledgeStoreError("the collection's rows have other columns than record_id, text and embedding")
+        return rows
+
+    def read(self) -> DataFrame | None:
+        """The rows, or None before the first write."""
+        manifest = self._manifest()
+        return None if manifest is None else self._rows(manifest)
 
     def upsert(self, rows: DataFrame) -> None:
-        """Replaces rows of the same record_id and adds the others; the pointer moves only after a whole new version is written."""
-        bad = rows.filter((F.size("embedding") != self.dimension) | F.col("embedding").isNull()).isEmpty()
-        if not bad:
-            raise KnowledgeStoreError(f"vectors must have {self.dimension} dimensions")
-        old = self.read()
-        if old is not None and rows.isEmpty():
-            return
-        version = f"v{time.time_ns()}"
-        (rows if old is None else upserted(old, rows)).write.parquet(f"{self.root}/{version}")
-        temporary = self._path(f"{self.root}/.{version}.pointer")
-        out = self._fs.create(temporary, True)
-        out.write(bytearray(json.dumps({"version": version, "metric": "cosine", "dimension": self.dimension}).encode()))
-        out.close()
-        self._fs.delete(self._path(f"{self.root}/CURRENT"), False)
-        if not self._fs.rename(temporary, self._path(f"{self.root}/CURRENT")):
-            raise KnowledgeStoreError("the new version could not be published")
+        """Replaces rows of the same record_id and adds the others; rows are computed once. No rows change nothing. Ids are unique."""
+        if self.read_only:
+            raise KnowledgeStoreError("the collection may only be read")
+        bucket = F.pmod(F.xxhash64("record_id"), F.lit(self.BUCKETS))
+        rows = materialize(rows.withColumn("bucket", bucket), "embedded")
+        seen = rows.agg(F.collect_set("bucket"), F.count_if(F.col("embedding").isNull() | (F.size("embedding") != self.dimension) | F.col("record_id").isNull())).first()
+        if seen[1]:
+            raise KnowledgeStoreError(f"rows need a record_id and vectors of {self.dimension} dimensions")
+        touched = set(seen[0])
+        manifest = self._manifest() or {"number": 0, "metric": "cosine", "dimension": self.dimension, "buckets": {}}
+        if touched:
+            old = self._rows(manifest, touched)
+            whole = rows if old is None else upserted(old.withColumn("bucket", bucket), rows)
+            folder = f"data/{manifest['number'] + 1:012d}-{time.time_ns()}"
+            whole.repartition("bucket").write.partitionBy("bucket").parquet(f"{self.root}/{folder}")
+            places = {str(b): f"{folder}/bucket={b}" for b in touched}
+            self._publish(manifest | {"number": manifest["number"] + 1, "buckets": manifest["buckets"] | places})
+        release(rows)
 
     def count(self) -> int:
         rows = self.read()
@@ -135,7 +186,7 @@ class Collection:
         return hits.filter("distance is not null").orderBy("distance", "record_id").limit(k).select("record_id", "text", "metadata", "distance")
 
 
-def index_chunks(chunks: DataFrame, collection: Collection, embed: Embed, batch_size: int = 100) -> DataFrame:
+def index_chunks(chunks: DataFrame, collection: VectorStore, embed: Embed, batch_size: int = 100) -> DataFrame:
     """Embeds chunks, upserts them and gives the summary row with the collection's count."""
     from clinweave.operators.chunking import index_summary
     from clinweave.operators.embedding import embed_texts

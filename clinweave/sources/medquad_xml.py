@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Iterator
 from xml.etree import ElementTree
+from xml.parsers import expat
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -13,57 +13,81 @@ from pyspark.sql import functions as F
 from clinweave.errors import DatasetPreparationError, ScanError
 from clinweave.operators.canonical import collection_of
 
-_SPACES = re.compile(r"\s+")
 PAIR = pa.struct([("position", pa.int32()), *((n, pa.string()) for n in ("pair_id", "question_id", "question_type", "question", "answer"))])
 _TEXTS = ("document_id", "publisher", "source_url", "focus", "category")
 _LISTS = ("synonyms", "umls_cuis", "umls_semantic_types", "umls_semantic_groups")
 PARSED = ", ".join([*(f"{n} string" for n in _TEXTS), *(f"{n} array<string>" for n in _LISTS), "pairs array<struct<position:int,pair_id:string,question_id:string,question_type:string,question:string,answer:string>>", "parse_error string"])
 
-# Where the two layouts keep each field. Direct children come in order of preference.
+# Where the two layouts keep each field. Names that come first win.
 ATTRIBUTES = {"document_id": ("id", "docid", "fid"), "publisher": ("source", "corpus"), "source_url": ("url",)}
-CHILDREN = {"focus": ("Focus", "doctitle-focus"), "category": ("./FocusAnnotations/Category", "Category")}
+CHILDREN = {"focus": (("Focus",), ("doctitle-focus",)), "category": (("FocusAnnotations", "Category"), ("Category",))}
 DESCENDANTS = {
-    "synonyms": (".//Synonym", ".//synonym"), "umls_cuis": (".//CUI", ".//cui"),
-    "umls_semantic_types": (".//SemanticType", ".//semanticType"), "umls_semantic_groups": (".//SemanticGroup", ".//semanticGroup"),
+    "synonyms": ("Synonym", "synonym"), "umls_cuis": ("CUI", "cui"),
+    "umls_semantic_types": ("SemanticType", "semanticType"), "umls_semantic_groups": ("SemanticGroup", "semanticGroup"),
 }
 PAIRS = ("QAPair", "pair")
+QUESTIONS, ANSWERS = (("Question",), ("question",)), (("Answer",), ("answer",))
 
 
-def _clean(text: str | None) -> str:
-    return _SPACES.sub(" ", text or "").strip()
+def _tidy(*pieces: str | None) -> str:
+    """Pieces of text joined by a blank, with runs of white space as one blank."""
+    return " ".join(word for piece in pieces if piece for word in piece.split())
 
 
-def _content(element: ElementTree.Element | None) -> str:
-    """All text below an element, parts joined by a blank."""
-    return "" if element is None else _clean(" ".join(element.itertext()))
+def _text(node: ElementTree.Element | None) -> str:
+    return _tidy(*node.itertext()) if node is not None else ""
 
 
-def _attribute(element: ElementTree.Element | None, names: Iterable[str]) -> str | None:
-    return None if element is None else next((v for v in (_clean(element.get(n)) for n in names) if v), None)
+def _named(node: ElementTree.Element | None, names: tuple[str, ...]) -> str | None:
+    """The first attribute of that name that says something."""
+    said = [_tidy(node.get(name)) for name in names] if node is not None else []
+    return next(filter(None, said), None)
 
 
-def _child(element: ElementTree.Element, paths: Iterable[str]) -> ElementTree.Element | None:
-    """The first path that has an element, even an empty one."""
-    return next((e for e in (element.find(p) for p in paths) if e is not None), None)
+def _below(node: ElementTree.Element, ways: tuple[tuple[str, ...], ...]) -> ElementTree.Element | None:
+    """The element at the end of the first way down that exists, empty or not."""
+    for way in ways:
+        level = [node]
+        for tag in way:
+            level = [child for parent in level for child in parent if child.tag == tag]
+        if level:
+            return level[0]
+    return None
 
 
-def parse_document(data: bytes) -> dict:
-    """The fields of one file; raises ValueError for what is not well-formed or declares entities."""
-    if re.search(rb"<!ENTITY", data):
+def _tree(data: bytes) -> ElementTree.Element:
+    """The root of a well-formed file; the parser itself refuses entity declarations, in any encoding."""
+
+    def refuse(*_: object) -> None:
         raise ValueError("entity declarations are not allowed")
+
+    guard = expat.ParserCreate()
+    guard.EntityDeclHandler = refuse
     try:
-        root = ElementTree.fromstring(data)
-    except (ElementTree.ParseError, LookupError, UnicodeError) as e:
+        guard.Parse(data, True)
+        return ElementTree.fromstring(data)
+    except (expat.ExpatError, ElementTree.ParseError, LookupError, UnicodeError) as e:
         raise ValueError(str(e)) from e
-    pairs = []
-    for position, node in enumerate((e for tag in PAIRS for e in root.iter(tag)), 1):
-        question, answer = _child(node, ("Question", "question")), _child(node, ("Answer", "answer"))
-        pairs.append({
-            "position": position, "pair_id": _attribute(node, ("pid",)), "question_id": _attribute(question, ("qid",)), "question_type": _attribute(question, ("qtype",)),
-            "question": _content(question), "answer": _content(answer),
-        })
-    lists = {k: list(dict.fromkeys(t for p in paths for t in map(_content, root.iterfind(p)) if t)) for k, paths in DESCENDANTS.items()}
-    return {k: _attribute(root, names) for k, names in ATTRIBUTES.items()} | {k: _content(_child(root, paths)) or None for k, paths in CHILDREN.items()} | lists | {"pairs": pairs}
+
+
+def parse_document(data: bytes) -> dict:
+    """The fields of one file; raises ValueError for what is not well-formed or declares entities."""
+    root = _tree(data)
+    by_tag: dict[str, list[ElementTree.Element]] = {}
+    for node in root.iter():  # one walk, in document order
+        by_tag.setdefault(node.tag, []).append(node)
+    found: dict = {name: _named(root, names) for name, names in ATTRIBUTES.items()}
+    found |= {name: _text(_below(root, ways)) or None for name, ways in CHILDREN.items()}
+    for name, tags in DESCENDANTS.items():
+        texts = (_text(node) for tag in tags for node in by_tag.get(tag, ()) if node is not root)
+        found[name] = list(dict.fromkeys(filter(None, texts)))
+    found["pairs"] = []
+    for node in (node for tag in PAIRS for node in by_tag.get(tag, ())):
+        question = _below(node, QUESTIONS)
+        texts = {"question": _text(question), "answer": _text(_below(node, ANSWERS))}
+        ids = {"pair_id": _named(node, ("pid",)), "question_id": _named(question, ("qid",)), "question_type": _named(question, ("qtype",))}
+        found["pairs"].append({"position": len(found["pairs"]) + 1} | ids | texts)
+    return found
 
 
 def parse_files(files: DataFrame, key: str = "relative_path") -> DataFrame:
@@ -78,7 +102,7 @@ def parse_files(files: DataFrame, key: str = "relative_path") -> DataFrame:
                     errors.append(None)
                 except ValueError as e:
                     rows.append({})
-                    errors.append(str(e)[:500])
+                    errors.append(str(e))
             columns = [pa.array([r.get(n) for r in rows], pa.string()) for n in _TEXTS] + [pa.array([r.get(n) for r in rows], pa.list_(pa.string())) for n in _LISTS]
             yield pa.RecordBatch.from_arrays([b.column(0), *columns, pa.array([r.get("pairs") for r in rows], pa.list_(PAIR)), pa.array(errors, pa.string())], names=[key, *_TEXTS, *_LISTS, "pairs", "parse_error"])
 

@@ -6,7 +6,7 @@ import configparser
 import re
 from pathlib import Path
 
-_COMMIT = re.compile(r"[0-9a-f]{40}")
+_COMMIT = re.compile(r"[0-9a-f]{40}", re.I)
 
 
 def _text(path: Path) -> str:

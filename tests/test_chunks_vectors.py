@@ -9,7 +9,7 @@ from clinweave.functions.vectors import cosine_distance
 from clinweave.operators import chunking as C
 from clinweave.operators import collection as V
 from clinweave.operators import embedding as E
-from clinweave.sinks.json_files import write_json
+from clinweave.sinks.json_files import write_json, write_jsonl
 from clinweave.streaming.collection_stream import late_aware_counts, stream_into
 
 
@@ -78,7 +78,9 @@ def test_top_k_equals_brute_force_with_ties_and_copies(spark, monkeypatch):
     vectors = np.concatenate([base, np.repeat(base[:1], 200, axis=0), np.zeros((1, 8))])
     df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>").repartition(4)
     monkeypatch.setattr(V, "QUERY_BLOCK", 7)
-    queries = df.filter("vec_id % 5 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+    monkeypatch.setattr(V, "VECTOR_BLOCK", 30)
+    df = df.unionByName(spark.createDataFrame([(9999, None)], df.schema))
+    queries = df.filter("vec_id % 5 = 0 and vec_id < 9999").select(F.col("vec_id").alias("query_id"), "embedding")
     got = {(r.query_id, r["rank"]): r.vec_id for r in V.top_k(queries, df, 3).collect()}
     expected = {}
     for q in range(0, len(vectors) - 1, 5):
@@ -110,6 +112,31 @@ def test_collection(spark, tmp_path):
             store.search(bad[0], embed, bad[1])
 
 
+def test_upserts_are_atomic_and_touch_their_buckets(spark, tmp_path):
+    embed = E.hashing_embedder(4)
+
+    def rows(*ids):
+        return E.embed_texts(spark.createDataFrame([(i, f"text {i}") for i in ids], "record_id string, text string"), "text", embed, 4)
+
+    store = V.Collection(spark, str(tmp_path), "c", 4)
+    store.upsert(rows(*[f"r{i}" for i in range(300)]))
+    first = store._manifest()
+    store.upsert(rows("r7", "new"))
+    second = store._manifest()
+    changed = [b for b in second["buckets"] if second["buckets"][b] != first["buckets"].get(b)]
+    assert store.count() == 301 and 1 <= len(changed) <= 2 and second["number"] == 2
+    # a writer that ended before it published leaves files that nobody sees
+    (tmp_path / "c" / "data" / "000000000003-1").mkdir()
+    (tmp_path / "c" / ".000000000003-1").write_text("{")
+    assert store.count() == 301
+    with pytest.raises(KnowledgeStoreError):
+        store._publish(second)
+    with pytest.raises(KnowledgeStoreError):
+        V.Collection(spark, str(tmp_path), "c", 4, read_only=True).upsert(rows("x"))
+    with pytest.raises(KnowledgeStoreError):
+        V.Collection(spark, str(tmp_path), "c", 5).count()
+
+
 def test_embedding_checks():
     assert E.checked([], E.hashing_embedder(4), 4) == []
     for texts, embed in ((["a", " "], E.hashing_embedder(4)), (["a"], lambda t: [[1.0]]), (["a", "b"], lambda t: [[1.0] * 4]), (["a"], lambda t: 1 / 0)):
@@ -133,6 +160,13 @@ def test_stream(spark, tmp_path):
     assert late_aware_counts(events).isStreaming
 
 
-def test_json(tmp_path):
-    write_json(str(tmp_path / "x" / "y.json"), {"b": "ü", "a": None})
+def test_json(spark, tmp_path):
+    write_json(spark, str(tmp_path / "x" / "y.json"), {"b": "ü", "a": None})
     assert (tmp_path / "x" / "y.json").read_bytes() == '{\n  "a": null,\n  "b": "ü"\n}\n'.encode()
+
+
+def test_json_lines(spark, tmp_path):
+    rows = spark.sql("select id, map('b', 1, 'a', struct(2 as y, null as x).y) as m, array(named_struct('z', 1, 'k', map('q', 1, 'p', 2))) as l, null as n from range(50)").repartition(3)
+    write_jsonl(rows, str(tmp_path / "l"), [F.desc("id")], leave_out=("id",))
+    lines = [x for p in sorted((tmp_path / "l").glob("part-*.json")) for x in p.read_text().splitlines()]
+    assert len(lines) == 50 and set(lines) == {'{"l":[{"k":{"p":2,"q":1},"z":1}],"m":{"a":2,"b":1},"n":null}'}

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clinweave.cli import main
-from clinweave.config import EmbeddingSettings, SplitConfig, StoreSettings, boolean, positive_int
+from clinweave.config import EmbeddingSettings, SplitConfig, StoreSettings
 from clinweave.errors import ConfigurationError
 from clinweave.operators import canonical, dedup, quality, reports, splits
 from clinweave.operators.components import connected_components
@@ -135,14 +135,32 @@ def test_constraints_count_nulls(spark):
 
 
 def test_settings():
-    assert positive_int("n", "3") == 3 and boolean("b", " Yes ") and not boolean("b", "off")
-    for call in (lambda: positive_int("n", "0"), lambda: positive_int("n", "x"), lambda: boolean("b", "maybe"), lambda: EmbeddingSettings(dimension=0)):
+    assert EmbeddingSettings.of({"EMBEDDING_DIMENSION": " 3 "}).dimension == 3 and EmbeddingSettings.of({}).dimension == 384
+    for text, on in ((" Yes ", True), ("1", True), ("ON", True), ("off", False), ("0", False), ("", False)):
+        assert StoreSettings.of({"STORE_READ_ONLY": text}).read_only is on
+    for env in ({"EMBEDDING_DIMENSION": "0"}, {"EMBEDDING_DIMENSION": "x"}, {"EMBEDDING_BATCH_SIZE": "-1"}):
+        with pytest.raises(ConfigurationError, match="whole number above zero"):
+            EmbeddingSettings.of(env)
+    for env in ({"STORE_READ_ONLY": "maybe"}, {"STORE_MODE": "elsewhere"}):
         with pytest.raises(ConfigurationError):
-            call()
+            StoreSettings.of(env)
     with pytest.raises(ConfigurationError, match="STORE_TENANT, STORE_API_KEY"):
-        StoreSettings.from_mapping({"STORE_MODE": "cloud", "STORE_DATABASE": "d"})
-    shown = repr(StoreSettings.from_mapping({"STORE_MODE": "cloud", "STORE_TENANT": "t", "STORE_DATABASE": "d", "STORE_API_KEY": "secret"}))
-    assert "secret" not in shown
+        StoreSettings.of({"STORE_MODE": "cloud", "STORE_DATABASE": "d"})
+    shown = repr(StoreSettings.of({"STORE_MODE": "Cloud", "STORE_TENANT": "t", "STORE_DATABASE": "d", "STORE_API_KEY": "secret"}))
+    assert "secret" not in shown and "mode='cloud'" in shown
+
+
+def test_commands_read_the_environment(spark, tmp_path, capsys, monkeypatch):
+    monkeypatch.setenv("STORE_PATH", str(tmp_path / "s"))
+    monkeypatch.setenv("STORE_COLLECTION", "mine")
+    monkeypatch.setenv("EMBEDDING_DIMENSION", "8")
+    assert main(["health"]) == 0 and json.loads(capsys.readouterr().out) == {"status": "ok", "collection_records": 0}
+    monkeypatch.setenv("EMBEDDING_PROVIDER", "nowhere:nothing")
+    assert main(["health"]) == 0 and main(["search", "x"]) == 2
+    monkeypatch.setenv("EMBEDDING_PROVIDER", "clinweave.operators.embedding:hashing_embedder")
+    assert main(["search", "x"]) == 2 and "empty" in capsys.readouterr().err
+    monkeypatch.setenv("STORE_MODE", "cloud")
+    assert main(["health"]) == 2
 
 
 def test_commands(spark, tmp_path, capsys):

@@ -38,12 +38,18 @@ def test_shadowing_and_order():
     assert d["focus"] is None and [p["question"] for p in d["pairs"]] == ["a", "b"]
 
 
-@pytest.mark.parametrize("bad", [b"", b"<a>", b"<!DOCTYPE a [<!ENTITY x 'y'>]><a>&x;</a>", b"\xff\xfe\x00"])
+@pytest.mark.parametrize("bad", [b"", b"<a>", b"<!DOCTYPE a [<!ENTITY x 'y'>]><a>&x;</a>", b"\xff\xfe\x00", "<?xml version='1.0' encoding='utf-16'?><!DOCTYPE a [<!ENTITY x 'y'>]><a>&x;</a>".encode("utf-16")])
 def test_malformed(bad):
     with pytest.raises(ValueError):
         X.parse_document(bad)
 
 
+def test_only_declared_entities_are_refused():
+    d = X.parse_document("<?xml version='1.0' encoding='utf-16'?><doc id=' x '><!-- <!ENTITY no 'y'> --><Synonym>a &amp; b</Synonym><synonym>c</synonym><Synonym> a  &amp; b</Synonym></doc>".encode("utf-16"))
+    assert (d["document_id"], d["synonyms"], d["pairs"], d["category"]) == ("x", ["a & b", "c"], [], None)
+    assert X.parse_document(b"<doc><FocusAnnotations/><FocusAnnotations><Category>x</Category></FocusAnnotations><Category>y</Category></doc>")["category"] == "x"
+
+
 def test_scan_counts(spark, tree):
     files = X.read_documents(spark, str(tree))
     from pyspark.sql import functions as F
@@ -83,5 +89,7 @@ def test_provenance(tmp_path):
     assert read_provenance(str(tmp_path))[1] == sha
     (git / "refs" / "heads" / "main").write_text("b" * 40)
     assert read_provenance(str(tmp_path))[1] == "b" * 40
+    (git / "HEAD").write_text("AbC0" * 10)
+    assert read_provenance(str(tmp_path))[1] == "AbC0" * 10
     (git / "HEAD").write_text("nonsense")
     assert read_provenance(str(tmp_path))[1] is None
