@@ -28,8 +28,12 @@ def _with_first(records: DataFrame) -> DataFrame:
 
 
 def keep_first(records: DataFrame) -> DataFrame:
-    """One record per content hash: the first in canonical order. Ties in every key keep one row. Give a materialized input."""
-    return _with_first(records).filter(F.col("_order") == F.col("_first.o")).drop("_order", "_first").dropDuplicates(["content_sha256"])
+    """One record per content hash: the first in canonical order. Ties in every key keep one row.
+
+    One shuffle: each task keeps the first row of each of its contents, so a hot content sends a row a task.
+    """
+    first = records.groupBy(F.col("content_sha256").alias("_content")).agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in records.columns]), canonical_order()).alias("_row"))
+    return first.select("_row.*")
 
 
 def removals(records: DataFrame) -> DataFrame:

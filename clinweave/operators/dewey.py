@@ -11,7 +11,9 @@ boolean, null) and ``value`` (text of a leaf; null for objects, arrays and nulls
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterable, Iterator
+from json.decoder import scanstring
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -22,45 +24,132 @@ NODE = "label array<int>, path string, kind string, value string"
 _NODE_ARRAY = f"array<struct<label:array<int>,path:string,kind:string,value:string>>"
 
 
-def _json_nodes(value: object) -> list[tuple[list[int], str, str, str | None]]:
-    """Nodes of a parsed record in document order, without recursion."""
+class _Number(str):
+    """A number as it was written."""
+
+
+class _Object(list):
+    """The (name, value) pairs of an object, repeated names too."""
+
+
+def _no_number(text: str) -> None:
+    raise ValueError(f"{text} is no JSON")
+
+
+_BLANKS = re.compile(r"[ \t\n\r]*")
+_SCALAR = re.compile(r"(-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?)|true|false|null")
+_WORDS = {"true": True, "false": False, "null": None}
+
+
+def _parse_deep(text: str) -> object:
+    """What the standard parser gives, for any depth: open containers stand on a list instead of the call stack."""
+    out: list = []
+    stack: list[tuple[list, str | None]] = [(out, None)]  # open containers, each with the name that waits for a value
+    at = _BLANKS.match(text).end()
+
+    def skip(at: int) -> int:
+        return _BLANKS.match(text, at).end()
+
+    def name(at: int) -> tuple[str, int]:
+        if text[at : at + 1] != '"':
+            raise ValueError("a name was expected")
+        found, at = scanstring(text, at + 1, True)
+        at = skip(at)
+        if text[at : at + 1] != ":":
+            raise ValueError("a colon was expected")
+        return found, skip(at + 1)
+
+    while True:
+        inside, key = stack[-1]
+        first = text[at : at + 1]
+        if first == '"':
+            value, at = scanstring(text, at + 1, True)
+        elif first in ("{", "["):
+            value, at = (_Object() if first == "{" else []), at + 1
+        else:
+            m = _SCALAR.match(text, at)
+            if m is None:
+                raise ValueError("a value was expected")
+            value, at = _Number(m.group()) if m.group(1) else _WORDS[m.group()], m.end()
+        inside.append(value if key is None else (key, value))
+        at = skip(at)
+        if first in ("{", "["):
+            stack.append((value, None))
+            if text[at : at + 1] != ("}" if first == "{" else "]"):
+                if first == "{":
+                    key, at = name(at)
+                    stack[-1] = (value, key)
+                continue
+        while len(stack) > 1:  # after a value: the container goes on or ends
+            inside = stack[-1][0]
+            mark, at = text[at : at + 1], skip(at + 1)
+            if mark == ",":
+                if isinstance(inside, _Object):
+                    key, at = name(at)
+                    stack[-1] = (inside, key)
+                break
+            if mark != ("}" if isinstance(inside, _Object) else "]"):
+                raise ValueError("a comma or an end was expected")
+            stack.pop()
+        else:
+            if at < len(text):
+                raise ValueError("something follows the value")
+            return out[0]
+
+
+def parse_json(text: str) -> object:
+    """Objects as lists of pairs, numbers as written; ValueError for anything that is not one complete JSON value. Any depth."""
+    try:
+        return json.loads(text, object_pairs_hook=_Object, parse_float=_Number, parse_int=_Number, parse_constant=_no_number)
+    except RecursionError:
+        return _parse_deep(text)
+
+
+def _json_nodes(value: object, wanted: frozenset[str] | None) -> list[tuple[list[int], str, str, str | None]]:
+    """Nodes of a parsed record in document order, without recursion; only those at ``wanted`` schema paths, if given."""
+    above = None
+    if wanted is not None:
+        above = {path[:i] for path in wanted for i in range(len(path) + 1)}
     out: list[tuple[list[int], str, str, str | None]] = []
     stack: list[tuple[object, list[int], str]] = [(value, [], "")]
     while stack:
         x, label, path = stack.pop()
-        if isinstance(x, dict):
-            out.append((label, path, "object", None))
-            children = [(v, [*label, i], f"{path}.{k}" if path else k) for i, (k, v) in enumerate(x.items(), 1)]
+        if isinstance(x, _Object):
+            kind, children = "object", [(v, i, f"{path}.{k}" if path else k) for i, (k, v) in enumerate(x, 1)]
         elif isinstance(x, list):
-            out.append((label, path, "array", None))
-            children = [(v, [*label, i], f"{path}[]") for i, v in enumerate(x, 1)]
+            kind, children = "array", [(v, i, f"{path}[]") for i, v in enumerate(x, 1)]
         else:
-            kind = "null" if x is None else "boolean" if isinstance(x, bool) else "number" if isinstance(x, int | float) else "string"
-            out.append((label, path, kind, None if x is None else x if isinstance(x, str) else json.dumps(x)))
-            continue
-        stack += reversed(children)
+            kind, children = "null" if x is None else "boolean" if isinstance(x, bool) else "number" if isinstance(x, _Number) else "string", []
+        if wanted is None or path in wanted:
+            text = None if x is None or isinstance(x, list) else str(x) if not isinstance(x, bool) else json.dumps(x)
+            out.append((label, path, kind, text))
+        stack += [(v, [*label, i], below) for v, i, below in reversed(children) if above is None or below in above]
     return out
 
 
-def nodes_of_json(records: DataFrame, key: str, column: str) -> DataFrame:
-    """Nodes of the JSON text in ``column``; texts that are null or not complete JSON have none. Number literals keep their digits."""
+def nodes_of_json(records: DataFrame, key: str, column: str, paths: Iterable[str] | None = None) -> DataFrame:
+    """Nodes of the JSON text in ``column``; texts that are null or not complete JSON have none. Number literals keep their digits.
+
+    With ``paths`` only the nodes at these schema paths are given. Labels grow with depth, so very deep records want that.
+    """
+    wanted = None if paths is None else frozenset(paths)
 
     def parse(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keys, labels, paths, kinds, values = [], [], [], [], []
+            keys, labels, found, kinds, values = [], [], [], [], []
             for k, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 try:
-                    nodes = _json_nodes(json.loads(text)) if text else []
-                except (ValueError, RecursionError):
+                    nodes = _json_nodes(parse_json(text), wanted) if text else []
+                except ValueError:
                     nodes = []
                 for label, path, kind, value in nodes:
                     keys.append(k)
                     labels.append(label)
-                    paths.append(path)
+                    found.append(path)
                     kinds.append(kind)
                     values.append(value)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), pa.array(labels, pa.list_(pa.int32())), pa.array(paths, pa.string()), pa.array(kinds, pa.string()), pa.array(values, pa.string())],
+                [pa.array(keys, pa.int64()), pa.array(labels, pa.list_(pa.int32())), pa.array(found, pa.string()), pa.array(kinds, pa.string()), pa.array(values, pa.string())],
                 names=[key, "label", "path", "kind", "value"],
             )
 
@@ -124,6 +213,11 @@ LISTS = {
 KEYS = {"pair": ("pair_id", "@pid"), "synonym": ("#text", "text"), "cui": ("#text", "cui", "text")}
 
 
+def _ends(fields: Iterable[str]) -> list[str]:
+    """What follows a list's path at the nodes of its elements and their fields, in a list or bare."""
+    return ["", "[]", *(f"{one}.{field}" for one in ("", "[]") for field in fields)]
+
+
 def child_rows(nodes: DataFrame, key: str = "file_id") -> DataFrame:
     """(key, child_kind, child_pos, child_key) of the elements of the known lists.
 
@@ -138,18 +232,18 @@ def child_rows(nodes: DataFrame, key: str = "file_id") -> DataFrame:
                 place_of = F.when(F.col("path").isin(f"{p}[].{k}", f"{p}.{k}"), F.lit(f"{kind} {KEYS[kind].index(k)}")).otherwise(place_of)
     child_kind = F.coalesce(*[F.when(c, F.lit(k)) for c, k in element])
     tagged = nodes.select(key, "label", "kind", "value", child_kind.alias("child_kind"), place_of.alias("id_of")).filter("child_kind is not null or id_of is not null")
-    node = F.struct("label", F.col("kind").alias("kind"), "value")
-    kind = F.coalesce("child_kind", F.substring_index("id_of", " ", 1))
-    # one record's children meet here, and only their ids and short texts
-    lists = tagged.groupBy(key, kind.alias("child_kind")).agg(
-        F.array_sort(F.collect_list(F.when(F.col("child_kind").isNotNull(), node))).alias("elements"),
-        F.collect_list(F.when(F.col("id_of").isNotNull() & F.col("value").isNotNull(), F.struct(F.substring_index("id_of", " ", -1).alias("rank"), parent_label(F.col("label")).alias("of"), "value"))).alias("ids"),
+    own = F.col("child_kind").isNotNull()
+    of_kind = F.coalesce("child_kind", F.substring_index("id_of", " ", 1))
+    tagged = tagged.select(key, of_kind.alias("child_kind"), F.when(own, F.col("label")).otherwise(parent_label(F.col("label"))).alias("of"), own.alias("own"), "kind", "value", F.substring_index("id_of", " ", -1).alias("rank"))
+    # one shuffle, by file and kind, serves both groupings; only ids and short texts of one file meet
+    elements = tagged.repartition(key, "child_kind").groupBy(key, "child_kind", "of").agg(
+        F.max(F.when(F.col("own"), F.col("kind"))).alias("kind"),
+        F.max(F.when(F.col("own"), F.col("value"))).alias("value"),
+        F.min(F.when(~F.col("own") & F.col("value").isNotNull(), F.struct("rank", "value")))["value"].alias("id"),
     )
-    ids = F.map_from_entries(F.transform("firsts", lambda x: F.struct(x["of"], x["value"])))
-    # the best-ranked id field of each element
-    firsts = F.filter(F.array_sort("ids"), lambda x: ~F.exists("ids", lambda y: (y["of"] == x["of"]) & (y["rank"] < x["rank"])))
-    rows = lists.withColumn("firsts", firsts).select(key, "child_kind", ids.alias("ids"), F.posexplode("elements").alias("pos", "e"))
-    text = F.coalesce(F.when(F.col("e.kind").isin("string", "number", "boolean"), F.col("e.value")), F.try_element_at("ids", F.col("e.label")))
+    rows = elements.filter("kind is not null").groupBy(key, "child_kind").agg(F.array_sort(F.collect_list(F.struct("of", "kind", "value", "id"))).alias("elements"))
+    rows = rows.select(key, "child_kind", F.posexplode("elements").alias("pos", "e"))
+    text = F.coalesce(F.when(F.col("e.kind").isin("string", "number", "boolean"), F.col("e.value")), F.col("e.id"))
     bare = F.regexp_replace(text, r"^[\s\p{Z}]+|[\s\p{Z}]+$", "")
     rows = rows.select(
         key, "child_kind", (F.col("pos") + 1).cast("long").alias("child_pos"), F.col("e.kind").alias("kind"),
@@ -162,7 +256,7 @@ def file_children(documents: DataFrame, payloads: DataFrame) -> DataFrame:
     """Children of the files of both deliveries: typed nested columns and raw JSON in several layouts."""
     pairs = F.transform("pairs", lambda p: F.when(p.isNotNull(), F.struct(p["pair_id"].alias("pair_id"))))
     typed = nodes_of_columns(documents.select("file_id", pairs.alias("pairs"), "synonyms", "umls_cuis"), "file_id", ["pairs", "synonyms", "umls_cuis"])
-    raw = nodes_of_json(payloads, "file_id", "payload")
+    raw = nodes_of_json(payloads, "file_id", "payload", [f"{p}{end}" for kind, paths in LISTS.items() for p in paths for end in _ends(KEYS[kind])])
     return child_rows(typed.unionByName(raw))
 
 
@@ -182,7 +276,9 @@ def pair_rows(documents: DataFrame, payloads: DataFrame, key: str = "file_id") -
     Every pair that is not null has a row, also one that stands bare. ``place`` counts the delivered elements, null ones too,
     through sections, as in ``child_rows``. Fields that a layout lacks are null.
     """
-    nodes = nodes_of_columns(documents, key, ["pairs"]).unionByName(nodes_of_json(payloads, key, "payload"))
+    nodes = nodes_of_columns(documents, key, ["pairs"]).unionByName(
+        nodes_of_json(payloads, key, "payload", [f"{p}{end}" for p in LISTS["pair"] for end in _ends([way for ways in PAIR_FIELDS.values() for way in ways])])
+    )
     none = F.lit(None).cast("string")
     element, field, depth = F.lit(False), none, F.lit(0)
     for p in LISTS["pair"]:

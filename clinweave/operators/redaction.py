@@ -31,13 +31,28 @@ TYPE_ORDER = ("email_address", "phone_number", "us_ssn", "brazilian_cpf", "medic
 PLACEHOLDER = {kind: placeholder for kind, placeholder, _ in RULES}
 
 
-def redact(text: Column) -> Column:
-    """The text after all rules; each works on the result of the one before."""
-    for _, placeholder, pattern in RULES:
-        text = F.regexp_replace(text, pattern, "$1" + placeholder.replace("[", r"\[").replace("]", r"\]"))
+#: Rules that can match a text without any digit: those of addresses, record numbers and names.
+_WITHOUT_DIGITS = ("email_address", "medical_record_number", "patient_name")
+
+
+def _in_turn(text: Column, leave_out: tuple[str, ...] = (), only: tuple[str, ...] | None = None) -> Column:
+    for kind, placeholder, pattern in RULES:
+        if kind not in leave_out and (only is None or kind in only):
+            text = F.regexp_replace(text, pattern, "$1" + placeholder.replace("[", r"\[").replace("]", r"\]"))
     return text
 
 
+def redact(text: Column) -> Column:
+    """The text after all rules; each works on the result of the one before.
+
+    Rules that cannot match are passed over: most need a digit, one an @, and no placeholder brings in either.
+    """
+    digit, at = text.rlike(r"\p{Nd}"), F.contains(text, F.lit("@"))
+    label = text.rlike("(?iu)mrn|medical|patient")
+    with_digits = F.when(at, _in_turn(text)).otherwise(_in_turn(text, leave_out=("email_address",)))
+    return F.when(digit, with_digits).when(at | label, _in_turn(text, only=_WITHOUT_DIGITS)).otherwise(text)
+
+
 def detected_types(text: Column, redacted: Column) -> Column:
     """Types of the placeholders that redaction added, in TYPE_ORDER."""
 

@@ -48,7 +48,10 @@ def _files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _kept(spark: SparkSession, folder: str) -> DataFrame:
-    return materialize(dedup.keep_first(materialize(_records(spark, folder), "records")), "kept")
+    """The first record of each content, with what splitting needs: ids, hash, question and place of origin."""
+    place = F.struct(*[f"source.{c}" for c in ("collection", "relative_path", "upstream_question_id", "upstream_pair_id")])
+    rows = _records(spark, folder).select("row_id", "file_id", "record_id", "document_id", "content_sha256", "question", place.alias("source"))
+    return materialize(dedup.keep_first(rows), "kept")
 
 
 def _assigned(spark: SparkSession, folder: str) -> DataFrame:
@@ -137,13 +140,6 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def p5_pairs(spark: SparkSession, folder: str) -> DataFrame:
-    """The table of pairs with their links, from the typed deliveries."""
-    nodes = dewey.nodes_of_columns(_table(spark, folder, "medquad_documents"), "file_id", ["pairs"])
-    return _dotted(dewey.flat_table(nodes, "file_id", "pairs[]", ["pair_id", "question_id", "question_type", "question", "answer"]))
-
-
-@_query
-def p5_all_pairs(spark: SparkSession, folder: str) -> DataFrame:
     """The table of pairs with their links, from the typed deliveries and the payloads of every layout."""
     return _dotted(dewey.pair_rows(_table(spark, folder, "medquad_documents"), _table(spark, folder, "medquad_payloads")))
 
@@ -218,7 +214,7 @@ def constraint_violations(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def keep_first(spark: SparkSession, folder: str) -> DataFrame:
-    return dedup.keep_first(materialize(_records(spark, folder), "records")).select("row_id", "content_sha256", "record_id")
+    return dedup.keep_first(_records(spark, folder)).select("row_id", "content_sha256", "record_id")
 
 
 @_query
@@ -368,8 +364,8 @@ _REC = """
 _WIDE, _NARROW = "".join(chr(0xFF01 + i) for i in range(94)), "".join(chr(0x21 + i) for i in range(94)).replace("'", "''")
 _COMPAT = f"translate(replace(replace(replace(question, 'ﬁ', 'fi'), 'ﬂ', 'fl'), '…', '...'), '{_WIDE}º²³¹‑', '{_NARROW}o231‐')"
 _EQ3 = rf"regexp_replace({_norm(f"replace(lower({_COMPAT}), 'ß', 'ss')")}, ' ([?!.,;:])', '\1', 'g')"
-_COMPONENTS = f"""
-    WITH RECURSIVE {_REC}, kept AS (SELECT *, {_EQ3} AS q FROM ranked WHERE rn = 1),
+_LINKED = f"""
+    kept AS (SELECT *, {_EQ3} AS q FROM ranked WHERE rn = 1),
     asked AS (SELECT DISTINCT document_id AS d, q FROM kept),
     links AS (SELECT DISTINCT x.d AS a, y.m AS b FROM asked x JOIN (SELECT q, min(d) AS m FROM asked GROUP BY q) y USING (q)),
     edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
@@ -378,6 +374,60 @@ _COMPONENTS = f"""
     placed AS (SELECT k.*, c.component, ('0x' || substr(sha256('42:' || c.component), 1, 16))::UBIGINT::DOUBLE / 18446744073709551616 AS position FROM kept k JOIN comp c USING (document_id)),
     assigned AS (SELECT *, CASE WHEN position < 0.8 THEN 'train' WHEN position < 0.8 + 0.1 THEN 'validation' ELSE 'test' END AS split FROM placed)
 """
+_COMPONENTS = f"WITH RECURSIVE {_REC}, {_LINKED}"
+
+
+# The rules of redaction for an engine without lookaround: what stands beside a match is captured and put back, and
+# each rule runs twice, since a match takes the neighbour that the next one needs.
+_SP, _NOT_WORD, _NOT_DIGIT = r"[\s\p{Z}]", r"[^\p{L}\p{N}_]", r"[^\p{Nd}]"
+_UP, _ANY = "A-ZÀ-ÖØ-Þ", "A-Za-zÀ-ÖØ-öø-ÿ'\\-"
+_TOLL_FREE = "(?:800|833|844|855|866|877|888)"
+_MONTHS = "(?:Jan(?:uary)?|Feb(?:ruary)?|Mar(?:ch)?|Apr(?:il)?|May|Jun(?:e)?|Jul(?:y)?|Aug(?:ust)?|Sep(?:tember)?|Oct(?:ober)?|Nov(?:ember)?|Dec(?:ember)?)"
+_REDACTIONS = [
+    ("email_address", rf"(?i)(^|[^\p{{L}}\p{{N}}_.+\-])[A-Z0-9._%+\-İ]+@[A-Z0-9.\-İ]+\.[A-Zİ]{{2,63}}($|[^\p{{L}}\p{{N}}_\-])"),
+    ("us_ssn", rf"(^|{_NOT_DIGIT})(?:00[1-9]|0[1-9]\d|[1-578]\d\d|6[0-57-9]\d|66[0-57-9])-(?:0[1-9]|[1-9]\d)-(?:000[1-9]|00[1-9]\d|0[1-9]\d\d|[1-9]\d\d\d)($|{_NOT_DIGIT})"),
+    ("brazilian_cpf", rf"(^|{_NOT_DIGIT})\d{{3}}\.\d{{3}}\.\d{{3}}-\d\d($|{_NOT_DIGIT})"),
+    ("medical_record_number", rf"(?i)(\b(?:medical{_SP}+record(?:{_SP}+(?:number|no\.?|#))?|mrn|patient{_SP}+(?:id|identifier)){_SP}*(?::|=|#|\bis\b){_SP}*)[A-Z0-9İ][A-Z0-9\-İ]{{3,31}}()"),
+    ("patient_name", rf"((?i:\b(?:patient{_SP}+name|name{_SP}+of{_SP}+(?:the{_SP}+)?patient){_SP}*[:=\-]{_SP}*))[{_UP}][{_ANY}]+(?:{_SP}+[{_UP}][{_ANY}]+){{1,5}}({_SP}*(?:[;,|]|\b(?i:DOB|date{_SP}+of{_SP}+birth|MRN|medical{_SP}+record)\b|$))"),
+    ("date_of_birth", rf"(?i)(\b(?:date{_SP}+of{_SP}+birth|dob){_SP}*[:=\-]{_SP}*)(?:\d{{4}}-\d\d-\d\d|\d{{1,2}}[/\-]\d{{1,2}}[/\-]\d{{2,4}}|{_MONTHS}\.?{_SP}+\d{{1,2}},?{_SP}+\d{{4}})()"),
+    ("phone_number", rf"(^|{_NOT_WORD})(?:\+?1(?:{_SP}|[.\-])?)?(?:\(\d{{3}}\)|\d{{3}})(?:{_SP}|[.\-])\d{{3}}(?:{_SP}|[.\-])\d{{4}}($|{_NOT_WORD})"),
+    ("phone_number", rf"(?i)(^|{_NOT_WORD})1(?:{_SP}|[.\-])?{_TOLL_FREE}(?:(?:{_SP}|[.\-])?[A-Z0-9İ]){{7,11}}($|{_NOT_WORD})"),
+    ("phone_number", rf"(^|{_NOT_DIGIT})1{_TOLL_FREE}\d{{7}}($|{_NOT_DIGIT})"),
+    ("phone_number", rf"(^|{_NOT_DIGIT})1?[2-9]\d\d[2-9]\d{{6}}($|{_NOT_DIGIT})"),
+    ("phone_number", rf"(?i)(\b(?:phone|telephone|tel|mobile|cell|fax|tty){_SP}*:?[ \t]*)\+?\d{{7,15}}($|{_NOT_DIGIT})"),
+    ("phone_number", rf"(?i)(\bcall(?:ing)?{_SP}+)\+?\d{{10,15}}($|{_NOT_DIGIT})"),
+]
+
+
+def _redacted(value: str) -> str:
+    for kind, pattern in _REDACTIONS:
+        for _ in range(2):
+            value = f"regexp_replace({value}, '{pattern.replace(chr(39), chr(39) * 2)}', '\\1{redaction.PLACEHOLDER[kind]}\\2', 'g')"
+    return value
+
+
+def _found_types(value: str, redacted: str) -> str:
+    def times(x: str, kind: str) -> str:
+        return f"length({x}) - length(replace({x}, '{redaction.PLACEHOLDER[kind]}', '{redaction.PLACEHOLDER[kind][1:]}'))"
+
+    each = ", ".join(f"CASE WHEN {times(redacted, k)} > {times(value, k)} THEN '{k}' END" for k in redaction.TYPE_ORDER)
+    return f"list_filter([{each}], lambda x: x IS NOT NULL)"
+
+
+def _in_order(types: str) -> str:
+    return f"array_to_string(list_filter({types}, lambda x, i: list_position({types}, x) = i), ',')"
+
+
+_CANONICAL = f"""
+    {_RAW}, {_GOOD},
+    syn AS (SELECT file_id, v, min(i) AS i FROM (SELECT file_id, {_norm("v")} AS v, i FROM (SELECT file_id, unnest(synonyms) AS v, generate_subscripts(synonyms, 1) AS i FROM medquad_documents)) WHERE v <> '' GROUP BY 1, 2),
+    syn_types AS (SELECT file_id, flatten(list({_found_types("v", "r")} ORDER BY i)) AS t FROM (SELECT *, {_redacted("v")} AS r FROM syn) GROUP BY 1),
+    red AS (SELECT *, {_redacted("focus")} AS rf, {_redacted("question")} AS rq, {_redacted("answer")} AS ra FROM good),
+    canon AS (SELECT file_id, {_uuid('record', 'relative_path', 'position', 'pair_id', 'question_id')} AS record_id, {_uuid('document', 'relative_path')} AS document_id,
+        sha256(rq || '␟' || ra) AS content_sha256, rf AS focus, rq AS question, ra AS answer, collection, relative_path, question_id, pair_id,
+        {_found_types("coalesce(focus, '')", "coalesce(rf, '')")} || {_found_types("question", "rq")} || {_found_types("answer", "ra")} || coalesce(t, []) AS types
+        FROM red LEFT JOIN syn_types USING (file_id))
+"""
 _UUID_FORMAT = "'^[0-9a-f]{8}-[0-9a-f]{4}-5[0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}$'"
 _RULES = {
     "redacted_has_types": "curation.pii_status <> 'redacted' OR len(coalesce(curation.pii_types, [])) > 0",
@@ -411,6 +461,16 @@ def _texts(lists: str, *fields: str) -> str:
     return f"list_transform({lists}, lambda e: CASE WHEN json_type(e) = 'OBJECT' THEN coalesce({inner}) ELSE json_extract_string(e, '$') END)"
 
 
+def _ordinal(value: str, path: str, name: str) -> str:
+    """The 1-based place of a name among an object's names."""
+    return f"list_position(json_keys({value}, '{path}'), '{name}')::BIGINT"
+
+
+def _leaf(*paths: str) -> str:
+    """The text of an element's first field that is a leaf."""
+    return "coalesce(" + ", ".join(f"CASE WHEN json_type(e, '$.{p}') NOT IN ('OBJECT', 'ARRAY', 'NULL') THEN json_extract_string(e, '$.{p}') END" for p in paths) + ")"
+
+
 _XML_PAIRS = f"list_concat({_elements('j', '$.Document.QAPairs.QAPair')}, {_elements('j', '$.doc.qaPairs.pair')})"
 _PLAIN_PAIRS = f"list_concat({_elements('j', '$.pairs')}, flatten(list_transform({_elements('j', '$.sections')}, lambda s: {_elements('s', '$.pairs')})))"
 _SYNONYMS = " || ".join(_elements("j", p) for p in ("$.synonyms", "$.meta.focus.synonyms", "$.Document.FocusAnnotations.Synonyms.Synonym", "$.doc.synonym"))
@@ -444,10 +504,37 @@ SQL: dict[str, str] = {
             FROM (SELECT file_id, child_kind, unnest(l) AS e, generate_subscripts(l, 1) AS i FROM lists))
         SELECT file_id, 'pair' AS child_kind, child_pos, child_key FROM pairs UNION ALL SELECT file_id, child_kind, child_pos, child_key FROM texts WHERE child_key <> ''
     """,
-    "p5_pairs": """
-        SELECT file_id, '1.' || i AS label, '1' AS parent, i AS place, p.pair_id AS pair_id, p.question_id AS question_id, p.question_type AS question_type, p.question AS question, p.answer AS answer
+    "p5_pairs": f"""
+        WITH whole AS (SELECT file_id, payload::JSON AS j FROM medquad_payloads WHERE json_valid(payload)),
+        sections AS (SELECT file_id, [{_ordinal('j', '$', 'sections')}] || CASE WHEN json_type(j, '$.sections') = 'ARRAY' THEN [i] ELSE []::BIGINT[] END AS spot, s
+            FROM (SELECT file_id, j, unnest({_elements('j', '$.sections')}) AS s, generate_subscripts({_elements('j', '$.sections')}, 1) AS i FROM whole)),
+        lists AS (
+            SELECT file_id, [{_ordinal('j', '$', 'pairs')}] AS spot, json_extract(j, '$.pairs') AS v FROM whole
+            UNION ALL SELECT file_id, spot || [{_ordinal('s', '$', 'pairs')}], json_extract(s, '$.pairs') FROM sections
+            UNION ALL SELECT file_id, [{_ordinal('j', '$', 'Document')}, {_ordinal('j', '$.Document', 'QAPairs')}, {_ordinal('j', '$.Document.QAPairs', 'QAPair')}], json_extract(j, '$.Document.QAPairs.QAPair') FROM whole
+            UNION ALL SELECT file_id, [{_ordinal('j', '$', 'doc')}, {_ordinal('j', '$.doc', 'qaPairs')}, {_ordinal('j', '$.doc.qaPairs', 'pair')}], json_extract(j, '$.doc.qaPairs.pair') FROM whole),
+        named AS (SELECT file_id, unnest({_elements('v', '$')}) AS e, spot || unnest(CASE WHEN json_type(v) = 'ARRAY' THEN list_transform(range(1, json_array_length(v)::BIGINT + 1), lambda i: [i]) ELSE [[]::BIGINT[]] END) AS spot
+            FROM lists WHERE v IS NOT NULL AND json_type(v) <> 'NULL'),
+        placed AS (SELECT file_id, e, spot, row_number() OVER (PARTITION BY file_id ORDER BY spot) AS place FROM named)
+        SELECT file_id, array_to_string(spot, '.') AS label, array_to_string(spot[:-2], '.') AS parent, place, {_leaf('pair_id', '"@pid"')} AS pair_id,
+            {_leaf('question_id', 'Question."@qid"', 'question."@qid"')} AS question_id, {_leaf('question_type', 'Question."@qtype"', 'question."@qtype"')} AS question_type,
+            {_leaf('question', 'question."#text"', 'Question', 'Question."#text"')} AS question, {_leaf('answer', 'answer."#text"', 'Answer', 'Answer."#text"')} AS answer
+        FROM placed WHERE json_type(e) <> 'NULL'
+        UNION ALL SELECT file_id, '1.' || i, '1', i, p.pair_id, p.question_id, p.question_type, p.question, p.answer
         FROM (SELECT file_id, unnest(pairs) AS p, generate_subscripts(pairs, 1) AS i FROM medquad_documents) WHERE p IS NOT NULL
     """,
+    "pii_redact": f"""
+        WITH r AS (SELECT row_id, focus AS f, question AS q, answer AS a, {_redacted("focus")} AS focus, {_redacted("question")} AS question, {_redacted("answer")} AS answer FROM canonical_records),
+        t AS (SELECT *, {" || ".join(_found_types(f"coalesce({x}, '')", f"coalesce({y}, '')") for x, y in (("f", "focus"), ("q", "question"), ("a", "answer")))} AS l FROM r)
+        SELECT row_id, focus, question, answer, {_in_order("l")} AS types FROM t
+    """,
+    "canonicalize": f"WITH {_CANONICAL} SELECT file_id, record_id, document_id, content_sha256, focus, question, answer, collection, CASE WHEN len(types) > 0 THEN 'redacted' ELSE 'not_detected' END AS pii_status, {_in_order('types')} AS pii_types FROM canon",
+    "prepare_summary": f"""
+        WITH RECURSIVE {_CANONICAL},
+        ranked AS (SELECT *, file_id AS row_id, row_number() OVER (PARTITION BY content_sha256 ORDER BY relative_path, coalesce(question_id, ''), coalesce(pair_id, ''), record_id, file_id) AS rn FROM canon),
+        {_LINKED}
+        SELECT s.split, count(a.row_id) AS records, count(DISTINCT a.document_id) AS documents FROM (VALUES ('train'), ('validation'), ('test')) s(split) LEFT JOIN assigned a USING (split) GROUP BY 1
+    """,
     "rejections": f"""
         WITH {_RAW} SELECT 'qa_pair' AS record_type, file_id, position, relative_path, collection, document_id, question_id, pair_id, nullif(question, '') AS question,
         concat_ws(',', CASE WHEN question = '' THEN 'missing_question' END, CASE WHEN answer = '' THEN 'missing_answer' END) AS reasons, NULL::VARCHAR AS error

@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -58,7 +59,7 @@ values = st.recursive(st.none() | st.booleans() | st.integers(-9, 9) | st.text("
 @settings(max_examples=100, deadline=None)
 @given(values)
 def test_round_trip(value):
-    assert rebuilt(D._json_nodes(value)) == value
+    assert rebuilt(D._json_nodes(D.parse_json(json.dumps(value)), None)) == value
 
 
 def test_typed_columns_have_the_nodes_of_their_json(spark):
@@ -98,3 +99,41 @@ def test_pairs_of_every_layout_with_their_fields(spark):
         (4, (1, 1, 2, 1), (1, 1, 2), 1, "c", None, None, "Q", None), (4, (1, 2, 1), (1, 2), 3, "d", None, None, None, "A"),
         (100, (1, 2), (1,), 2, "a", "q", "t", "Q", "A"),
     }
+
+
+def test_any_depth_and_digits_as_written(spark):
+    deep = 100_000
+    rows = [
+        (1, '{"pairs": [{"pair_id": 1.10}, {"pair_id": 1e5}, {"pair_id": 12345678901234567890}], "x": ' + "[" * deep + "1" + "]" * deep + "}"),
+        (2, '{"x": ' + '{"y":' * deep + '{"z": [true, null, "a\\"b", {}, []]}' + "}" * deep + ', "synonyms": [" s ", "s"]}'),
+        (3, '{"synonyms": [NaN]}'),
+        (4, '{"x": ' + "[" * deep + "]" * (deep - 1) + "}"),
+        (5, '{"x": ' + "[" * deep + "]" * deep + '}, "synonyms": ["s"]'),
+    ]
+    payloads = spark.createDataFrame(rows, "file_id long, payload string")
+    got = sorted(tuple(r) for r in D.file_children(DOCS(spark), payloads).select("file_id", "child_kind", "child_pos", "child_key").collect())
+    assert got == [(1, "pair", 1, "1.10"), (1, "pair", 2, "1e5"), (1, "pair", 3, "12345678901234567890"), (2, "synonym", 1, "s"), (2, "synonym", 2, "s")]
+
+
+def DOCS(spark):
+    pair = "struct<position:int,pair_id:string,question_id:string,question_type:string,question:string,answer:string>"
+    return spark.createDataFrame([], f"file_id long, pairs array<{pair}>, synonyms array<string>, umls_cuis array<string>")
+
+
+@pytest.mark.parametrize("text", ['{"a": [1, -2.50e+3, "x\\u00e9\\n", true, null, {}, [], {"a": 1, "a": 2}]}', "[]", " 3 ", '"s"', "[[],[[]]]", "{}"])
+def test_the_deep_parser_agrees_with_the_standard_one(text):
+    assert D._parse_deep(text) == D.parse_json(text)
+
+
+@pytest.mark.parametrize("text", ["", "[", "[1,]", "{,}", '{"a"}', '{"a":}', "[1 2]", "nan", "01", "[1]]", '"x', "{1:2}", "tru", '{"a":1,}', "[}", "-"])
+def test_incomplete_json_is_refused(text):
+    for parse in (D._parse_deep, D.parse_json):
+        with pytest.raises(ValueError):
+            parse(text)
+
+
+def test_many_elements_in_one_file(spark):
+    rows = [(1, json.dumps({"doc": {"qaPairs": {"pair": [{"@pid": i} for i in range(4000)]}}}))]
+    payloads = spark.createDataFrame(rows, "file_id long, payload string")
+    got = {r.child_pos: r.child_key for r in D.file_children(DOCS(spark), payloads).collect()}
+    assert got == {i + 1: str(i) for i in range(4000)}

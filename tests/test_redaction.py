@@ -67,3 +67,15 @@ def test_audit_counts(spark, n):
     audit = redaction.pii_audit(df).first()
     assert (audit.records_scanned, audit.type_us_ssn, audit.unresolved) == (n, max(0, n - 1), min(n, 1))
     assert redaction.pii_findings(df).count() == max(0, n - 1)
+
+
+def test_the_sql_of_the_rules_agrees():
+    import duckdb
+
+    from clinweave import queries
+
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t (i INT, v VARCHAR)")
+    con.executemany("INSERT INTO t VALUES (?, ?)", [(i, c[0]) for i, c in enumerate(CASES)])
+    got = con.execute(f"SELECT v2, {queries._found_types('v', 'v2')} FROM (SELECT i, v, {queries._redacted('v')} AS v2 FROM t) ORDER BY i").fetchall()
+    assert [(v, sorted(t or [])) for v, t in got] == [(c[1], sorted(c[2])) for c in CASES]
