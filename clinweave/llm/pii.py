@@ -64,7 +64,7 @@ ID_FORMATS = re.compile(
     r"\d{3}[-\s]?\d{2}[-\s]?\d{4}|\d{3}\.?\d{3}\.?\d{3}-?\d{2}|[A-Z]{2}\s?\d{2}\s?\d{2}\s?\d{2}\s?[A-D]|[A-Z]{1,3}[-\s]?\d{5,9}|[A-Z]\d{3}(?:[\s-]\d{3,4}){2}|\d{4}[-\s]\d{4}|\d{6,10}|\d{3}\s\d{3}\s\d{4}", re.I
 )
 
-_STREET = r"(?:street|st|avenue|ave|road|rd|lane|ln|drive|dr|court|ct|square|sq|terrace|ter|way|close|boulevard|blvd|place|pl|crescent|cres|parkway|pkwy|highway|hwy|row|walk|alley|grove|gardens|circle|cir|trail|loop)"
+_STREET = r"(?:street|st|avenue|ave|road|rd|lane|ln|drive|dr|court|ct|square|sq|terrace|ter|way|close|boulevard|blvd|place|pl|crescent|cres|parkway|pkwy|highway|hwy|row|walk|alley|grove|gardens|circle|cir|trail|loop|parade|mews|quay|esplanade|promenade|wharf|turnpike)"
 ADDRESS = re.compile(
     rf"(?:\b(?:flat|apt|apartment|unit|suite|no)\.?\s?\d+[A-Za-z]?,\s*)?(?<![\w.,-])\d{{1,5}}\s?[A-Za-z]?,?\s(?:[NSEW]{{1,2}}\.?\s)?(?:[^\W\d_][\w'’-]*\s){{1,3}}{_STREET}\b\.?(?:,\s*(?:apt|apartment|unit|suite|flat|floor|#)\.?\s?\d+\w?)?"
     r"|\bp\.?\s?o\.?\s?box\s?#?\d+|\bpost(?:al|\soffice)?\sbox\s?\d+|\bpostfach\s\d+"
@@ -72,28 +72,36 @@ ADDRESS = re.compile(
     re.I,
 )
 ADDRESS_HINTS = frozenset(
-    "street st avenue ave road rd lane ln drive dr court ct square sq terrace ter way close boulevard blvd place pl crescent cres parkway pkwy highway hwy row walk alley grove gardens circle cir trail loop"
+    "street st avenue ave road rd lane ln drive dr court ct square sq terrace ter way close boulevard blvd place pl crescent cres parkway pkwy highway hwy row walk alley grove gardens circle cir trail loop parade mews quay esplanade promenade wharf turnpike"
     " box postfach rua avenida av calle via viale rue ulica ul plaza piazza corso travessa".split()
 )
 ADDRESS_ENDS = ("straße", "strasse", "str", "gasse", "platz", "allee", "weg")
+#: Where a number and a few words after it are a place, whatever the last word; the votes tell whether it is an address.
+ADDRESS_PLACE = re.compile(
+    r"\b(?:live[sd]?|living|moved|move|send|sent|mail(?:ed)?|deliver(?:ed)?|visit(?:s|ed)?|reside[sd]?|located|stay(?:s|ed)?)\b[^.;\d]{0,24}\b(?:at|to|in)\s"
+    r"((?:(?:flat|apt|apartment|unit|suite|no)\.?\s?\d+[A-Za-z]?,\s*)?\d{1,5}[A-Za-z]?,?\s(?:[NSEW]{1,2}\.?\s)?[^\W\d_][\w'’-]+(?:\s[^\W\d_][\w'’-]+){1,2}?(?=[,.;)]|\s(?:was|is|has|and|for|from)\b|$)(?:,\s*(?:apt|apartment|unit|suite|flat|floor|#)\.?\s?\d+\w?)?)",
+    re.I,
+)
+#: Words that count or measure, and so stand in no address.
+MEASURES = frozenset("mg ml days weeks months years hours minutes people percent units is are was were has have can for of the and with adults families children patients times degrees".split())
 ADDRESS_CUE = re.compile(r"(?:\b(?:live\w*|moved?|send|visit|address|reside\w*|located|home|at|to|mail)\b[^.;\d]{0,12}|[(;,–—-]\s*)$", re.I)
 ADDRESS_CONTRARY = re.compile(r"^\W{0,2}(?:cohort|study|trial|scale|score|registry|survey|clinic|hospital)\b|^[^.]{0,3}\b(?:mg|percent|patients|people|adults)\b", re.I)
 TOWN = re.compile(r",\s[A-Z][\w'’-]+(?:\s[A-Z][\w'’-]+)?")
 
 _CAP = r"[A-ZÀ-ÖØ-Þ][\w'’]*[a-zß-öø-ÿ][\w'’]*(?:-[A-ZÀ-ÖØ-Þ][\w'’]+)*"
-_NAME = rf"{_CAP}(?:\s(?:[A-Z]\.\s)?{_CAP}){{0,3}}"
+_NAME = rf"{_CAP}(?:\s(?:[A-ZÀ-ÖØ-Þ]\.\s)?{_CAP}){{0,3}}"
 _KIN = "son|daughter|husband|wife|mother|father|brother|sister|aunt|uncle|cousin|nephew|niece|grandmother|grandfather|friend|neighbour|neighbor|partner|child|boy|girl|baby|roommate|colleague"
 #: Words that must occur, and the pattern that takes the name from beside them.
 NAME_CUES = [
     ("name surname contact kin", rf"\b(?i:patient(?:'s|’s)? name|name of (?:the )?patient|full name|surname|first name|last name|contact person|next of kin)\s?[:=-]\s?({_NAME}|[A-Z'’-]{{2,}}(?:,?\s[A-Z'’-]{{2,}}){{0,2}}|(?i:[^\W\d_]{{3,}}(?:\s[^\W\d_]{{3,}}){{0,2}}))"),
     ("name called named", rf"\b(?i:(?:my|his|her|their|the patient(?:'s|’s)?) name is|i am called|(?:is|was) called|named)\s({_NAME}|[^\W\d_]{{3,}}\s[^\W\d_]{{3,}})"),
-    ("dr mr mrs ms miss prof professor doctor nurse sir madam frau herr señor señora madame monsieur", rf"\b(?i:dr|mr|mrs|ms|miss|prof|professor|doctor|nurse|sir|madam|frau|herr|señora?|madame|monsieur)\b\.?\s({_NAME}|[A-Z]\.\s{_CAP})"),
-    ("regards signed sincerely yours thanks best love from", rf"\b(?i:regards|signed|sincerely|yours|thanks|best|love|from)\s?[,:]\s?((?:[A-Z]\.\s){{1,2}}{_CAP}|{_NAME}|(?i:[a-z]\.\s[^\W\d_]{{3,}}))"),
+    ("dr mr mrs ms miss prof professor doctor nurse sir madam frau herr señor señora madame monsieur", rf"\b(?i:dr|mr|mrs|ms|miss|prof|professor|doctor|nurse|sir|madam|frau|herr|señora?|madame|monsieur)\b\.?\s({_NAME}|[A-ZÀ-ÖØ-Þ]\.\s{_CAP})"),
+    ("regards signed sincerely yours thanks best love from", rf"\b(?i:regards|signed|sincerely|yours|thanks|best|love|from)\s?[,:]\s?((?:[A-ZÀ-ÖØ-Þ]\.\s){{1,2}}{_CAP}|{_NAME}|(?i:[^\W\d_]\.\s[^\W\d_]{{3,}}))"),
     ("ask asked speak attention care", rf"\b(?i:ask(?:ed)? for|speak (?:to|with)|attention of|care of|c/o)\s({_NAME})"),
     (_KIN.replace("|", " "), rf"\b(?i:(?:my|our|her|his|their)(?: \w+)?) (?:{_KIN})\s({_CAP}(?:\s{_CAP})?)(?=\s(?:has|had|is|was|suffers|takes|got|also|and|will)\b|\W*$|,)"),
     ("patient", r"\b(?i:patient)\s([A-Z'’-]{2,},\s[A-Z'’-]{2,}(?:\s[A-Z]\.?)?)(?!\w)"),
     ("patient", rf"\b(?i:patient)\s({_CAP}\s{_CAP})(?=\s(?:was|is|has|had)\b)"),
-    ("filled told wrote asked called signed phoned says said reported brought came lives visited complained mentioned sent recommended", rf"(?<![\w-])({_CAP}\s(?:[A-Z]\.\s)?{_CAP})(?=,?\s(?:filled|told|wrote|asked|called|signed|phoned|says|said|reported|brought|came|lives|visited|complained|mentioned|sent|recommended)\b)"),
+    ("filled told wrote asked called signed phoned says said reported brought came lives visited complained mentioned sent recommended", rf"(?<![\w-])({_CAP}\s(?:[A-ZÀ-ÖØ-Þ]\.\s)?{_CAP})(?=,?\s(?:filled|told|wrote|asked|called|signed|phoned|says|said|reported|brought|came|lives|visited|complained|mentioned|sent|recommended)\b)"),
 ]
 NAME_CUES = [(frozenset(hints.split()), re.compile(pattern)) for hints, pattern in NAME_CUES]
 #: Cues beside which a name may stand in small letters: "name:", "name is", "signed,".
@@ -130,7 +138,7 @@ Span = tuple[int, int, str, tuple[int, int, int, int]]
 
 WORDS = re.compile(r"[^\W\d_]+")
 BEFORE_NAME = re.compile(r"[\w@.+%'-]")
-NAME_REST = re.compile(rf"(?:\s(?:[A-Z]\.\s)?{_CAP})?(?![\w@+%])")
+NAME_REST = re.compile(rf"(?:\s(?:[A-ZÀ-ÖØ-Þ]\.\s)?{_CAP})?(?![\w@+%])")
 
 
 def _digits(text: str) -> int:
@@ -226,11 +234,21 @@ def candidates(text: str, gazetteer: Gazetteer) -> list[Span]:
             town = TOWN.match(text, m.end())
             end = town.end() if town else m.end()
             before, after = text[max(0, m.start() - 40) : m.start()], text[m.end() : m.end() + 30]
-            inside = {w.lower() for w in re.findall(r"[^\W\d_]+", m.group())}
-            contrary = ADDRESS_CONTRARY.search(after) or inside & {"mg", "ml", "days", "weeks", "months", "years", "hours", "people", "percent", "units", "is", "are", "was", "were", "has", "have", "can", "for", "of", "the", "and", "with", "adults", "families"}
+            inside = {w.lower() for w in WORDS.findall(m.group())}
+            contrary = ADDRESS_CONTRARY.search(after) or not MEASURES.isdisjoint(inside)
             out.append((m.start(), end, "address", (1, 1 if ADDRESS_CUE.search(before) else 0, 1 if town or re.search(r"(?i)\b(?:apt|suite|unit|flat|box)\b", m.group()) else 0, -1 if contrary else 0)))
             if not contrary:
                 taken.append((m.start(), end))
+    if digits:
+        for m in ADDRESS_PLACE.finditer(text):
+            if free(*m.span(1)):
+                town = TOWN.match(text, m.end(1))
+                shown = m.group(1)
+                contrary = not MEASURES.isdisjoint(w.lower() for w in WORDS.findall(shown))
+                part = town or re.search(r"(?i)\b(?:apt|suite|unit|flat|floor)\b", shown)
+                out.append((m.start(1), town.end() if town else m.end(1), "address", (0, 1, 1 if part else 0, -1 if contrary else 0)))
+                if not contrary:
+                    taken.append((m.start(1), town.end() if town else m.end(1)))
     out += _names(text, gazetteer, taken, words_here)
     return out
 
@@ -351,32 +369,39 @@ def gather_gazetteer(records: DataFrame) -> tuple[Gazetteer, DataFrame | None]:
 SPANS = "row_id bigint, field_name string, start int, stop int, pii_type string, votes array<tinyint>, shown string"
 
 
+def _with_names(records: DataFrame, own: DataFrame | None) -> DataFrame:
+    rows = records.select(F.col("row_id").cast("long").alias("row_id"), *FIELDS)
+    return rows if own is None else rows.join(own, "row_id", "left")
+
+
+def _candidates_of(batch: pa.RecordBatch, gazetteer: Gazetteer) -> list[tuple]:
+    """(row, field, start, stop, type, votes) of each candidate of a batch of row_id, the fields and perhaps further names of each row."""
+    texts = [batch.column(i).to_pylist() for i in range(1, 1 + len(FIELDS))]
+    more = batch.column(1 + len(FIELDS)).to_pylist() if batch.num_columns > 1 + len(FIELDS) else [None] * batch.num_rows
+    out = []
+    for row, own in enumerate(more):
+        names = gazetteer
+        if own:
+            names = Gazetteer(frozenset(own) | gazetteer.names.intersection(w.capitalize() for t in texts for w in WORDS.findall(t[row] or "")))
+        for column, t in enumerate(texts):
+            if t[row]:
+                out += [(row, column, s, e, kind, votes) for s, e, kind, votes in candidates(t[row], names)]
+    return out
+
+
 def candidate_spans(records: DataFrame, gazetteer: Gazetteer, own: DataFrame | None = None) -> DataFrame:
     """Candidates of all rows and fields with their votes; ``own`` has further names of the gazetteer by row_id."""
     sent = records.sparkSession.sparkContext.broadcast(gazetteer)
-    rows = records.select(F.col("row_id").cast("long").alias("row_id"), *FIELDS)
-    joined = own is not None
-    if joined:
-        rows = rows.join(own, "row_id", "left")
 
     def label(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids = b.column(0).to_pylist()
-            known = [sent.value] * len(ids)
-            if joined:
-                for k, (*texts, more) in enumerate(zip(*(c.to_pylist() for c in b.columns[1:]), strict=True)):
-                    if more:
-                        known[k] = Gazetteer(frozenset(more) | sent.value.names.intersection(w.capitalize() for t in texts for w in WORDS.findall(t or "")))
-            rows: list[tuple] = []
-            for column, name in enumerate(FIELDS, 1):
-                for i, text, names in zip(ids, b.column(column).to_pylist(), known, strict=True):
-                    if text:
-                        rows += [(i, name, s, e, kind, list(votes), text[s:e]) for s, e, kind, votes in candidates(text, names)]
+            rows = [(ids[r], FIELDS[c], s, e, kind, list(votes), b.column(1 + c)[r].as_py()[s:e]) for r, c, s, e, kind, votes in _candidates_of(b, sent.value)]
             columns = list(zip(*rows, strict=True)) or [()] * 7
             types = (pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.list_(pa.int8()), pa.string())
             yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types, strict=True)], names=["row_id", "field_name", "start", "stop", "pii_type", "votes", "shown"])
 
-    return rows.mapInArrow(label, SPANS)
+    return _with_names(records, own).mapInArrow(label, SPANS)
 
 
 def fit_spans(spans: DataFrame) -> SpanModel:
@@ -390,8 +415,9 @@ def fit_spans(spans: DataFrame) -> SpanModel:
     total = sum(r.n for r in counts)
     if not total:
         return SpanModel()
-    bound = min(1.0, TRAINING_SAMPLE / total) * 2**31
-    sample = spans.filter(F.pmod(F.xxhash64("row_id", "field_name", "start"), F.lit(2**31)) < bound).select("pii_type", "votes", "shown").limit(2 * TRAINING_SAMPLE).collect()
+    place = F.xxhash64("row_id", "field_name", "start")
+    bound = min(1.0, 2 * TRAINING_SAMPLE / total) * 2**31
+    sample = spans.filter(F.pmod(place, F.lit(2**31)) < bound).orderBy(place, "row_id", "field_name", "start", "stop").limit(TRAINING_SAMPLE).select("pii_type", "votes", "shown").collect()
     return train([(features(r.pii_type, tuple(r.votes), r.shown), belief[r.pii_type, tuple(r.votes)]) for r in sample])
 
 
@@ -418,28 +444,34 @@ def found_types(records: DataFrame) -> DataFrame:
     return accepted_spans(records).select("row_id", "field_name", "pii_type").distinct()
 
 
-def redact(records: DataFrame, spans: DataFrame | None = None) -> DataFrame:
-    """row_id, question, answer and focus with each accepted span replaced by its placeholder; null stays null."""
-    spans = accepted_spans(records) if spans is None else spans
-    grouped = spans.groupBy("row_id").agg(F.collect_list(F.struct("field_name", "start", "stop", "pii_type")).alias("spans"))
-    rows = records.select(F.col("row_id").cast("long").alias("row_id"), *FIELDS).join(grouped, "row_id", "left")
+def redact(records: DataFrame, model: SpanModel | None = None, gazetteer: Gazetteer | None = None) -> DataFrame:
+    """row_id, question, answer and focus with each span judged personal replaced by its placeholder; null stays null.
+
+    Once the model is fitted, spans are found, judged and replaced in one pass over the rows; no text is shuffled,
+    unless there are more first names than are sent to every executor. Of overlapping spans the first holds.
+    """
+    names = (gazetteer, None) if gazetteer else gather_gazetteer(records)
+    fitted = model or fit_spans(materialize(candidate_spans(records, *names), "pii-candidates"))
+    sent = records.sparkSession.sparkContext.broadcast((names[0], fitted))
 
     def replace(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, judge = sent.value
         for b in batches:
-            texts = [b.column(i).to_pylist() for i in range(1, 4)]
-            for i, found in enumerate(b.column(4).to_pylist()):
-                for column, name in enumerate(FIELDS):
-                    own = sorted((x["start"], -x["stop"], x["pii_type"]) for x in found or () if x["field_name"] == name)
-                    if own:
-                        out, at = [], 0
-                        for start, stop, kind in own:
-                            if start >= at:
-                                out += [texts[column][i][at:start], PLACEHOLDERS[kind]]
-                                at = -stop
-                        texts[column][i] = "".join(out) + texts[column][i][at:]
+            texts = [b.column(1 + c).to_pylist() for c in range(len(FIELDS))]
+            spans: dict[tuple[int, int], list[tuple[int, int, str]]] = {}
+            for r, c, start, stop, kind, votes in _candidates_of(b, known):
+                if judge.probability(kind, votes, texts[c][r][start:stop]) >= 0.5:
+                    spans.setdefault((r, c), []).append((start, -stop, kind))
+            for (r, c), own in spans.items():
+                text, out, at = texts[c][r], [], 0
+                for start, stop, kind in sorted(own):
+                    if start >= at:
+                        out += [text[at:start], PLACEHOLDERS[kind]]
+                        at = -stop
+                texts[c][r] = "".join(out) + text[at:]
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(t, pa.string()) for t in texts)], names=["row_id", *FIELDS])
 
-    return rows.mapInArrow(replace, "row_id bigint, question string, answer string, focus string")
+    return _with_names(records, names[1]).mapInArrow(replace, "row_id bigint, question string, answer string, focus string")
 
 
 def redaction_report(records: DataFrame, spans: DataFrame | None = None) -> DataFrame:

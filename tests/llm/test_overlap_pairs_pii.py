@@ -181,8 +181,8 @@ DETAILS = {
     "email": ["Write to ann.lee@site.example for more.", "E-mail: bo [at] host.example.", "Results go to c_d9 @ mail.test please."],
     "phone": ["Call (264) 555-0192 today.", "Fax or ring +44 7700 900136.", "Our line is 785.555.0126, day and night.", "Tel: 1-949-555-0126 ext. 76.", "Call five five five, zero one seven two."],
     "id_number": ["Please quote SSN 839-51-3243.", "On file: passport number X04056971.", "MRN: AB-057723.", "It lists CPF 776.710.528-76."],
-    "address": ["We live at 427 Brilenide Sq., Apt 28, East Quill.", "Send samples to P.O. Box 1046, Feldmoor.", "Home visit at Sotatelistraße 128, Port Ansley."],
-    "name": ["Dr. Jessamy Linduleti told us about this.", "Patient name: Noelka Testudendu;", "My name is kestrin pulari.", "Please ask for Pavlina Zosineli at the desk.", "My son Davrin has the same complaint."],
+    "address": ["We live at 427 Brilenide Sq., Apt 28, East Quill.", "Send samples to P.O. Box 1046, Feldmoor.", "Home visit at Sotatelistraße 128, Port Ansley.", "We live at 12 Brilenide Steading, Feldmoor."],
+    "name": ["Dr. Jessamy Linduleti told us about this.", "Patient name: Noelka Testudendu;", "My name is kestrin pulari.", "Please ask for Pavlina Zosineli at the desk.", "My son Davrin has the same complaint.", "Regards, É. Distafegi."],
 }
 
 
@@ -203,7 +203,7 @@ def test_details_are_found_and_replaced(spark):
     spans = pii.accepted_spans(df).cache()
     got = {(r.row_id, r.field_name, r.pii_type) for r in spans.collect()}
     assert len(got & truth) >= 0.98 * len(truth) and len(got & truth) >= 0.98 * len(got)
-    clean = {r.row_id: r for r in pii.redact(df, spans).collect()}
+    clean = {r.row_id: r for r in pii.redact(df).collect()}
     assert len(clean) == 400
     for i, _, answer, _ in rows:
         kinds = {k for j, _, k in got if j == i}
@@ -226,6 +226,23 @@ def test_names_of_the_whole_corpus_are_known(spark, monkeypatch, sent):
     assert {(r.row_id, r.shown) for r in spans} == {(10, "Pavlina"), (11, "Jessamy"), (12, "Jessamy Test-Name")}
 
 
+def test_the_classifier_rejects_what_the_votes_alone_would_take():
+    """Spans with the same votes, of which short ones come with doubt from elsewhere, are told apart by their features."""
+    votes = (1, 0, 1, 0)
+    rows = [(pii.features("phone", votes, "264 555 0192"), 0.9)] * 200 + [(pii.features("phone", votes, "1200300"), 0.1)] * 100
+    model = pii.train(rows)
+    assert sum(p for _, p in rows) / len(rows) > 0.5
+    assert model.probability("phone", votes, "785 555 0126") > 0.5 > model.probability("phone", votes, "4471090")
+
+
+def test_places_without_a_street_word():
+    nobody = pii.Gazetteer()
+    kinds = lambda text: [(text[s:e], v) for s, e, k, v in pii.candidates(text, nobody) if k == "address"]
+    assert kinds("Send samples to 1451B brandeklita steading.") == [("1451B brandeklita steading", (0, 1, 0, 0))]
+    assert kinds("The clinic has moved to Flat 28, 450 Bropiteru Holm, Upper Brack.") == [("Flat 28, 450 Bropiteru Holm, Upper Brack", (0, 1, 1, 0))]
+    assert all(v[3] == -1 for _, v in kinds("The dose moved to 20 mg daily. They stayed in 30 weeks running."))
+
+
 def test_placeholders_blanks_and_nothing(spark):
     rows = [(1, "[REDACTED_EMAIL] or [REDACTED_PHONE]", None, ""), (2, None, None, None)]
     df = spark.createDataFrame(rows, "row_id long, question string, answer string, focus string")
