@@ -8,7 +8,9 @@ last words, fitted on sentences of the corpus and the same sentences cut short.
 
 from __future__ import annotations
 
+import heapq
 import html
+import itertools
 import math
 import random
 import re
@@ -18,13 +20,12 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Rows from which the end-of-sentence model, and for each language the language model, are fitted: about so many, at most twice.
+#: Rows from which the end-of-sentence model, and for each language (a label of two letters, so 676 at most) the language model, are fitted.
 TAIL_SAMPLE = 6_000
 LANGUAGE_SAMPLE = 400
-MOST_LANGUAGES = 30
 
 # Frequent function words of the languages known beforehand.
 FUNCTION_WORDS = {
@@ -72,7 +73,7 @@ _NOT = (
 REFUSAL = re.compile(
     "|".join(
         (
-            rf"\b{_WHO}(?: \w+){{0,2}} {_NOT}(?: \w+){{0,6}}? {_SAY}\b",
+            rf"\b{_WHO}(?: \w+){{0,2}} {_NOT}(?: (?!but\b)\w+){{0,6}}? {_SAY}\b",
             rf"\bid (?:rather|prefer) not(?: to)?(?: \w+){{0,3}}? {_SAY}\b",
             rf"\b(?:im|i am|we are|were)(?: \w+){{0,2}} (?:unable|not able|not (?:allowed|permitted|authori[sz]ed|qualified|comfortable|prepared|willing|licensed|equipped|programmed|trained|in a position))(?: \w+){{0,4}}? {_SAY}\b",
             r"\b(?:i|we) (?:must|have to|need to|will have to|would have to|am going to|am forced to)(?: \w+)? (?:decline|pass|refuse|refrain|abstain)\b",
@@ -107,6 +108,12 @@ REFUSAL_HINTS = frozenset(
 PAIRS = {"(": ")", "[": "]", "{": "}", "“": "”", "«": "»", "„": "“”", "‹": "›", "「": "」", "（": "）", "【": "】"}
 CLOSERS = frozenset("".join(PAIRS.values()))
 VOID_TAGS = frozenset("br hr img input meta link wbr col area base source track embed param".split())
+#: What begins an item: a bullet or number at a line's start, or a number in brackets or with a stop inside a line.
+ITEM = re.compile(r"(?:^|\n)[ \t]*(?:[-*•·+]|(\d{1,3})[.)]|[a-z]\))(?=\s|$)|(?<=[\s:;,])\(?(\d{1,2})[.)](?=\s|$)")
+# Numbers in words.
+NUMBERS = {w: n for n, w in enumerate("two three four five six seven eight nine ten".split(), 2)}
+#: A number of things to come, before a colon.
+ANNOUNCED = re.compile(rf"\b({'|'.join(NUMBERS)}|[2-9]|1\d)(?: \w+){{0,3}}? (?:steps|reasons|signs|ways|things|points|types|kinds|forms|stages|symptoms|causes|tests|options|rules|parts|phases|tips|groups|measures|items|questions)\b[^.!?:\n]*:\s", re.I)
 TOKENS = re.compile(r"```|~~~|\*\*|__|`|<(/?)([A-Za-z][A-Za-z0-9]*)([^<>]*)>|[()\[\]{}“”«»„‹›「」（）【】\"]|(?<![A-Za-z0-9])[:;]-?[()]")
 MARKS = re.compile(r"[`~*_<()\[\]{}“”«»„‹›「」（）【】\"]")
 #: What a text that was broken off, or cut by a tool, ends with.
@@ -115,16 +122,52 @@ BROKEN_END = re.compile(
     re.I,
 )
 BROKEN_OFF = re.compile(r"[\[(]\s*(?:continued?|cont\.?|more|truncated|…)[^\])]{0,40}$|(?<=\s)\[…?$|\b(?:to be continued|read more|show more|see more)\W{0,9}$", re.I)
-EMPTY_ITEM = re.compile(r"(?:^|\n)\s{0,20}(?:[-*•·+]|\d{1,2}[.)])\s*$")
 END_REACH = 80
 
 
+def list_left_open(text: str) -> str | None:
+    """``item`` if the text ends with an item that says nothing, ``list`` if fewer items follow than were announced, else None.
+
+    The parser's state of lists: an item ends the one before it. A number inside a line begins an item only if it
+    continues the count of the items before, or is 1, so that "in 30." and "(2)" alone are no items.
+    """
+    last = None
+    inline = 0  # the number of the last item inside a line
+    starts = []
+    for m in ITEM.finditer(text):
+        if m.group(2):
+            if int(m.group(2)) not in (1, inline + 1):
+                continue
+            inline = int(m.group(2))
+        elif m.group(1):
+            inline = int(m.group(1))
+        last = m
+        starts.append(m.start())
+    if last is None or (last.group(2) and inline == 1 and len(starts) == 1 and text[last.start() : last.end()].endswith(".")):
+        return None
+    if not WORD.search(text, last.end()):
+        return "item"
+    told = ANNOUNCED.search(text)
+    if told:
+        word = told.group(1).lower()
+        after = sum(at >= told.end() - 1 for at in starts)
+        if 0 < after < (NUMBERS.get(word) or int(word)):
+            return "list"
+    return None
+
+
 def left_open(text: str) -> list[str]:
-    """What a pushdown parser finds open at the text's end: fences, brackets, quotations, markup; the outermost first.
+    """What a pushdown parser finds open at the text's end: fences, brackets, quotations, markup, lists; the outermost first.
 
     A closer without its opener is ignored. Inside a fence everything but the fence is plain. Straight quotation
     marks and doubled stars toggle; a mark after a digit is an inch sign. Face marks such as :( are no brackets.
     """
+    stack = _marks_left_open(text)
+    unfinished = None if any(o in ("```", "~~~", "`") for o in stack) else list_left_open(text)
+    return [*stack, unfinished] if unfinished else stack
+
+
+def _marks_left_open(text: str) -> list[str]:
     stack: list[str] = []
     if not MARKS.search(text):
         return stack
@@ -167,17 +210,25 @@ def tiles(question: list[str], answer: list[str], least: int = 2) -> tuple[int,
     where: dict[str, list[int]] = {}
     for j, w in enumerate(question):
         where.setdefault(w, []).append(j)
-    runs = []
+    runs: list[tuple[int, int, int]] = []  # (-length, place in the answer, place in the question) of maximal runs
     before: dict[int, int] = {}
-    for i, w in enumerate(answer):
-        now = {j: before.get(j - 1, 0) + 1 for j in where.get(w, ())}
-        runs += [(n, i - n + 1, j - n + 1) for j, n in now.items() if n >= least]
+    for i, w in enumerate([*answer, None]):
+        now = {j: before.get(j - 1, 0) + 1 for j in where.get(w, ())} if w is not None else {}
+        runs += [(-n, i - n, j - n + 1) for j, n in before.items() if n >= least and j + 1 not in now]
         before = now
+    heapq.heapify(runs)
     marked, used = [False] * len(answer), [False] * len(question)
-    for n, i, j in sorted(runs, key=lambda r: (-r[0], r[1], r[2])):
-        if not any(marked[i : i + n]):
-            marked[i : i + n] = [True] * n
-            used[j : j + n] = [True] * n
+    while runs:
+        n, i, j = heapq.heappop(runs)
+        free = [k for k in range(i, i - n) if not marked[k]]
+        if len(free) == -n:
+            marked[i : i - n] = [True] * -n
+            used[j : j - n] = [True] * -n
+            continue
+        for _, part in itertools.groupby(enumerate(free), lambda x: x[1] - x[0]):  # what is left of the run, in its turn
+            places = [k for _, k in part]
+            if len(places) >= least:
+                heapq.heappush(runs, (-len(places), places[0], j + places[0] - i))
     return sum(marked), sum(used)
 
 
@@ -313,11 +364,9 @@ def plain_answer(text: str | None) -> str:
     return " ".join((text if text.isascii() else INVISIBLE.sub("", text)).split())
 
 
-def is_empty(bare: str) -> bool:
-    """Whether a text without markup has no letter or digit, or only stands in for an answer."""
-    if WORD.search(bare) is None:
-        return True
-    return len(bare) <= 80 and STAND_IN.fullmatch(" ".join(WORD.findall(bare.lower()))) is not None
+def is_empty(words: list[str]) -> bool:
+    """Whether the lower-case words of a text without markup are none, or only stand in for an answer."""
+    return not words or STAND_IN.fullmatch(" ".join(words)) is not None
 
 
 def is_refusal(bare: str) -> bool:
@@ -355,13 +404,13 @@ def is_truncated(text: str, bare: str, tails: Tails) -> bool:
     shown = html.unescape(text) if "&" in text else text
     shown = (shown if shown.isascii() else INVISIBLE.sub("", shown)).rstrip()
     end = shown[-END_REACH:]  # none of the endings is longer
-    if BROKEN_OFF.search(end) or BROKEN_END.search(end) or EMPTY_ITEM.search(end):
+    if BROKEN_OFF.search(end) or BROKEN_END.search(end):
         return True
     if re.search(r"<[^<>]{0,200}$", shown) and re.search(r"</?[a-zA-Z]", shown[shown.rfind("<") :]):
         return True
     inner = MARKUP.sub(" ", shown).rstrip() if "<" in shown else shown
     open_now = left_open(shown)
-    if any(o in PAIRS or o in ("```", "~~~") or o.startswith("<") or o == "**" for o in open_now):
+    if any(o in PAIRS or o in ("```", "~~~", "**", '"', "`", "item", "list") or o.startswith("<") for o in open_now):
         return True
     if ends_in_aside(inner):
         return False
@@ -379,11 +428,10 @@ def is_truncated(text: str, bare: str, tails: Tails) -> bool:
 
 def defect_of(question: str | None, answer: str | None, models: Models) -> str | None:
     """The kind of defect of a pair, or None. Kinds are tried in this order: empty, echo, refusal, other_language, truncated."""
-    bare = plain_answer(answer)
-    if is_empty(bare):
-        return "empty"
-    asked = plain_answer(question)
+    bare, asked = plain_answer(answer), plain_answer(question)
     q, a = WORD.findall(asked.lower()), WORD.findall(bare.lower())
+    if is_empty(a):
+        return "empty"
     if is_echo(q, a):
         return "echo"
     if is_refusal(bare):
@@ -399,50 +447,60 @@ def defect_of(question: str | None, answer: str | None, models: Models) -> str |
     return "truncated" if is_truncated(answer or "", bare, models.tails) else None
 
 
-def _sampled(rows: DataFrame, share: float, most: int, salt: int) -> DataFrame:
-    """A share of the rows by a hash of their id, ``most`` at most."""
-    bound = min(1.0, share) * 2**31
-    return rows.filter(F.pmod(F.xxhash64(F.lit(salt), "row_id"), F.lit(2**31)) < bound).limit(most)
-
-
 def fit_models(records: DataFrame) -> Models:
-    """Fits both models on bounded samples: TAIL_SAMPLE answers, and LANGUAGE_SAMPLE rows of each labelled language."""
-    rows = records.select("row_id", F.lower(F.substring(F.trim("language"), 1, 2)).alias("lang"), "question", "answer").filter("answer is not null")
-    counts = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect() if r.lang and r.n >= 3}
+    """Fits both models on bounded samples: TAIL_SAMPLE answers, and LANGUAGE_SAMPLE rows of each label of two letters.
+
+    Samples are the rows with the smallest hashes of their ids, so they are the same in every run and layout.
+    """
+    rows = records.select(F.col("row_id").cast("long").alias("row_id"), F.lower(F.substring(F.trim("language"), 1, 2)).alias("lang"), "question", "answer").filter("answer is not null and row_id is not null")
+    place = F.pmod(F.xxhash64(F.lit(1), "row_id"), F.lit(2**31))
+    counts = {r.lang or "": r.n for r in rows.groupBy(F.when(F.col("lang").rlike("^[a-z]{2}$"), F.col("lang")).alias("lang")).agg(F.count("*").alias("n")).collect()}
     total = sum(counts.values())
     if not total:
         return Models(Tails.fit([]), Languages.fit([]))
-    sample = _sampled(rows, TAIL_SAMPLE / total, 2 * TAIL_SAMPLE, 1).select("question", "answer").collect()
+
+    def bound(most: int, n: int) -> float:
+        return min(1.0, 2 * most / n + 20 / n) * 2**31  # about twice as many as are kept, so that sorting sees few rows
+
+    tail = rows.filter(place < bound(TAIL_SAMPLE, total)).orderBy(place, "row_id").limit(TAIL_SAMPLE).select("question", "answer").collect()
     sentences = []
-    for r in sample:
+    for r in tail:
         for text in (r.question, r.answer):
             sentences += [s for s in SENTENCE_END.split((text or "").strip()) if s and s[-1] in ".!?" and len(s) >= 8 and not s.endswith("...")]
-    bounds = F.create_map(*[x for lang, n in sorted(counts.items()) for x in (F.lit(lang), F.lit(min(1.0, LANGUAGE_SAMPLE / n) * 2**31))])
-    place = F.pmod(F.xxhash64(F.lit(2), "row_id"), F.lit(2**31))
-    labelled = rows.filter(place < F.try_element_at(bounds, F.col("lang"))).select("lang", "question", "answer").limit(2 * LANGUAGE_SAMPLE * len(counts))
-    spoken = [(r.lang, WORD.findall(f"{plain_answer(r.question)} {plain_answer(r.answer)}".lower())) for r in labelled.collect()]
+    langs = sorted(lang for lang in counts if lang)
+    if not langs:
+        return Models(Tails.fit(sentences), Languages.fit([]))
+    bounds = F.create_map(*[x for lang in langs for x in (F.lit(lang), F.lit(bound(LANGUAGE_SAMPLE, counts[lang])))])
+    order = Window.partitionBy("lang").orderBy(place, "row_id")
+    labelled = rows.filter(place < F.try_element_at(bounds, F.col("lang"))).withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= LANGUAGE_SAMPLE)
+    spoken = [(r.lang, WORD.findall(f"{plain_answer(r.question)} {plain_answer(r.answer)}".lower())) for r in labelled.orderBy("lang", "nth").select("lang", "question", "answer").collect()]
     return Models(Tails.fit(sentences), Languages.fit(spoken))
 
 
-def defective_pairs(records: DataFrame, models: Models | None = None) -> DataFrame:
-    """(row_id, defect_type) of each row whose answer fails its question; see ``defect_of`` for the kinds.
-
-    ``records`` needs row_id, question, answer and, to fit the models, language; other columns are ignored. A null
-    question counts as empty: then only the answer's own defects are seen. Repeated rows are judged one by one.
-    An empty table gives an empty result. Texts are read whole.
-    """
+def _judged(rows: DataFrame, models: Models | None, records: DataFrame, keep: str) -> DataFrame:
+    """(``keep``, defect_type) of the defective rows of (``keep``, question, answer)."""
     fitted = records.sparkSession.sparkContext.broadcast(models or fit_models(records))
 
     def judge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             kinds = [defect_of(q, a, fitted.value) for q, a in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)]
-            found = pa.RecordBatch.from_arrays([b.column(0), pa.array(kinds, pa.string())], names=["row_id", "defect_type"])
+            found = pa.RecordBatch.from_arrays([b.column(0), pa.array(kinds, pa.string())], names=[keep, "defect_type"])
             yield found.filter(found.column(1).is_valid())
 
-    return records.select(F.col("row_id").cast("long").alias("row_id"), "question", "answer").mapInArrow(judge, "row_id bigint, defect_type string")
+    return rows.mapInArrow(judge, f"{keep} {rows.schema[keep].dataType.simpleString()}, defect_type string")
+
+
+def defective_pairs(records: DataFrame, models: Models | None = None) -> DataFrame:
+    """(row_id, defect_type) of each row whose answer fails its question; see ``defect_of`` for the kinds.
+
+    ``records`` needs row_id, question, answer and, to fit the models, language; other columns are ignored. A null
+    question counts as empty: then only the answer's own defects are seen. Repeated rows are judged one by one.
+    An empty table gives an empty result. Texts are read whole.
+    """
+    return _judged(records.select(F.col("row_id").cast("long").alias("row_id"), "question", "answer"), models, records, "row_id")
 
 
 def defect_counts(records: DataFrame, models: Models | None = None) -> DataFrame:
-    """Defective rows per collection and kind."""
-    kinds = defective_pairs(records, models)
-    return kinds.join(records.select("row_id", F.col("source.collection").alias("collection")), "row_id").groupBy("collection", "defect_type").agg(F.count("*").alias("n_rows"))
+    """Defective rows per collection and kind, counted in one pass."""
+    rows = records.select(F.col("source.collection").alias("collection"), "question", "answer")
+    return _judged(rows, models, records, "collection").groupBy("collection", "defect_type").agg(F.count("*").alias("n_rows"))

@@ -165,6 +165,9 @@ def test_parser():
     assert pairs.left_open("a (b [c] d") == ["("] and pairs.left_open("(a) ] b") == [] and pairs.left_open("```x ( ```") == []
     assert pairs.left_open("<p>a<br>b") == ["<p"] and pairs.left_open('5" wide') == [] and pairs.left_open("say “x") == ["“"]
     assert pairs.tiles("a b c d".split(), "x a b c y".split()) == (3, 3)
+    assert pairs.tiles("a b c d".split(), "a b c d a b c d b c".split()) == (10, 4) and pairs.tiles("a b c".split(), "b c b".split()) == (2, 2)
+    for text, found in (("1. a\n2. b\n3.", ["item"]), ("There are three steps:\n- Rest\n- Water", ["list"]), ("Buy 1) a mask, 2)", ["item"]), ("- a\n- b", []), ("In 30. It is (2) good 3.", []), ("Two signs: 1. fever 2. cough", [])):
+        assert pairs.left_open(text) == found, text
 
 
 def test_defective_pairs_in_spark(spark):
@@ -176,6 +179,39 @@ def test_defective_pairs_in_spark(spark):
     assert pairs.defective_pairs(df.limit(0)).count() == 0 and pairs.defect_counts(df, MODELS).count() == 4
 
 
+HELD_OUT = {
+    "empty": ["no response", "Not applicable.", "<div> </div>", "...", "To be completed", "TODO", "No information available", "Answer not provided.", "(none)", "Pending", "n.a.", "???"],
+    "refusal": [
+        "I am not able to answer this question.", "We cannot offer advice on individual cases.", "Sorry, that is something I can't help with.", "Unfortunately I am unable to respond to medical questions.",
+        "This assistant is not permitted to discuss treatment.", "As an AI language model, I cannot diagnose Foo fever.", "I would prefer not to answer.", "It would be inappropriate for us to comment on this.",
+        "Je ne peux pas répondre à cette question.", "Ich kann diese Frage leider nicht beantworten.", "Your request has been declined.", "No comment.",
+    ],
+    "echo": [f"The question is: {Q}", f"Q: {Q}", Q.lower().rstrip("?"), f"Re: {Q}", f"{Q}\n\n{Q}", f"> {Q}", f"Good question. {Q}"],
+    "truncated": [
+        "Rest helps. The doctor will then", "Water helps. Signs are fever (", "The cough lasts because of the", "Three signs matter:\n1. fever\n2. cough", "Rest helps:\n* sleep\n*", "It is inherited. See [the", "Rest and water help. He said “take",
+        "Rest helps. ```\nrest: 3", "<ul><li>Rest</li><li>", "The first signs are fever, cough and", "Ask for a test such as", "Rest helps. In most ca",
+    ],
+    "other_language": [
+        "La enfermedad se trata con reposo y agua durante unos días.", "Die Krankheit ist nicht ansteckend und heilt meist von selbst.", "La maladie est rare et les premiers signes sont la fièvre et la toux.", "A doença não tem cura, mas o descanso ajuda a pessoa.",
+        "La malattia è rara e i primi segni sono la febbre e la tosse.", "Choroba jest rzadka i nie ma na nią leku.", "これは珍しい病気です。", "Η νόσος είναι σπάνια.",
+    ],
+    None: [
+        "Rest helps. Doctors advise rest (and plenty of water).", "Two signs matter:\n1. fever\n2. cough", "We cannot cure it, but rest and water help most people.", "Doctors do not advise surgery.", "The first signs are fever and cough; call the clinic if the cough lasts.",
+        "It is known as Foo fever, or “fever of Foo”.", "No test is needed.", "There is no known cure.", "- fever\n- cough\n- dry eyes", "The answer depends on age: children need rest, adults need water.", "Take 10 mg in the morning.", "Foo fever is not catching.",
+        "Not everyone notices a fever, and some people have no signs at all.", "The first signs of Foo fever are cough and fever, and it is treated with rest.", "Rest helps. It is called Krankheit in German.", "We are not sure why it starts. It may be inherited.",
+    ],
+}
+
+
+def test_held_out_wordings():
+    """Wordings that the rules were not written from: README states the figures."""
+    judged = [(kind, pairs.defect_of(Q, answer, MODELS)) for kind, answers in HELD_OUT.items() for answer in answers]
+    bad = [(k, g) for k, g in judged if k]
+    assert sum(k == g for k, g in bad) >= 0.85 * len(bad)
+    found = [(k, g) for k, g in judged if g]
+    assert sum(k == g for k, g in found) >= 0.9 * len(found)
+
+
 FILLER = ["Give 10 mg @ bedtime.", "Serial 4471.25.90 failed the check.", "Between 1998-2004 the rate was 80-25.", "The Lane-Hart scale gave 10 points.", "Go to room 12 on floor 2.", "Patient ID is required at the front desk."]
 DETAILS = {
     "email": ["Write to ann.lee@site.example for more.", "E-mail: bo [at] host.example.", "Results go to c_d9 @ mail.test please."],
