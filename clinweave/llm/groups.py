@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from clinweave.plans.scratch import materialize, release
 from clinweave.plans.skew import join_by_key_stats
 
-#: A component with at least this share of the rows is placed by itself; there are 1 / HEAVY_SHARE at most.
+#: A component with at least this share of the rows draws its split before the others; there are 1 / HEAVY_SHARE at most.
 HEAVY_SHARE = 0.002
 
 
@@ -89,17 +89,18 @@ def row_groups(records: DataFrame) -> DataFrame:
 
 def _draw(key: Column, split: str, seed: int, weight: float) -> Column:
     """Weighted rendezvous: the split with the smallest -ln(u) / weight wins."""
-    u = ((F.xxhash64(F.lit(seed), F.lit(split), key).bitwiseAND(F.lit((1 << 52) - 1))).cast("double") + 0.5) / float(1 << 52)
-    return -F.log(u) / F.lit(weight)
+    head = F.substring(F.md5(F.concat(F.lit(f"{seed}:{split}:"), key)), 1, 13)
+    return -F.log((F.conv(head, 16, 10).cast("double") + 0.5) / F.lit(float(1 << 52))) / F.lit(weight)
 
 
 def assign_splits(records: DataFrame, config: DataFrame) -> DataFrame:
     """(row_id, group_key, split_name): whole components to splits, with shares of rows close to ``config``.
 
     ``config`` has split_name, ratio and seed_value, one row per split (a handful of rows, read by the driver).
-    Components with at least HEAVY_SHARE of all rows, 1 / HEAVY_SHARE of them at most, go to the split that is
-    furthest below its share, largest first; every other component draws a split by weighted rendezvous hashing,
-    with what the heavy ones left as weights. So a component's split does not depend on other small components.
+    Every component draws a split by weighted rendezvous hashing of its key. Those with at least HEAVY_SHARE of all
+    rows, 1 / HEAVY_SHARE of them at most, draw first, largest first, with the ratios as weights and among the splits
+    that have room for them (the one with most room, if none has). The others draw with what is left as weights. Hashes
+    are the same in both draws, so a component that grows across the line keeps its split but for the change of weights.
     """
     rows = materialize(row_groups(records), "row-groups")
     total = rows.count()
@@ -108,16 +109,18 @@ def assign_splits(records: DataFrame, config: DataFrame) -> DataFrame:
         raise ValueError("the split configuration is empty")
     scale = sum(r for _, r, _ in splits)
     sizes = materialize(rows.groupBy("group_key").agg(F.count("*").alias("n")), "group-sizes")
-    heavy = sizes.filter(F.col("n") >= max(2.0, HEAVY_SHARE * total)).orderBy(F.desc("n"), "group_key").collect() if total else []
+
+    def draws(weights: dict[str, float]) -> Column:
+        return F.array_sort(F.array(*[F.struct(_draw(F.col("group_key"), name, seed, weights[name]).alias("d"), F.lit(name).alias("s")) for name, _, seed in splits]))
+
     left = {name: ratio / scale * total for name, ratio, _ in splits}
+    large = sizes.filter(F.col("n") >= max(2.0, HEAVY_SHARE * total)).select("group_key", "n", draws({name: ratio for name, ratio, _ in splits}).alias("draws"))
     placed = {}
-    for r in heavy:
-        best = max(sorted(left), key=lambda s: left[s])
+    for r in large.orderBy(F.desc("n"), "group_key").collect() if total else []:
+        best = next((x.s for x in r.draws if left[x.s] >= r.n), max(left, key=lambda s: left[s]))
         placed[r.group_key] = best
         left[best] -= r.n
-    weights = {s: max(x, 1e-9) for s, x in left.items()}
-    draws = [F.struct(_draw(F.col("group_key"), name, seed, weights[name]).alias("d"), F.lit(name).alias("s")) for name, _, seed in splits]
-    drawn = (F.least(*draws) if len(draws) > 1 else draws[0])["s"]
+    drawn = draws({s: max(x, 1e-9) for s, x in left.items()})[0]["s"]
     if placed:
         fixed = F.create_map(*[x for k, s in placed.items() for x in (F.lit(k), F.lit(s))])
         drawn = F.coalesce(F.try_element_at(fixed, F.col("group_key")), drawn)

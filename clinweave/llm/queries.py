@@ -114,12 +114,39 @@ _SPANS = """
     found AS (SELECT doc_id, min(i) - 1 AS span_start, max(i) + 199 AS span_end FROM part GROUP BY doc_id, n)
 """
 
+_LINKED = f"""
+    WITH RECURSIVE plain AS (SELECT row_id, {_PLAIN_ID.format("record_id")} AS r, {_PLAIN_ID.format("document_id")} AS d FROM canonical_records), ids AS (SELECT DISTINCT r, d FROM plain),
+    links AS (SELECT DISTINCT x.d AS a, y.d AS b FROM ids x JOIN ids y ON x.r = y.r AND x.d <> y.d),
+    reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+"""
+
+
+def _draws(left: str) -> str:
+    """Splits in the order of their draws, with the list ``left`` as weights."""
+    u = "(('0x' || substr(md5(c.seed_value || ':' || c.split_name || ':' || g.group_key), 1, 13))::UBIGINT::DOUBLE + 0.5) / 4503599627370496"
+    return f"(SELECT list({{'d': -ln({u}) / greatest({left}[c.nth], 1e-9), 'nth': c.nth}} ORDER BY -ln({u}) / greatest({left}[c.nth], 1e-9), c.nth) FROM conf c)"
+
+
 SQL: dict[str, str] = {
+    "p2_splits": f"""
+        {_LINKED}, root AS (SELECT a AS d, min(b) AS root FROM reach GROUP BY a),
+        home AS (SELECT m.r, coalesce(root, m.d) AS home FROM (SELECT r, min(d) AS d FROM ids WHERE r IS NOT NULL AND d IS NOT NULL GROUP BY r) m LEFT JOIN root USING (d)),
+        grouped AS (SELECT row_id, CASE WHEN p.d IS NOT NULL THEN coalesce(root, p.d) WHEN p.r IS NOT NULL THEN coalesce(home, 'record:' || p.r) ELSE 'row:' || row_id END AS group_key
+            FROM plain p LEFT JOIN root ON p.d = root.d LEFT JOIN home ON p.r = home.r),
+        conf AS (SELECT *, row_number() OVER (ORDER BY split_name) AS nth FROM (SELECT DISTINCT split_name, ratio, seed_value FROM split_config)),
+        share AS (SELECT list(ratio ORDER BY nth) AS ratios, list(ratio / (SELECT sum(ratio) FROM conf) * (SELECT count(*) FROM plain) ORDER BY nth) AS room FROM conf),
+        sized AS (SELECT group_key, count(*) AS n FROM grouped GROUP BY 1),
+        large AS (SELECT *, row_number() OVER (ORDER BY n DESC, group_key) AS k FROM (SELECT group_key, n, {_draws("(SELECT ratios FROM share)")} AS draws FROM sized g WHERE n >= greatest(2, 0.002 * (SELECT count(*) FROM plain)))),
+        fill AS (
+            SELECT 0::BIGINT AS k, NULL::VARCHAR AS group_key, NULL::BIGINT AS nth, room AS l FROM share
+            UNION ALL SELECT k, group_key, nth, list_transform(l, lambda x, i: CASE WHEN i = nth THEN x - n ELSE x END)
+            FROM (SELECT x.k, x.group_key, x.n, f.l, coalesce(list_filter(x.draws, lambda y: f.l[y.nth] >= x.n)[1].nth, list_position(f.l, list_max(f.l)))::BIGINT AS nth FROM fill f JOIN large x ON x.k = f.k + 1)),
+        rest AS (SELECT l FROM fill ORDER BY k DESC LIMIT 1),
+        drawn AS (SELECT group_key, {_draws("(SELECT l FROM rest)")}[1].nth AS nth FROM sized g)
+        SELECT row_id, group_key, split_name FROM grouped JOIN drawn d USING (group_key) LEFT JOIN fill f USING (group_key) JOIN conf ON conf.nth = coalesce(f.nth, d.nth)
+    """,
     "p2_found": f"""
-        WITH RECURSIVE ids AS (SELECT DISTINCT {_PLAIN_ID.format("record_id")} AS r, {_PLAIN_ID.format("document_id")} AS d FROM canonical_records),
-        links AS (SELECT DISTINCT x.d AS a, y.d AS b FROM ids x JOIN ids y ON x.r = y.r AND x.d <> y.d),
-        reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
-        SELECT min(b) AS group_document_id, a AS document_id FROM reach GROUP BY a HAVING min(b) < a
+        {_LINKED} SELECT min(b) AS group_document_id, a AS document_id FROM reach GROUP BY a HAVING min(b) < a
     """,
     "p6_found": _COPIES + "SELECT first_row_id, row_id FROM g WHERE row_id <> first_row_id",
     "p6_collapsed": _COPIES + "SELECT first_row_id, count(*) AS n_copies FROM g GROUP BY first_row_id",
