@@ -17,11 +17,14 @@ from pyspark.sql import functions as F
 from clinweave.llm import rolling as R
 from clinweave.llm.words import WordHasher
 from clinweave.plans.scratch import materialize
+from clinweave.plans.skew import join_by_key_stats
 
 #: Words in a seed.
 GRAM = 5
 #: Distinct item n-grams up to which their hashes are sent to every executor (16 MB); beyond it they are joined.
 MOST_SENT_GRAMS = 2_000_000
+#: Bytes of item texts up to which they are sent to every executor; beyond it they are joined to the documents.
+MOST_SENT_TEXT = 64 << 20
 #: Alignment scores of a matching word, a differing word and a gap.
 MATCH, MISMATCH, GAP = 2, -1, -1
 
@@ -114,19 +117,29 @@ def _passages(item: np.ndarray, text: np.ndarray, powers: R.Powers) -> list[tupl
 ALIGNED_AT_ONCE = 1 << 15
 
 
-def _hashed(texts: pa.Array, words: WordHasher) -> list[np.ndarray]:
-    """The word hashes of each text; equal texts are hashed once."""
-    coded = texts.dictionary_encode()
-    hashes, ends = words(coded.dictionary.to_pylist())
-    return [hashes[ends[i] : ends[i + 1]] for i in coded.indices.to_pylist()]
+def _align_all(batches: Iterable[pa.RecordBatch], sent: dict[int, str] | None) -> Iterator[pa.RecordBatch]:
+    """Aligns each text (column 1) with its items: ids in column 2, whose texts are sent along or stand in column 3."""
+    words, powers = WordHasher(), R.Powers(R.BASES[1])
+    known: dict[int, np.ndarray] = {}
 
+    def hashed(texts: list[str]) -> list[np.ndarray]:
+        hashes, ends = words(texts)
+        return [hashes[s:e] for s, e in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
 
-def _align_all(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    words, powers = WordHasher(), R.Powers(R.BASES[1])
-    for b in R.slices(batches, 1, 3):
-        texts, items = (_hashed(b.column(c), words) for c in (1, 3))
-        jobs = sorted((hi - lo, r, lo) for r in range(b.num_rows) for lo, hi in _passages(items[r], texts[r], powers))
-        score, start, end, longest = (np.zeros(b.num_rows, np.int32) for _ in range(4))
+    for b in R.slices(batches, 1):
+        texts = hashed(b.column(1).to_pylist())
+        lists = b.column(2).to_pylist()
+        if sent is None:
+            known = {i: t for row, own in zip(lists, b.column(3).to_pylist(), strict=True) for i, t in zip(row, own, strict=True) if i not in known} | known
+            fresh = [i for i, t in known.items() if isinstance(t, str)]
+            known |= dict(zip(fresh, hashed([known[i] for i in fresh]), strict=True))
+        else:
+            fresh = sorted({i for row in lists for i in row} - known.keys())
+            known |= dict(zip(fresh, hashed([sent[i] for i in fresh]), strict=True))
+        rows = [(d, i) for d, row in enumerate(lists) for i in row]
+        items = [known[i] for _, i in rows]
+        jobs = sorted((hi - lo, r, lo) for r, (d, _) in enumerate(rows) for lo, hi in _passages(items[r], texts[d], powers))
+        score, start, end, longest = (np.zeros(len(rows), np.int32) for _ in range(4))
         while jobs:
             width = jobs[-1][0]
             take, jobs = jobs[-max(1, ALIGNED_AT_ONCE // width) :], jobs[: -max(1, ALIGNED_AT_ONCE // width)]
@@ -134,16 +147,23 @@ def _align_all(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             right = np.ones((len(take), width), np.uint64)
             for k, (size, r, lo) in enumerate(take):
                 left[k, : len(items[r])] = items[r]
-                right[k, :size] = texts[r][lo : lo + size]
+                right[k, :size] = texts[rows[r][0]][lo : lo + size]
             for (_, r, lo), s, f, t, n in zip(take, *align(left, right), strict=True):
                 longest[r] = max(longest[r], n)
                 if s > score[r]:
                     score[r], start[r], end[r] = s, lo + f, lo + t
         most = MATCH * np.maximum([len(item) for item in items], 1)
+        ids = b.column(0).to_pylist()
         yield pa.RecordBatch.from_arrays(
-            [b.column(0), b.column(2), *(pa.array(x, t) for x, t in ((score, pa.int32()), (score / most, pa.float64()), (start, pa.int32()), (end, pa.int32()), (longest, pa.int32())))],
+            [
+                pa.array([ids[d] for d, _ in rows], pa.int64()), pa.array([i for _, i in rows], pa.int64()),
+                *(pa.array(x, t) for x, t in ((score, pa.int32()), (score / most, pa.float64()), (start, pa.int32()), (end, pa.int32()), (longest, pa.int32()))),
+            ],
             names=["doc_id", "item_id", "score", "share", "word_start", "word_end", "run_words"],
-        )
+        )
+
+
+ALIGNED = "doc_id bigint, item_id bigint, score int, share double, word_start int, word_end int, run_words int"
 
 
 def alignments(documents: DataFrame, items: DataFrame, run: int = 12, edited: bool = True) -> DataFrame:
@@ -173,18 +193,28 @@ def alignments(documents: DataFrame, items: DataFrame, run: int = 12, edited: bo
         holding = texts.join(found.groupBy(F.col("id").alias("doc_id")).agg(F.collect_set("gram").alias("grams")), "doc_id")
     holding = materialize(holding, "texts-with-grams")
     hits = holding.select("doc_id", F.explode("grams").alias("gram"))
+    texts_with = materialize(hits.groupBy("gram").agg(F.count("*").alias("n")), "gram-counts")
     if edited:
         seeds = grams.select(F.col("id").alias("item_id"), "gram").distinct()
     else:
-        texts_with = hits.groupBy("gram").agg(F.count("*").alias("n"))
         last = run - GRAM
         ranked = grams.join(texts_with, "gram", "left").select("id", "place", "gram", F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram").alias("rank"))
         windows = ranked.select("id", F.explode(F.sequence(F.greatest(F.col("place") - last, F.lit(0)), F.col("place"))).alias("window"), "rank")
         seeds = windows.groupBy("id", "window").agg(F.min("rank").alias("rank"), F.count("*").alias("k")).filter(F.col("k") == last + 1)
         seeds = seeds.select(F.col("id").alias("item_id"), F.col("rank.gram").alias("gram")).distinct()
-    candidates = hits.join(seeds, "gram").select("doc_id", "item_id").distinct()
-    pairs = holding.select("doc_id", "text").join(candidates, "doc_id").join(tests, "item_id").select("doc_id", "text", "item_id", "item_text")
-    return pairs.mapInArrow(_align_all, "doc_id bigint, item_id bigint, score int, share double, word_start int, word_end int, run_words int")
+    # one row a seed, with the items that have it, so that a seed that many texts hold is joined map-side
+    seeds = materialize(seeds.groupBy("gram").agg(F.collect_list("item_id").alias("items")).join(texts_with, "gram"), "seeds")
+    total = texts_with.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    found = join_by_key_stats(hits, seeds, ["gram"], "n", total).select("doc_id", F.explode("items").alias("item_id"))
+    size = tests.agg(F.coalesce(F.sum(F.octet_length("item_text")), F.lit(0))).first()[0]
+    if size <= MOST_SENT_TEXT:
+        sent = spark.sparkContext.broadcast({r.item_id: r.item_text for r in tests.collect()})
+        own = found.groupBy("doc_id").agg(F.collect_set("item_id").alias("item_ids"))
+        pairs = holding.select("doc_id", "text").join(own, "doc_id")
+        return pairs.mapInArrow(lambda it: _align_all(it, sent.value), ALIGNED)
+    own = found.distinct().join(tests, "item_id").groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "item_text")).alias("own"))
+    pairs = holding.select("doc_id", "text").join(own, "doc_id").select("doc_id", "text", "own.item_id", "own.item_text")
+    return pairs.mapInArrow(lambda it: _align_all(it, None), ALIGNED)
 
 
 def leaked_items(documents: DataFrame, items: DataFrame, run: int = 12) -> DataFrame:

@@ -1,13 +1,14 @@
 """Encoding of a corpus with a public byte-level BPE tokenizer, and decoding.
 
 Method: a distinct-word table. Spark splits the texts into words, each distinct word is encoded once, and the ids
-go back to the words' places. Frequent words (a table of at most MOST_WORDS rows) are looked up map-side; all
-others come back through a shuffled join by word and place.
+go back to the words' places. Texts are split once. Frequent words (a table of at most MOST_WORDS rows) are looked up
+map-side; all others come back through a shuffled join by word and by their place among the ids.
 """
 
 from __future__ import annotations
 
 import base64
+import hashlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -18,8 +19,9 @@ from pyspark.sql import functions as F
 
 from clinweave.plans.scratch import materialize
 
-#: Rows of the word table that is sent to every executor.
+#: Rows of the word table that is sent to every executor, and bytes of a word in it: 50 MB at the very most.
 MOST_WORDS = 200_000
+MOST_WORD_BYTES = 256
 #: Fixed value: the tokenizer's published word pattern, with white space spelled out as Unicode's property for Java.
 WORD_PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\p{IsWhite_Space}\p{L}\p{N}]+|\p{IsWhite_Space}+(?!\P{IsWhite_Space})|\p{IsWhite_Space}+"
 PLAIN_PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -37,11 +39,18 @@ def read_ranks(path: str | None = None) -> dict[bytes, int]:
         return {base64.b64decode(piece): int(rank) for piece, rank in (line.split() for line in lines if line.strip())}
 
 
-_ENCODERS: dict[int, object] = {}
+_ENCODERS: dict[str, object] = {}
 
 
-def _encoder(ranks: dict[bytes, int]):  # noqa: ANN202
-    key = len(ranks)
+def _content(ranks: dict[bytes, int]) -> str:
+    """A key of a table of pieces by what it holds."""
+    digest = hashlib.sha256()
+    for piece, rank in sorted(ranks.items()):
+        digest.update(b"%d:%d:" % (rank, len(piece)) + piece)
+    return digest.hexdigest()
+
+
+def _encoder(ranks: dict[bytes, int], key: str):  # noqa: ANN202
     if key not in _ENCODERS:
         import tiktoken
 
@@ -65,8 +74,14 @@ def _list_ends(lists: pa.Array) -> np.ndarray:
     return ends
 
 
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... of each stretch, one after the other."""
+    before = np.cumsum(sizes) - sizes
+    return np.repeat(starts - before, sizes) + np.arange(int(sizes.sum()))
+
+
 def _look_up(batches: Iterable[pa.RecordBatch], words: pa.Array, ids: pa.ListArray) -> Iterator[pa.RecordBatch]:
-    """ids of each text, the number of ids at each place, and the places and words that the table lacks."""
+    """ids of the words of each text that the table knows, and the other words, each with the number of ids before it."""
     id_ends = ids.offsets.to_numpy()
     id_values = ids.values.to_numpy(zero_copy_only=False)
     # one more entry, without ids, for words that the table lacks
@@ -76,46 +91,44 @@ def _look_up(batches: Iterable[pa.RecordBatch], words: pa.Array, ids: pa.ListArr
         flat = lists.flatten()
         ends = _list_ends(lists)
         at = pc.fill_null(pc.index_in(flat, value_set=words), -1).to_numpy(zero_copy_only=False).astype(np.int64)
-        known = at >= 0
         sizes = id_sizes[at]
         after = np.zeros(len(sizes) + 1, np.int64)
         np.cumsum(sizes, out=after[1:])
-        take = np.repeat(id_starts[at] - after[:-1], sizes) + np.arange(after[-1])
-        missing = np.flatnonzero(~known)
+        missing = np.flatnonzero(at < 0)
         doc_of = np.searchsorted(ends, missing, side="right") - 1
         n_missing = np.zeros(len(lists) + 1, np.int64)
         np.cumsum(np.bincount(doc_of, minlength=len(lists)), out=n_missing[1:])
-        whole = np.diff(n_missing) == 0
-        place_sizes = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(sizes.astype(np.int32)))
         yield pa.RecordBatch.from_arrays(
             [
                 b.column(0),
-                pa.ListArray.from_arrays(pa.array(after[ends], pa.int32()), pa.array(id_values[take], pa.int32())),
-                pc.if_else(pa.array(whole), pa.scalar(None, place_sizes.type), place_sizes),
-                pa.ListArray.from_arrays(pa.array(n_missing, pa.int32()), pa.array((missing - ends[doc_of]).astype(np.int32))),
+                pa.ListArray.from_arrays(pa.array(after[ends], pa.int32()), pa.array(id_values[_ranges(id_starts[at], sizes)], pa.int32())),
+                pa.ListArray.from_arrays(pa.array(n_missing, pa.int32()), pa.array((after[missing] - after[ends[doc_of]]).astype(np.int32))),
                 pa.ListArray.from_arrays(pa.array(n_missing, pa.int32()), flat.take(pa.array(missing)).cast(pa.string())),
             ],
-            names=["doc_id", "ids", "sizes", "places", "words"],
+            names=["doc_id", "ids", "places", "words"],
         )
 
 
 def _fill_in(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Puts the ids of the joined words into their places."""
+    """Puts the ids of the joined words between the others."""
     for b in batches:
-        sizes = b.column(2).flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-        word_ends, late_ends = _list_ends(b.column(2)), _list_ends(b.column(3))
-        late = b.column(3).flatten()
-        late_ids, places = late.field("ids"), late.field("place").to_numpy(zero_copy_only=False).astype(np.int64)
-        at = places + np.repeat(word_ends[:-1], np.diff(late_ends))
-        all_sizes = sizes.copy()
-        all_sizes[at] = np.diff(_list_ends(late_ids))
-        starts = np.zeros(len(sizes) + 1, np.int64)
-        np.cumsum(all_sizes, out=starts[1:])
-        out = np.zeros(int(starts[-1]), np.int32)
-        for values, where, n in ((b.column(1).flatten(), starts[:-1], sizes), (late_ids.flatten(), starts[at], all_sizes[at])):
-            before = np.cumsum(n) - n
-            out[np.repeat(where - before, n) + np.arange(int(n.sum()))] = values.to_numpy(zero_copy_only=False)
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(starts[word_ends], pa.int32()), pa.array(out))], names=["doc_id", "ids"])
+        known, known_ends, late_ends = b.column(1).flatten(), _list_ends(b.column(1)), _list_ends(b.column(2))
+        late = b.column(2).flatten()
+        doc = np.repeat(np.arange(b.num_rows), np.diff(late_ends))
+        nth, place = (late.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("nth", "place"))
+        order = np.lexsort((nth, doc))
+        doc, place = doc[order], place[order]
+        starts, size = _list_ends(late.field("ids"))[:-1][order], np.diff(_list_ends(late.field("ids")))[order]
+        # ids put in before each known id; every text has one more slot, for what comes after its last
+        slots = np.zeros(len(known) + b.num_rows, np.int64)
+        np.add.at(slots, known_ends[doc] + doc + place, size)
+        text = np.repeat(np.arange(b.num_rows), np.diff(known_ends))
+        out = np.zeros(len(known) + int(size.sum()), np.int32)
+        out[np.arange(len(known)) + np.cumsum(slots)[np.arange(len(known)) + text]] = known.to_numpy(zero_copy_only=False)
+        put = known_ends[doc] + place + np.cumsum(size) - size
+        out[_ranges(put, size)] = late.field("ids").flatten().to_numpy(zero_copy_only=False)[_ranges(starts, size)]
+        ends = known_ends + np.concatenate([[0], np.cumsum(np.bincount(doc, weights=size, minlength=b.num_rows))]).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(out))], names=["doc_id", "ids"])
 
 
 def encode_corpus(documents: DataFrame, ranks: dict[bytes, int] | None = None) -> DataFrame:
@@ -125,19 +138,20 @@ def encode_corpus(documents: DataFrame, ranks: dict[bytes, int] | None = None) -
     characters that this Java does not know yet are split and encoded by the tokenizer itself. No text is cut.
     """
     spark = documents.sparkSession
-    table = spark.sparkContext.broadcast(ranks or read_ranks())
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    pieces = ranks or read_ranks()
+    table = spark.sparkContext.broadcast((pieces, _content(pieces)))
     strange = F.coalesce(F.col("text").rlike(r"\p{Cn}"), F.lit(False))
-    split = docs.filter(~strange).select("doc_id", F.when(F.col("text") != "", F.regexp_extract_all("text", F.lit(WORD_PATTERN), F.lit(0))).alias("split"))
+    words = F.when(~strange & (F.col("text") != ""), F.regexp_extract_all("text", F.lit(WORD_PATTERN), F.lit(0)))
+    split = materialize(documents.select(F.col("doc_id").cast("long").alias("doc_id"), words.alias("split"), F.when(strange, F.col("text")).alias("strange")), "split-texts")
 
     def encode_words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _encoder(table.value)
+        coder = _encoder(*table.value)
         for b in batches:
             ids = [coder.encode_ordinary(w) for w in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), _int_lists(ids)], names=["word", "n", "ids"])
 
     def encode_texts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _encoder(table.value)
+        coder = _encoder(*table.value)
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), _int_lists([coder.encode_ordinary(t) for t in b.column(1).to_pylist()])], names=["doc_id", "ids"])
 
@@ -146,20 +160,19 @@ def encode_corpus(documents: DataFrame, ranks: dict[bytes, int] | None = None) -
     vocabulary = materialize(counts.mapInArrow(encode_words, "word string, n bigint, ids array<int>"), "words")
     distinct, total = vocabulary.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     least = 1 if distinct <= MOST_WORDS else total // MOST_WORDS + 1  # at most MOST_WORDS words occur so often
-    near = vocabulary.filter(F.col("n") >= least).select("word", "ids").toArrow()
-    words = spark.sparkContext.broadcast((near.column("word").combine_chunks().cast(pa.string()), near.column("ids").combine_chunks().cast(pa.list_(pa.int32()))))
-    looked = split.mapInArrow(
-        lambda it: _look_up(it, *words.value), "doc_id bigint, ids array<int>, sizes array<int>, places array<int>, words array<string>"
-    )
-    whole = docs.filter(strange).mapInArrow(encode_texts, "doc_id bigint, ids array<int>")
-    if least == 1:
+    frequent = (F.col("n") >= least) & (F.octet_length("word") <= MOST_WORD_BYTES)
+    near = vocabulary.filter(frequent).select("word", "ids").toArrow()
+    sent = spark.sparkContext.broadcast((near.column("word").combine_chunks().cast(pa.string()), near.column("ids").combine_chunks().cast(pa.list_(pa.int32()))))
+    looked = split.filter("strange is null").select("doc_id", "split").mapInArrow(lambda it: _look_up(it, *sent.value), "doc_id bigint, ids array<int>, places array<int>, words array<string>")
+    whole = split.filter("strange is not null").select("doc_id", "strange").mapInArrow(encode_texts, "doc_id bigint, ids array<int>")
+    if near.num_rows == distinct:
         return looked.select("doc_id", "ids").unionByName(whole)
     looked = materialize(looked, "looked-up")
-    rare = looked.filter(F.size("places") > 0).select("doc_id", F.explode(F.arrays_zip("places", "words")).alias("m"))
-    rare = rare.select("doc_id", F.col("m.places").alias("place"), F.col("m.words").alias("word"))
-    late = rare.join(vocabulary.filter(F.col("n") < least).select("word", "ids"), "word")
-    late = late.groupBy("doc_id").agg(F.collect_list(F.struct("place", "ids")).alias("found"))
-    filled = looked.filter(F.size("places") > 0).select("doc_id", "ids", "sizes").join(late, "doc_id").mapInArrow(_fill_in, "doc_id bigint, ids array<int>")
+    rare = looked.filter(F.size("places") > 0).select("doc_id", F.posexplode(F.arrays_zip("places", "words")).alias("nth", "m"))
+    rare = rare.select("doc_id", "nth", F.col("m.places").alias("place"), F.col("m.words").alias("word"))
+    late = rare.join(vocabulary.filter(~frequent).select("word", "ids"), "word")
+    late = late.groupBy("doc_id").agg(F.collect_list(F.struct("nth", "place", "ids")).alias("found"))
+    filled = looked.filter(F.size("places") > 0).select("doc_id", "ids").join(late, "doc_id").mapInArrow(_fill_in, "doc_id bigint, ids array<int>")
     return looked.filter(F.size("places") == 0).select("doc_id", "ids").unionByName(filled).unionByName(whole)
 
 

@@ -112,6 +112,12 @@ def test_ids_equal_the_tokenizer(spark, monkeypatch, most):
     assert {r.doc_id: r.text for r in tokens.decode_corpus(encoded).collect()} == {i: t or "" for i, t in enumerate(texts)}
 
 
+def test_encoders_are_told_apart_by_content():
+    one, other = {b"a": 0, b"b": 1, b"ab": 2}, {b"a": 1, b"b": 0, b"ba": 2}
+    coders = [tokens._encoder(t, tokens._content(t)) for t in (one, other)]
+    assert [c.encode_ordinary("ab") for c in coders] == [[2], [1, 0]]
+
+
 def test_encoding_nothing(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert tokens.encode_corpus(none).count() == 0
@@ -140,6 +146,8 @@ def brute_leaks(rows, items, run):
 @pytest.mark.parametrize("sent", [2_000_000, 0])
 def test_leaks_equal_brute_force(spark, monkeypatch, sent):
     monkeypatch.setattr(leaks, "MOST_SENT_GRAMS", sent)
+    monkeypatch.setattr(leaks, "MOST_SENT_TEXT", sent)
+    monkeypatch.setattr(skew, "LEAST_HOT_ROWS", 15)
     rng = random.Random(5)
     items = [(j, " ".join(rng.choice(WORDS) for _ in range(rng.randrange(3, 30)))) for j in range(25)] + [(90, None), (91, ""), (92, "one " * 20)]
     rows = []
@@ -170,6 +178,35 @@ def test_alignment_scores_an_edited_copy():
     assert (score[0], longest[0]) == (9 * leaks.MATCH + leaks.GAP, 5)
 
 
+def test_recall_of_edited_copies_against_full_alignment(spark):
+    """Copies with one word in three to twelve changed, dropped or added, against the alignment of every pair; README states the figure."""
+    import numpy as np
+
+    from clinweave.llm.words import WordHasher
+
+    rng = random.Random(12)
+    items = [(j, " ".join(rng.choice(WORDS) + str(rng.randrange(30)) for _ in range(rng.randrange(20, 60)))) for j in range(30)]
+    rows = []
+    for i in range(300):
+        words, step = [], rng.choice([3, 4, 5, 6, 8, 12])
+        for w in rng.choice(items)[1].split():
+            words += [w] if rng.randrange(step) else rng.choice([[], ["other"], [w, "more"]])
+        rows.append((i, " ".join(["before"] * rng.randrange(20) + words + ["after"] * rng.randrange(20))))
+    hasher = WordHasher()
+    full = set()
+    for j, item in items:
+        a = hasher([item])[0]
+        for i, text in rows:
+            score = leaks.align(a[None], hasher([text])[0][None])[0][0]
+            if score >= 0.5 * leaks.MATCH * len(a):
+                full.add((i, j))
+    df, tests = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, item_text string")
+    got = {(r.doc_id, r.item_id): r.share for r in leaks.alignments(df, tests).collect()}
+    found = {k for k, share in got.items() if share >= 0.5}
+    print(f"recall {len(found & full) / len(full):.3f} of {len(full)}")
+    assert len(full) > 100 and found <= full and len(found & full) >= 0.9 * len(full)
+
+
 def test_report_counts_edited_copies(spark):
     items = [[f"{name}{i}" for i in range(40)] for name in ("alpha", "beta")]
     copies = [["changed" if i % 8 == 4 else w for i, w in enumerate(item)] for item in items]
