@@ -120,6 +120,15 @@ def test_hot_keys_are_joined_apart(spark, monkeypatch):
     assert got.count() == 60 + 24 and got.filter("k = 0").agg(F.max("top")).first()[0] == 59
 
 
+def test_hot_keys_meet_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(skew, "LEAST_HOT_ROWS", 10)
+    left = materialize(spark.range(100).select(F.when(F.col("id") < 60, "hot").when(F.col("id") < 95, F.col("id").cast("string")).alias("k"), F.col("id").alias("x")))
+    right = materialize(spark.range(80).select(F.when(F.col("id") < 35, "hot").otherwise((F.col("id") + 20).cast("string")).alias("k"), F.col("id").alias("y")))
+    got = [tuple(r) for r in skew.join_in_blocks(left, right, ["k"]).select("x", "y").collect()]
+    assert len(got) == len(set(got)) and set(got) == {(x, y) for x in range(60) for y in range(35)} | {(x, x - 20) for x in range(60, 95)}
+    assert skew.join_in_blocks(left.limit(0), right, ["k"]).count() == 0
+
+
 def test_constraints_count_nulls(spark):
     schema = "schema_version string, record_id string, document_id string, content_sha256 string, language string, question string, answer string"
     row = ("1.1", None, "no", "A" * 64, "en", " ", "x")
