@@ -41,6 +41,11 @@ def p3_report(spark: SparkSession, folder: str) -> DataFrame:
     return overlap.overlap_report(_table(spark, folder, "canonical_records"), _table(spark, folder, "record_splits"))
 
 
+def p3_classes(spark: SparkSession, folder: str) -> DataFrame:
+    """Each assigned row with the class of its question and the number of its links across the splits."""
+    return overlap.row_classes(_table(spark, folder, "canonical_records"), _table(spark, folder, "record_splits"))
+
+
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return pii.found_types(_table(spark, folder, "canonical_records"))
 
@@ -97,7 +102,7 @@ def p9_removed(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (p1_found, p1_counts, p2_found, p2_splits, p3_found, p3_report, p4_found, p4_redacted, p4_report, p6_found, p6_collapsed, p7_ids, p7_round_trip, p8_found, p8_report, p9_found, p9_share, p9_removed)
+    for f in (p1_found, p1_counts, p2_found, p2_splits, p3_found, p3_report, p3_classes, p4_found, p4_redacted, p4_report, p6_found, p6_collapsed, p7_ids, p7_round_trip, p8_found, p8_report, p9_found, p9_share, p9_removed)
 }
 
 _PLAIN_ID = r"nullif(regexp_replace(lower({0}), '^[{{}}\s]+|[{{}}\s]+$', '', 'g'), '')"

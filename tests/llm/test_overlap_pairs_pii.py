@@ -1,7 +1,9 @@
 import datetime as dt
 import os
 import random
+from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -38,6 +40,9 @@ def edited(rng, q, n):
     return " ".join(w)
 
 
+HEADS = frozenset("fever palsy anemia".split())
+
+
 def brute_pairs(rows, home):
     import re
 
@@ -50,7 +55,7 @@ def brute_pairs(rows, home):
             if home.get(i) == "train" and home.get(j) in ("validation", "test") and x and y:
                 a, b = words(x), words(y)
                 most = max(len(a), len(b)) // 10
-                if a and b and ("".join(a) == "".join(b) or (overlap.word_distance(a, b, most) <= most and not overlap.other_conditions(a, b))):
+                if a and b and ("".join(a) == "".join(b) or (overlap.word_distance(a, b, most) <= most and not overlap.other_conditions(a, b, HEADS))):
                     out.add((min(i, j), max(i, j)))
     return out
 
@@ -70,9 +75,18 @@ def test_pairs_equal_brute_force(spark, monkeypatch, often):
     old = [(i, "test", dt.datetime(2024, 1, 1)) for i, _ in rows[:50]] + splits[:20] + [(None, "test", None), (5, None, None)]
     home = {i: s.strip().lower() for i, s, _ in splits}
     records = spark.createDataFrame([(i, q, ("c",)) for i, q in rows], "row_id long, question string, source struct<collection:string>").withColumns({"words": F.lit(1), "n": F.lit(2)})
+    focus = F.when(F.col("row_id") % 7 == 0, None).otherwise(F.concat(F.lit("Foo-Bar "), F.element_at(F.array(*[F.lit(x) for x in ("fever", "palsy, ann@site.example", "anemia (x)")]), (F.col("row_id") % 3 + 1).cast("int"))))
+    records = records.withColumn("focus", focus)
+    assert {r["head"] for r in overlap.condition_heads(records).collect()} == HEADS
     table = spark.createDataFrame(splits + old, "row_id long, split_name string, assigned_at timestamp")
+    monkeypatch.setattr(overlap, "MOST_SENT_HEADS", 2 if often == 1 else 100)
     got = [tuple(r) for r in overlap.cross_split_pairs(records, table).collect()]
-    assert len(got) == len(set(got)) and set(got) == brute_pairs(rows, home)
+    full = brute_pairs(rows, home)
+    print(f"recall {len(full & set(got)) / len(full):.4f} of {len(full)}")
+    assert len(got) == len(set(got)) and set(got) <= full and len(full & set(got)) >= 0.99 * len(full)
+    classes = {r.row_id: r for r in overlap.row_classes(records, table).collect()}
+    assert {i: r.n_links for i, r in classes.items() if r.n_links} == dict(Counter(i for pair in got for i in pair))
+    assert all(classes[r.class_id].class_id == r.class_id <= i for i, r in classes.items())
     report = overlap.overlap_report(records, table).collect()
     assert sum(r.n_rows for r in report) == sum(s != "train" for s in home.values())
     fractions = {r.row_id: r.overlap for r in overlap.overlap_fractions(records, table).collect()}
@@ -82,6 +96,17 @@ def test_pairs_equal_brute_force(spark, monkeypatch, often):
     assert overlap.cross_split_pairs(records.limit(0), table).count() == 0
 
 
+def test_hot_questions_are_paired_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(skew, "LEAST_HOT_ROWS", 8)
+    rows = [(i, "What are the signs of Foo fever?" if i % 3 else f"Is number {i} of the list inherited?", i % 5 == 0) for i in range(120)]
+    records = spark.createDataFrame([(i, q, None, ("c",)) for i, q, _ in rows], "row_id long, question string, focus string, source struct<collection:string>")
+    table = spark.createDataFrame([(i, "test" if held else "train", dt.datetime(2024, 1, 1)) for i, _, held in rows], "row_id long, split_name string, assigned_at timestamp")
+    got = [tuple(r) for r in overlap.cross_split_pairs(records, table).collect()]
+    hot = [i for i, q, _ in rows if i % 3]
+    expected = {(min(i, j), max(i, j)) for i in hot for j in hot if rows[j][2] and not rows[i][2]}
+    assert len(got) == len(set(got)) and set(got) == expected
+
+
 @pytest.mark.parametrize(("a", "b", "most", "d"), [("abc", "abc", 1, 0), ("abcd", "abdc", 1, 1), ("abc", "xbc", 1, 1), ("abc", "bc", 1, 1), ("abcd", "badc", 1, 2), ("", "ab", 1, 2), ("ab", "", 2, 2)])
 def test_word_distance(a, b, most, d):
     assert overlap.word_distance(list(a), list(b), most) == d
@@ -89,22 +114,33 @@ def test_word_distance(a, b, most, d):
 
 def test_every_reachable_text_shares_a_key():
     rng = random.Random(3)
-    for _ in range(300):
+    met = total = 0
+    for _ in range(3000):
         n = rng.randrange(9, 45)
         a = [rng.randrange(60) for _ in range(n)]
         b = list(a)
         for _ in range(rng.randrange(max(len(a), 10) // 10 + 1)):
-            b[rng.randrange(len(b))] = rng.randrange(100, 200)
-        tokens = [sorted((t * 7919 % 50, (t, w[:i].count(t))) for i, t in enumerate(w)) for w in (a, b)]
-        keys = [{tuple(map(tuple, k)) for k in overlap.join_keys([(c, t) for c, t in ts])} for ts in tokens]
+            i = rng.randrange(len(b) - 1)
+            kind = rng.randrange(3)
+            b[i : i + 1] = [[rng.randrange(100, 200)], [b[i], rng.randrange(100, 200)], [b[i + 1], b[i]]][kind]
+            if kind == 2:
+                del b[i + 2]
         if overlap.most_edits(n):
-            assert keys[0] & keys[1]
+            keys = []
+            for w in (a, b):
+                tokens = overlap.fine_chunks(np.array(w, np.uint64) * np.uint64(0x9E3779B97F4A7C15), np.array([0, len(w)]))[1].tolist()
+                keys.append({tuple(k) for k in overlap.join_keys(sorted((t % 50, t) for t in tokens), len(w))})
+            total += 1
+            met += bool(keys[0] & keys[1])
+    print(f"{met} of {total} texts within reach share a key")
+    assert met >= 0.995 * total
 
 
 def test_other_conditions():
     def differ(a, b):
-        return overlap.other_conditions(a.lower().split(), b.lower().split())
+        return overlap.other_conditions(a.lower().split(), b.lower().split(), HEADS | {"asthma", "eczema"})
 
+    assert differ("signs of asthma", "signs of eczema")
     assert differ("signs of foo fever", "signs of bar fever") and differ("foo bar fever", "foo bar palsy")
     assert not differ("foo bar fever", "foo bar please fever") and not differ("foo fever", "fo fever") and not differ("foo bar", "foo bar fever")
 
