@@ -9,6 +9,7 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,12 +31,27 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def _drop(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def _drop_at_end(spark: SparkSession, path: str) -> None:
+    """Removes a table unless the session has ended before the process; then its folder is the cluster's to clear."""
+    context = spark.sparkContext
+    if getattr(context, "_jsc", None) is None or context._jsc.sc().isStopped():
+        return
     try:
-        jvm = spark.sparkContext._jvm
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-    except Exception:  # the session may be gone; its folder is the cluster's to clear
-        pass
+        _drop(spark, path)
+    except Exception as e:
+        warnings.warn(f"{path} was not removed: {e}", stacklevel=2)
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder's path in the shared folder, removed when the driver's process ends."""
+    path = f"{shared_folder(spark)}/clinweave-{name}-{uuid.uuid4().hex}"
+    atexit.register(_drop_at_end, spark, path)
+    return path
 
 
 def materialize(df: DataFrame, name: str = "step") -> DataFrame:
@@ -44,9 +60,8 @@ def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     Empty tables keep their schema. The files are removed when the driver's process ends.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/clinweave-{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    atexit.register(_drop, spark, path)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch_path = path
     return out

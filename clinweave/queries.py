@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clinweave.config import SplitConfig
+from clinweave.config import EmbeddingSettings, SplitConfig
 from clinweave.functions import ids, text, vectors
 from clinweave.operators import canonical, chunking, collection, dedup, dewey, embedding, quality, redaction, reports, splits
-from clinweave.plans.scratch import materialize
+from clinweave.plans.scratch import materialize, scratch_path
+from clinweave.sinks.json_files import write_jsonl
 from clinweave.sources import medquad_xml
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,39 +101,84 @@ def stable_ids(spark: SparkSession, folder: str) -> DataFrame:
     return _pairs(spark, folder).select("file_id", "position", ids.document_id(path).alias("document_id"), record.alias("record_id"))
 
 
-@_query
-def xml_round_trip(spark: SparkSession, folder: str) -> DataFrame:
-    """Each delivered document written as XML of the current layout and parsed again."""
-    rows = canonical.raw_pairs(_table(spark, folder, "medquad_documents"))
+def _xml(*pieces: str | F.Column) -> F.Column:
+    """Markup and, escaped, texts in one string; null texts are empty. Characters that XML 1.0 has no way to write become blanks."""
 
     def safe(c: F.Column) -> F.Column:
-        # characters that XML 1.0 has no way to write become blanks
         c = F.regexp_replace(F.coalesce(c, F.lit("")), r"[\x{0}-\x{8}\x{b}\x{c}\x{e}-\x{1f}\x{fffe}\x{ffff}]", " ")
         for char, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
             c = F.replace(c, F.lit(char), F.lit(entity))
         return c
 
-    def parts(*pieces: str | F.Column) -> F.Column:
-        return F.concat(*[F.lit(p) if isinstance(p, str) else safe(p) for p in pieces])
+    return F.concat(*[F.lit(p) if isinstance(p, str) else safe(p) for p in pieces])
+
 
-    pair = parts('<QAPair pid="', F.col("pair_id"), '"><Question qid="', F.col("question_id"), '" qtype="', F.col("question_type"), '">', F.col("question"), "</Question><Answer>", F.col("answer"), "</Answer></QAPair>")
+def _xml_files(rows: DataFrame) -> DataFrame:
+    """(file_id, content): documents with pairs as files of the current layout."""
+    pair = _xml('<QAPair pid="', F.col("pair_id"), '"><Question qid="', F.col("question_id"), '" qtype="', F.col("question_type"), '">', F.col("question"), "</Question><Answer>", F.col("answer"), "</Answer></QAPair>")
     grouped = rows.groupBy("file_id", "document_id", "publisher", "focus").agg(F.array_sort(F.collect_list(F.struct("position", pair.alias("xml")))).alias("p"))
     body = F.array_join(F.transform("p", lambda x: x["xml"]), "")
-    head = parts('<Document id="', F.col("document_id"), '" source="', F.col("publisher"), '"><Focus>', F.col("focus"), "</Focus><QAPairs>")
-    files = grouped.select("file_id", F.encode(F.concat(head, body, F.lit("</QAPairs></Document>")), "UTF-8").alias("content"))
-    parsed = medquad_xml.parse_files(files, "file_id")
+    head = _xml('<Document id="', F.col("document_id"), '" source="', F.col("publisher"), '"><Focus>', F.col("focus"), "</Focus><QAPairs>")
+    return grouped.select("file_id", F.encode(F.concat(head, body, F.lit("</QAPairs></Document>")), "UTF-8").alias("content"))
+
+
+@_query
+def xml_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    """Each delivered document written as XML of the current layout and parsed again."""
+    parsed = medquad_xml.parse_files(_xml_files(canonical.raw_pairs(_table(spark, folder, "medquad_documents"))), "file_id")
     return parsed.select("file_id", "document_id", "publisher", "focus", "parse_error", F.explode("pairs").alias("p")).select(
         "file_id", "document_id", "publisher", "focus", "parse_error", F.col("p.position").cast("long").alias("position"), "p.pair_id", "p.question_id", "p.question_type", "p.question", "p.answer"
     )
 
 
+@_query
+def xml_legacy_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    """Each delivered document written as XML of the legacy layout, with questions of mixed content and lists of texts as delivered, and parsed again."""
+    rows = _table(spark, folder, "medquad_documents")
+    word = r"^\s*(\S+)(.*)$"
+    lists = {"synonyms": "synonym", "umls_cuis": "cui", "umls_semantic_types": "semanticType", "umls_semantic_groups": "semanticGroup"}
+
+    def joined(items: F.Column, of) -> F.Column:  # noqa: ANN001
+        return F.array_join(F.transform(F.coalesce(items, F.array().cast(rows_type(items))), of), "")
+
+    def rows_type(items: F.Column) -> str:
+        return rows.select(items).schema[0].dataType.simpleString()
+
+    def pair(p: F.Column) -> F.Column:
+        question = F.regexp_replace(F.coalesce(p["question"], F.lit("")), r"\s+", " ")
+        first, rest = F.regexp_extract(question, word, 1), F.regexp_extract(question, word, 2)
+        return _xml('<pair pid="', p["pair_id"], '"><question qid="', p["question_id"], '">', first, "<i>", rest, "</i></question><answer>", p["answer"], "</answer></pair>")
+
+    def element(tag: str):  # noqa: ANN202
+        return lambda v: _xml(f"<{tag}>", v, f"</{tag}>")
+
+    texts = [joined(F.col(c), element(tag)) for c, tag in lists.items()]
+    head = _xml('<doc docid="" fid="', F.col("document_id"), '" corpus="', F.col("publisher"), '"><doctitle-focus>', F.col("focus"), "</doctitle-focus><umls>")
+    content = F.concat(head, *texts, F.lit("</umls><qaPairs>"), joined(F.col("pairs"), pair), F.lit("</qaPairs></doc>"))
+    parsed = medquad_xml.parse_files(rows.select("file_id", F.encode(content, "UTF-8").alias("content")), "file_id")
+    flat = {c: F.array_join(c, "|") for c in lists}
+    questions = F.array_join(F.transform("pairs", lambda p: F.concat_ws("|", p["position"].cast("string"), F.coalesce(p["pair_id"], F.lit("")), p["question"])), "\n")
+    return parsed.select("file_id", "document_id", "publisher", "focus", *[c.alias(n) for n, c in flat.items()], questions.alias("questions"), "parse_error")
+
+
 @_query
 def malformed_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Payloads read as XML: none is, and each is reported without stopping the others."""
-    files = _table(spark, folder, "medquad_payloads").select("file_id", F.encode("payload", "UTF-8").alias("content"))
+    """Documents as XML beside payloads that are none: each of the latter is reported without stopping the others."""
+    good = _xml_files(_pairs(spark, folder))
+    files = good.unionByName(_table(spark, folder, "medquad_payloads").select("file_id", F.encode("payload", "UTF-8").alias("content")))
     return medquad_xml.parse_files(files, "file_id").select("file_id", F.col("parse_error").isNotNull().alias("malformed"))
 
 
+@_query
+def jsonl_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    """Records written as JSON lines to the shared folder and read back."""
+    rows = _table(spark, folder, "canonical_records").select("row_id", "language", "question", "answer", "synonyms", "source")
+    path = scratch_path(spark, "jsonl")
+    write_jsonl(rows, path)
+    back = spark.read.schema(rows.schema).json(path)
+    return back.select("row_id", "language", "question", "answer", F.array_join("synonyms", "|", "(null)").alias("synonyms"), F.col("source.relative_path").alias("relative_path"), F.col("source.license").alias("license"))
+
+
 @_query
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return dewey.file_children(_table(spark, folder, "medquad_documents"), _table(spark, folder, "medquad_payloads"))
@@ -285,7 +331,8 @@ def index_summary(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def embed_chunks(spark: SparkSession, folder: str) -> DataFrame:
     """Chunks with hashed embeddings: their length is 1, so the squares sum to 1."""
-    rows = embedding.embed_texts(_chunks(spark, folder).select("record_id", "chunk_sha256", "text"), "text", embedding.hashing_embedder(64), 64)
+    n = EmbeddingSettings.dimension
+    rows = embedding.embed_texts(_chunks(spark, folder).select("record_id", "chunk_sha256", "text"), "text", embedding.hashing_embedder(n), n)
     return rows.select("record_id", "chunk_sha256", F.size("embedding").alias("dimension"), F.round(vectors.dot(F.col("embedding"), F.col("embedding")), 4).alias("squares"))
 
 
@@ -305,18 +352,29 @@ def vector_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return collection.top_k(rows.filter("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), "embedding"), rows, 5)
 
 
+def _vector_store(spark: SparkSession, folder: str) -> collection.Collection:
+    """A collection of all vectors, which then are all delivered again under another label, and once more under new ids."""
+    rows = _table(spark, folder, "embeddings").select("vec_id", "label", "embedding")
+    first = rows.select("embedding").first()
+    store = collection.Collection(spark, scratch_path(spark, "collections"), "vectors", len(first.embedding) if first else 1)
+    again = rows.select("vec_id", (F.col("label") + 1).alias("label"), "embedding").unionByName(rows.withColumn("vec_id", -F.col("vec_id") - 1))
+    for delivery in (rows, again):
+        store.upsert(delivery.select(F.col("vec_id").cast("string").alias("record_id"), F.col("label").cast("string").alias("text"), "embedding"))
+    return store
+
+
 @_query
 def vector_upsert(spark: SparkSession, folder: str) -> DataFrame:
-    """Every fourth vector delivered again with another label, and as many new ids."""
-    rows = _table(spark, folder, "embeddings").select("vec_id", "label")
-    again = rows.filter("vec_id % 4 = 0").select("vec_id", F.lit(-1).cast(rows.schema["label"].dataType).alias("label"))
-    fresh = rows.filter("vec_id % 4 = 0").select((-F.col("vec_id") - 1).alias("vec_id"), "label")
-    return collection.upserted(rows, again.unionByName(fresh), "vec_id")
+    """What a collection holds after all vectors came twice, the second time with other labels and with as many new ids."""
+    rows = _vector_store(spark, folder).read()
+    return rows.select(F.col("record_id").cast("long").alias("vec_id"), F.col("text").cast("long").alias("label"), F.size("embedding").alias("dimension"))
 
 
 @_query
 def collection_count(spark: SparkSession, folder: str) -> DataFrame:
-    return _table(spark, folder, "embeddings").agg(F.count("*").alias("collection_records"))
+    """The number of rows that the collection counts, beside the table's."""
+    n = _vector_store(spark, folder).count()
+    return _table(spark, folder, "embeddings").agg(F.count("*").alias("delivered"), F.lit(n).cast("long").alias("collection_records"))
 
 
 # The same in SQL
@@ -326,6 +384,12 @@ def _norm(x: str) -> str:
     return rf"trim(regexp_replace(coalesce({x}, ''), '[\s\x0b\x{{1c}}-\x{{1f}}\x{{85}}\p{{Z}}]+', ' ', 'g'))"
 
 
+def _unique(column: str) -> str:
+    """Normalised elements without blanks and repetitions, in first-seen order."""
+    tidy = f"list_filter(list_transform(coalesce({column}, []), lambda x: {_norm('x')}), lambda x: x <> '')"
+    return f"list_filter({tidy}, lambda x, i: list_position({tidy}, x) = i)"
+
+
 def _uuid(kind: str, *parts: str) -> str:
     name = " || ".join([f"'medquad:{kind}'", *[f"':' || coalesce({p}::VARCHAR, '')" for p in parts]])
     h = f"sha1(unhex('{ids.NAMESPACE.replace('-', '')}') || encode({name}))"
@@ -489,7 +553,14 @@ SQL: dict[str, str] = {
     """,
     "stable_ids": f"WITH {_RAW} SELECT file_id, position, {_uuid('document', 'relative_path')} AS document_id, {_uuid('record', 'relative_path', 'position', 'pair_id', 'question_id')} AS record_id FROM pr",
     "xml_round_trip": f"WITH {_RAW} SELECT file_id, document_id, publisher, focus, NULL::VARCHAR AS parse_error, position, pair_id, question_id, question_type, question, answer FROM pr",
-    "malformed_files": "SELECT file_id, true AS malformed FROM medquad_payloads",
+    "malformed_files": "SELECT file_id, true AS malformed FROM medquad_payloads UNION ALL SELECT file_id, false FROM medquad_documents WHERE len(pairs) > 0",
+    "xml_legacy_round_trip": f"""
+        SELECT file_id, nullif({_norm("document_id")}, '') AS document_id, nullif({_norm("publisher")}, '') AS publisher, nullif({_norm("focus")}, '') AS focus,
+        {", ".join(f"array_to_string({_unique(c)}, '|') AS {c}" for c in canonical.LISTS)},
+        array_to_string(list_transform(coalesce(pairs, []), lambda p, i: i || '|' || coalesce({_norm("p.pair_id")}, '') || '|' || {_norm("p.question")}), chr(10)) AS questions, NULL::VARCHAR AS parse_error
+        FROM medquad_documents
+    """,
+    "jsonl_round_trip": "SELECT row_id, language, question, answer, array_to_string(list_transform(synonyms, lambda x: coalesce(x, '(null)')), '|') AS synonyms, source.relative_path AS relative_path, source.license AS license FROM canonical_records",
     "p5_found": f"""
         WITH whole AS (SELECT file_id, payload::JSON AS j FROM medquad_payloads WHERE json_valid(payload)),
         p AS (SELECT file_id, {_XML_PAIRS} || {_PLAIN_PAIRS} AS l FROM whole),
@@ -576,6 +647,6 @@ SQL: dict[str, str] = {
         k AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank FROM d)
         SELECT query_id, vec_id, distance, rank FROM k WHERE rank <= 5
     """,
-    "vector_upsert": "SELECT vec_id, CASE WHEN vec_id % 4 = 0 THEN -1 ELSE label END AS label FROM embeddings UNION ALL SELECT -vec_id - 1, label FROM embeddings WHERE vec_id % 4 = 0",
-    "collection_count": "SELECT count(*) AS collection_records FROM embeddings",
+    "vector_upsert": "SELECT vec_id, label + 1 AS label, len(embedding) AS dimension FROM embeddings UNION ALL SELECT -vec_id - 1, label, len(embedding) FROM embeddings",
+    "collection_count": "SELECT count(*) AS delivered, 2 * count(*) AS collection_records FROM embeddings",
 }
