@@ -540,7 +540,47 @@ _PLAIN_PAIRS = f"list_concat({_elements('j', '$.pairs')}, flatten(list_transform
 _SYNONYMS = " || ".join(_elements("j", p) for p in ("$.synonyms", "$.meta.focus.synonyms", "$.Document.FocusAnnotations.Synonyms.Synonym", "$.doc.synonym"))
 _CUIS = " || ".join(_elements("j", p) for p in ("$.umls_cuis", "$.meta.focus.umls_cuis", "$.Document.FocusAnnotations.UMLS.CUIs.CUI", "$.doc.umls.cui"))
 
+_WHITE = r"[\s\x0b\x{1c}-\x{1f}\x{85}\p{Z}]"
+
+
+def _breaks(text: str, first: str) -> str:
+    """0-based places, from ``first`` on, where a break begins in a text: white space after a sentence, line ends outside of such."""
+    c, before = f"substr({text}, i + 1, 1)", f"substr({text}, i, 1)"
+    run = f"length(regexp_replace(substr({text}, 1, i), '{_WHITE}+$', ''))"  # where the white space around i begins
+    stop = f"i > 0 AND {before} IN ('.', '!', '?') AND {c} <> chr(10) AND regexp_full_match({c}, '{_WHITE}')"
+    inside = f"{run} < i AND {run} > 0 AND substr({text}, {run}, 1) IN ('.', '!', '?') AND substr({text}, {run} + 1, 1) <> chr(10)"
+    return f"list_filter(range({first}, length({text})), lambda i: ({stop}) OR ({c} = chr(10) AND (i = 0 OR {before} <> chr(10)) AND NOT ({inside})))"
+
+
+def _strip(text: str) -> str:
+    return f"regexp_replace({text}, '^{_WHITE}+|{_WHITE}+$', '', 'g')"
+
+
+_CHUNKS = f"""
+    WITH RECURSIVE base AS (SELECT row_id, record_id, coalesce(answer, '') AS a, CASE WHEN focus <> '' THEN 'Medical topic: ' || focus || chr(10) ELSE '' END || 'Question: ' || coalesce(question, '') || chr(10) || 'Answer: ' AS header FROM canonical_records),
+    lead AS (SELECT row_id, a, header || a AS whole, CASE WHEN length(header) + 180 >= 1000 THEN '' ELSE header END AS lead FROM base WHERE length(header) + length(a) > 1000),
+    body AS (SELECT row_id, lead, {_strip("CASE WHEN lead = '' THEN whole ELSE a END")} AS x, 1000 - length(lead) AS chars, least(180, (1000 - length(lead)) // 5) AS overlap FROM lead),
+    step AS (
+        SELECT row_id, lead, x, chars, overlap, -1::BIGINT AS k, 0::BIGINT AS s, 0::BIGINT AS e FROM body WHERE x <> ''
+        UNION ALL
+        SELECT row_id, lead, x, chars, overlap, k + 1, s,
+            CASE WHEN s + chars >= length(x) THEN length(x) WHEN soft IS NULL OR {_strip("substr(part, 1, soft)")} = '' THEN s + chars ELSE s + soft END
+        FROM (SELECT *, coalesce(list_max({_breaks("part", "floor")}), list_max(list_filter(range(floor, length(part)), lambda i: substr(part, i + 1, 1) = ' '))) AS soft
+            FROM (SELECT *, substr(x, s + 1, chars) AS part, greatest(1, (chars * 11) // 20) AS floor
+                FROM (SELECT row_id, lead, x, chars, overlap, k, CASE WHEN k < 0 THEN 0 ELSE edge + coalesce(
+                        list_filter(list_transform({_breaks("region", "0")}, lambda i: length(region) - length(regexp_replace(substr(region, i + 1), CASE WHEN substr(region, i + 1, 1) = chr(10) THEN '^\n+' ELSE '^{_WHITE}+' END, ''))), lambda y: y < length(region))[1],
+                        list_filter(range(0, length(region)), lambda i: NOT regexp_full_match(substr(region, i + 1, 1), '{_WHITE}') AND regexp_full_match(substr(x, edge + i, 1), '{_WHITE}'))[1],
+                        0) END AS s
+                    FROM (SELECT *, greatest(s + 1, e - overlap) AS edge, substr(x, greatest(s + 1, e - overlap) + 1, e - greatest(s + 1, e - overlap)) AS region FROM step WHERE e < length(x)))))),
+    pieces AS (SELECT row_id, k, lead || {_strip("substr(x, s + 1, e - s)")} AS text FROM step WHERE k >= 0 UNION ALL SELECT row_id, 0, header || a FROM base WHERE length(header) + length(a) <= 1000),
+    chunks AS (SELECT CASE WHEN k = 0 THEN record_id ELSE record_id || '::chunk::' || printf('%04d', k) END AS record_id, record_id AS parent_record_id, k AS chunk_index,
+        count(*) OVER (PARTITION BY row_id) AS chunk_count, sha256(text) AS chunk_sha256, strlen(text) AS chunk_utf8_bytes, text FROM pieces JOIN base USING (row_id))
+"""
+
 SQL: dict[str, str] = {
+    "chunk_documents": _CHUNKS + "SELECT * FROM chunks",
+    "index_summary": _CHUNKS + "SELECT count(*) FILTER (chunk_index = 0) AS indexed_records, count(*) AS indexed_documents, count(*) FILTER (chunk_index = 0 AND chunk_count > 1) AS chunked_records, (count(*) + 99) // 100 AS batches FROM chunks",
+    "embed_chunks": _CHUNKS + "SELECT record_id, chunk_sha256, 384 AS dimension, CASE WHEN trim(text) <> '' THEN 1.0 ELSE 0.0 END AS squares FROM chunks",
     "normalize_text": f"WITH n AS (SELECT doc_id, {_norm('text')} AS normalized FROM documents) SELECT doc_id, normalized, length(normalized) AS chars, strlen(normalized) AS utf8_bytes, sha256(normalized) AS sha256 FROM n",
     "content_hash": "SELECT row_id, sha256(coalesce(question, '') || '␟' || coalesce(answer, '')) AS content_sha256 FROM canonical_records",
     "scan_fingerprint": f"WITH {_RAW} SELECT file_id, position, sha256({_FOLD.format('question')}) AS question_fp, sha256({_FOLD.format('question')} || '␟' || {_FOLD.format('answer')}) AS pair_fp FROM pr",
