@@ -35,7 +35,7 @@ EMAIL_FULL = re.compile(rf"[\w.+%'-]+(?:{_AT}|\sat\s)[A-Za-z0-9-]+(?:(?:{_DOT}|\
 EMAIL_CUE = re.compile(r"(?:e-?mail|mail|mailto|write|contact|reach|repl(?:y|ies)|results go|address|send|at|to)\W{0,4}(?:\w+\W+){0,3}$", re.I)
 
 _SEP = r"[\s().\-‐-―/]"
-DIGITS = re.compile(rf"(?<![\w@])(?:\+\s?|\((?=\d{{2,5}}\)))?\d(?:{_SEP}{{0,3}}\d){{6,17}}(?!\w)(?:\s?(?:ext|x|extension)\b\.?\s?\d{{1,6}})?", re.I)
+DIGITS = re.compile(rf"(?<![\w@])(?:\+\s?|\((?=\d{{2,5}}\)))?\d(?:(?!\s[-‐-―/]\s){_SEP}{{0,3}}\d){{6,17}}(?!\w)(?:\s?(?:ext|x|extension)\b\.?\s?\d{{1,6}})?", re.I)
 _DIGIT = r"(?:zero|oh|one|two|three|four|five|six|seven|eight|nine|double|triple)"
 SPELLED = re.compile(rf"\b{_DIGIT}(?:[\s,.-]{{1,3}}{_DIGIT}){{5,15}}\b", re.I)
 SPELLED_DIGITS = frozenset("zero oh one two three four five six seven eight nine double triple".split())
@@ -93,13 +93,13 @@ _NAME = rf"{_CAP}(?:\s(?:[A-ZÀ-ÖØ-Þ]\.\s)?{_CAP}){{0,3}}"
 _KIN = "son|daughter|husband|wife|mother|father|brother|sister|aunt|uncle|cousin|nephew|niece|grandmother|grandfather|friend|neighbour|neighbor|partner|child|boy|girl|baby|roommate|colleague"
 #: Words that must occur, and the pattern that takes the name from beside them.
 NAME_CUES = [
-    ("name surname contact kin", rf"\b(?i:patient(?:'s|’s)? name|name of (?:the )?patient|full name|surname|first name|last name|contact person|next of kin)\s?[:=-]\s?({_NAME}|[A-Z'’-]{{2,}}(?:,?\s[A-Z'’-]{{2,}}){{0,2}}|(?i:[^\W\d_]{{3,}}(?:\s[^\W\d_]{{3,}}){{0,2}}))"),
+    ("name surname contact kin", rf"\b(?i:patient(?:'s|’s)? name|name of (?:the )?patient|full name|surname|first name|last name|contact person|next of kin)\s?[:=-]\s?({_NAME}|[A-ZÀ-ÖØ-Þ'’-]{{2,}}(?:,?\s[A-ZÀ-ÖØ-Þ'’-]{{2,}}){{0,2}}|(?i:[^\W\d_]{{3,}}(?:\s[^\W\d_]{{3,}}){{0,2}}))"),
     ("name called named", rf"\b(?i:(?:my|his|her|their|the patient(?:'s|’s)?) name is|i am called|(?:is|was) called|named)\s({_NAME}|[^\W\d_]{{3,}}\s[^\W\d_]{{3,}})"),
     ("dr mr mrs ms miss prof professor doctor nurse sir madam frau herr señor señora madame monsieur", rf"\b(?i:dr|mr|mrs|ms|miss|prof|professor|doctor|nurse|sir|madam|frau|herr|señora?|madame|monsieur)\b\.?\s({_NAME}|[A-ZÀ-ÖØ-Þ]\.\s{_CAP})"),
     ("regards signed sincerely yours thanks best love from", rf"\b(?i:regards|signed|sincerely|yours|thanks|best|love|from)\s?[,:]\s?((?:[A-ZÀ-ÖØ-Þ]\.\s){{1,2}}{_CAP}|{_NAME}|(?i:[^\W\d_]\.\s[^\W\d_]{{3,}}))"),
     ("ask asked speak attention care", rf"\b(?i:ask(?:ed)? for|speak (?:to|with)|attention of|care of|c/o)\s({_NAME})"),
     (_KIN.replace("|", " "), rf"\b(?i:(?:my|our|her|his|their)(?: \w+)?) (?:{_KIN})\s({_CAP}(?:\s{_CAP})?)(?=\s(?:has|had|is|was|suffers|takes|got|also|and|will)\b|\W*$|,)"),
-    ("patient", r"\b(?i:patient)\s([A-Z'’-]{2,},\s[A-Z'’-]{2,}(?:\s[A-Z]\.?)?)(?!\w)"),
+    ("patient", r"\b(?i:patient)\s([A-ZÀ-ÖØ-Þ'’-]{2,},\s[A-ZÀ-ÖØ-Þ'’-]{2,}(?:\s[A-Z]\.?)?)(?!\w)"),
     ("patient", rf"\b(?i:patient)\s({_CAP}\s{_CAP})(?=\s(?:was|is|has|had)\b)"),
     ("filled told wrote asked called signed phoned says said reported brought came lives visited complained mentioned sent recommended", rf"(?<![\w-])({_CAP}\s(?:[A-ZÀ-ÖØ-Þ]\.\s)?{_CAP})(?=,?\s(?:filled|told|wrote|asked|called|signed|phoned|says|said|reported|brought|came|lives|visited|complained|mentioned|sent|recommended)\b)"),
 ]
@@ -235,7 +235,7 @@ def candidates(text: str, gazetteer: Gazetteer) -> list[Span]:
             end = town.end() if town else m.end()
             before, after = text[max(0, m.start() - 40) : m.start()], text[m.end() : m.end() + 30]
             inside = {w.lower() for w in WORDS.findall(m.group())}
-            contrary = ADDRESS_CONTRARY.search(after) or not MEASURES.isdisjoint(inside)
+            contrary = (not m.group().endswith(".") and ADDRESS_CONTRARY.search(after)) or not MEASURES.isdisjoint(inside)
             out.append((m.start(), end, "address", (1, 1 if ADDRESS_CUE.search(before) else 0, 1 if town or re.search(r"(?i)\b(?:apt|suite|unit|flat|box)\b", m.group()) else 0, -1 if contrary else 0)))
             if not contrary:
                 taken.append((m.start(), end))
