@@ -38,7 +38,7 @@ from clinweave.plans.skew import join_by_key_stats, join_in_blocks
 COARSE = 4
 TOLERANCE = 10
 #: Classes of words of the fine grain (a power of two), and the least part of the longer text that shared fine chunks cover: an edit touches two chunks, three now and then, of little more than one word each.
-PHASES = 64
+PHASES = 256
 LEAST_SHARED = 1 - 5 / TOLERANCE
 #: Texts per fine chunk above which it is joined with 2 and with 4 following chunks.
 OFTEN, VERY_OFTEN = 32, 1024
