@@ -305,6 +305,24 @@ def prepare_summary(spark: SparkSession, folder: str) -> DataFrame:
     return splits.split_counts(reports.prepare(_table(spark, folder, "medquad_documents")).records)
 
 
+@_query
+def manifest_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """The counts and the validation of a prepared dataset's manifest."""
+    documents = _table(spark, folder, "medquad_documents")
+    made = reports.manifest(reports.prepare(documents), SplitConfig(), documents.count(), folder)
+    return _numbers(spark, made["summary"] | made["validation"])
+
+
+@_query
+def scan_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """The summary of a scan's report."""
+    return _numbers(spark, reports.scan_report(_files(spark, folder), _pairs(spark, folder), folder)["summary"])
+
+
+def _numbers(spark: SparkSession, found: dict) -> DataFrame:
+    return spark.createDataFrame([(k, v) for k, v in sorted(found.items()) if isinstance(v, int)], "name string, value long")
+
+
 # Chunks, embeddings and the vector collection
 
 
@@ -646,6 +664,18 @@ SQL: dict[str, str] = {
         {_LINKED}
         SELECT s.split, count(a.row_id) AS records, count(DISTINCT a.document_id) AS documents FROM (VALUES ('train'), ('validation'), ('test')) s(split) LEFT JOIN assigned a USING (split) GROUP BY 1
     """,
+    "manifest_counts": f"""
+        WITH RECURSIVE {_CANONICAL},
+        ranked AS (SELECT *, file_id AS row_id, row_number() OVER (PARTITION BY content_sha256 ORDER BY relative_path, coalesce(question_id, ''), coalesce(pair_id, ''), record_id, file_id) AS rn FROM canon),
+        {_LINKED}
+        SELECT 'xml_files' AS name, count(*) AS value FROM medquad_documents
+        UNION ALL SELECT 'canonical_records_before_deduplication', count(*) FROM canon UNION ALL SELECT 'canonical_records', count(*) FROM assigned
+        UNION ALL SELECT 'exact_duplicates_removed', (SELECT count(*) FROM canon) - (SELECT count(*) FROM assigned)
+        UNION ALL SELECT 'documents', count(DISTINCT document_id) FROM assigned UNION ALL SELECT 'split_components', count(DISTINCT component) FROM assigned
+        UNION ALL SELECT 'pii_records_redacted_before_deduplication', count(*) FROM canon WHERE len(types) > 0 UNION ALL SELECT 'pii_records_redacted', count(*) FROM assigned WHERE len(types) > 0
+        {" ".join(f"UNION ALL SELECT '{k}_overlap', (SELECT count(*) FROM (SELECT {v} FROM assigned GROUP BY 1 HAVING count(DISTINCT split) > 1))" for k, v in (("document_id", "document_id"), ("record_id", "record_id"), ("content_sha256", "content_sha256"), ("normalized_question", "q")))}
+    """,
+    "scan_counts": _STATS + " UNION ALL ".join([*(f"SELECT '{c}' AS name, sum({c})::BIGINT AS value FROM stats" for c in quality.COUNTERS), "SELECT 'collections_discovered', count(*) FROM stats", "SELECT 'rejection_records', sum(malformed_files + qa_pairs_rejected)::BIGINT FROM stats"]),
     "rejections": f"""
         WITH {_RAW} SELECT 'qa_pair' AS record_type, file_id, position, relative_path, collection, document_id, question_id, pair_id, nullif(question, '') AS question,
         concat_ws(',', CASE WHEN question = '' THEN 'missing_question' END, CASE WHEN answer = '' THEN 'missing_answer' END) AS reasons, NULL::VARCHAR AS error
