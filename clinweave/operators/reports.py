@@ -83,6 +83,7 @@ def manifest(prepared: Prepared, config: SplitConfig, n_files: int, source: str,
         "records_by_split": {s: counts[s].records for s in SPLITS},
         "documents_by_split": {s: counts[s].documents for s in SPLITS},
     }
+    # The names that the manifest's contract has for the strategies.
     strategies = {
         "split_unit": "document_question_component",
         "assignment_strategy": "sha256_seeded_component_threshold",

@@ -73,7 +73,7 @@ def test_seed_changes_and_repeats(spark):
 
 
 def test_types_in_order_of_appearance_and_synonyms(spark):
-    docs = documents(spark, [("p/x.xml", "SSN 123-45-6789", [pair(1, "mail a@b.co?", "fine")])]).withColumn("synonyms", F.array(F.lit(" s "), F.lit("s"), F.lit(""), F.lit("DOB: 1980-01-01")))
+    docs = documents(spark, [("p/x.xml", "SSN 541-72-3306", [pair(1, "mail a@b.co?", "fine")])]).withColumn("synonyms", F.array(F.lit(" s "), F.lit("s"), F.lit(""), F.lit("DOB: 1980-01-01")))
     r = canonical.canonicalize(canonical.raw_pairs(docs)).first()
     assert r.curation.pii_types == ["us_ssn", "email_address", "date_of_birth"] and r.synonyms == ["s", "DOB: [REDACTED_DATE_OF_BIRTH]"]
     assert r.curation.transformations == ["whitespace_normalized", "pii_redacted"]
