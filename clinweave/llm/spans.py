@@ -205,7 +205,7 @@ def _candidate_windows(batches: Iterable[pa.RecordBatch], least: int) -> Iterato
             np.add.at(want, np.clip(wanted.values.field("e").to_numpy(), 0, n), -1)
             at = np.flatnonzero(np.cumsum(want[:-1]) > 0)
             hs = [s.stretches(at, at + least) for s in _sums(codes, powers)]
-            for k, x in enumerate((np.full(len(at), i, np.int64), R.signed(hs[0]), R.signed(hs[1]), at.astype(np.int32))):
+            for k, x in enumerate((np.full(len(at), i, np.int64), R.signed(hs[0]), (hs[1] >> np.uint64(32)).astype(np.uint32).view(np.int32), at.astype(np.int32))):
                 out[k].append(x)
         if out[0]:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], names=["doc_id", "h", "g", "p"])
@@ -272,7 +272,8 @@ def shared_spans(documents: DataFrame, least: int = 200) -> DataFrame:
     wanted = _maximal(places.select("doc_id", (F.col("at") + F.col("lo_window")).alias("s"), (F.col("at") + F.col("hi_window") + 1).alias("e")))
     wanted = wanted.groupBy("doc_id").agg(F.collect_list(F.struct(F.col("span_start").cast("int").alias("s"), F.col("span_end").cast("int").alias("e"))).alias("wanted"))
     searched = texts.join(materialize(wanted, "core-places"), "doc_id").select("doc_id", "text", "wanted")
-    windows = materialize(searched.mapInArrow(lambda it: _candidate_windows(it, least), "doc_id bigint, h bigint, g bigint, p int"), "windows")
+    windows = materialize(searched.mapInArrow(lambda it: _candidate_windows(it, least), "doc_id bigint, h bigint, g int, p int"), "windows")
+    # 96 bits tell windows apart: a chance agreement is out of reach also for 10 ** 13 of them
     exact = _repeated(windows, ["h", "g"], "window-hashes").select("doc_id", F.col("p").alias("s"), (F.col("p") + least).alias("e"))
     found = exact.unionByName(runs.select("doc_id", "s", "e")).join(copies.select("doc_id"), "doc_id", "left_anti")
     found = materialize(_maximal(found), "stretches")
