@@ -22,8 +22,6 @@ from clinweave.plans.scratch import materialize
 FIELDS = ("question", "answer", "focus")
 #: First names up to which the gazetteer is sent to every executor; the rarer ones beyond it are joined to the rows whose texts hold them.
 MOST_SENT_NAMES = 200_000
-#: Candidates on which the span classifier is trained, about; the reliabilities use all candidates.
-TRAINING_SAMPLE = 50_000
 PLACEHOLDERS = {"email": "[REDACTED_EMAIL]", "phone": "[REDACTED_PHONE]", "id_number": "[REDACTED_ID_NUMBER]", "address": "[REDACTED_ADDRESS]", "name": "[REDACTED_NAME]"}
 LABELERS = ("format", "context", "gazetteer", "contrary")
 
@@ -282,11 +280,15 @@ def reliabilities(patterns: dict[tuple[int, ...], float], rounds: int = 60) -> t
     return logs, belief, prior
 
 
-def features(kind: str, votes: tuple[int, ...], shown: str) -> list[str]:
-    """What the span classifier sees of a candidate."""
-    n = _digits(shown)
-    words = len(shown.split())
-    return [f"{kind}", *(f"{kind} {name} {v}" for name, v in zip(LABELERS, votes, strict=True)), f"{kind} digits {min(n, 16)}", f"{kind} words {min(words, 6)}", f"{kind} capital {shown[:1].isupper()}"]
+def shape(shown: str) -> tuple[int, int, bool]:
+    """Digits (16 for more), words (6 for more) and whether it begins with a capital."""
+    return min(_digits(shown), 16), min(len(shown.split()), 6), shown[:1].isupper()
+
+
+def features(kind: str, votes: tuple[int, ...], shown: str | tuple[int, int, bool]) -> list[str]:
+    """What the span classifier sees of a candidate, given by its text or the text's shape."""
+    digits, words, capital = shape(shown) if isinstance(shown, str) else shown
+    return [f"{kind}", *(f"{kind} {name} {v}" for name, v in zip(LABELERS, votes, strict=True)), f"{kind} digits {digits}", f"{kind} words {words}", f"{kind} capital {capital}"]
 
 
 @dataclass
@@ -298,13 +300,13 @@ class SpanModel:
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
-def train(rows: list[tuple[list[str], float]], rounds: int = 300, rate: float = 0.5, decay: float = 1e-3) -> SpanModel:
-    """Logistic regression on soft labels by full-batch gradient steps; rows with equal features are merged first."""
+def train(rows: list[tuple[list[str], float, int]], rounds: int = 300, rate: float = 0.5, decay: float = 1e-3) -> SpanModel:
+    """Logistic regression on soft labels, each with the number of its candidates, by full-batch gradient steps; equal features are merged first."""
     merged: dict[tuple[str, ...], list[float]] = {}
-    for f, p in rows:
+    for f, p, times in rows:
         total = merged.setdefault(tuple(f), [0.0, 0.0])
-        total[0] += 1
-        total[1] += p
+        total[0] += times
+        total[1] += p * times
     names = sorted({x for f in merged for x in f})
     at = {x: i for i, x in enumerate(names)}
     x = np.zeros((len(merged), len(names)))
@@ -366,7 +368,7 @@ def gather_gazetteer(records: DataFrame) -> tuple[Gazetteer, DataFrame | None]:
     return sent, held.join(rest.select("name"), "name").groupBy("row_id").agg(F.collect_list("name").alias("own"))
 
 
-SPANS = "row_id bigint, field_name string, start int, stop int, pii_type string, votes array<tinyint>, shown string"
+SPANS = "row_id bigint, field_name string, start int, stop int, pii_type string, votes array<tinyint>, shown string, digits int, words int, capital boolean"
 
 
 def _with_names(records: DataFrame, own: DataFrame | None) -> DataFrame:
@@ -396,29 +398,36 @@ def candidate_spans(records: DataFrame, gazetteer: Gazetteer, own: DataFrame | N
     def label(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids = b.column(0).to_pylist()
-            rows = [(ids[r], FIELDS[c], s, e, kind, list(votes), b.column(1 + c)[r].as_py()[s:e]) for r, c, s, e, kind, votes in _candidates_of(b, sent.value)]
-            columns = list(zip(*rows, strict=True)) or [()] * 7
-            types = (pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.list_(pa.int8()), pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types, strict=True)], names=["row_id", "field_name", "start", "stop", "pii_type", "votes", "shown"])
+            rows = []
+            for r, c, s, e, kind, votes in _candidates_of(b, sent.value):
+                shown = b.column(1 + c)[r].as_py()[s:e]
+                rows.append((ids[r], FIELDS[c], s, e, kind, list(votes), shown, *shape(shown)))
+            columns = list(zip(*rows, strict=True)) or [()] * 10
+            types = (pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.list_(pa.int8()), pa.string(), pa.int32(), pa.int32(), pa.bool_())
+            names = ["row_id", "field_name", "start", "stop", "pii_type", "votes", "shown", "digits", "words", "capital"]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types, strict=True)], names=names)
 
     return _with_names(records, own).mapInArrow(label, SPANS)
 
 
 def fit_spans(spans: DataFrame) -> SpanModel:
-    """Reliabilities from the vote patterns of all candidates, then the classifier on a sample of candidates."""
-    counts = spans.groupBy("pii_type", "votes").agg(F.count("*").alias("n")).collect()  # at most 3 ** labelers patterns a type
+    """Reliabilities from the vote patterns of all candidates, then the classifier on all candidates.
+
+    Candidates with the same type, votes and shape are alike to the classifier, so only their counts reach the driver:
+    at most 5 types x 3 ** labelers votes x 17 x 7 x 2 shapes.
+    """
+    counts = spans.groupBy("pii_type", "votes", "digits", "words", "capital").agg(F.count("*").alias("n")).collect()
     belief: dict[tuple, float] = {}
     for kind in {r.pii_type for r in counts}:
-        patterns = {tuple(r.votes): float(r.n) for r in counts if r.pii_type == kind}
+        patterns: dict[tuple[int, ...], float] = {}
+        for r in counts:
+            if r.pii_type == kind:
+                patterns[tuple(r.votes)] = patterns.get(tuple(r.votes), 0.0) + r.n
         _, posterior, _ = reliabilities(patterns)
         belief |= {(kind, k): float(p) for k, p in zip(sorted(patterns), posterior, strict=True)}
-    total = sum(r.n for r in counts)
-    if not total:
+    if not counts:
         return SpanModel()
-    place = F.xxhash64("row_id", "field_name", "start")
-    bound = min(1.0, 2 * TRAINING_SAMPLE / total) * 2**31
-    sample = spans.filter(F.pmod(place, F.lit(2**31)) < bound).orderBy(place, "row_id", "field_name", "start", "stop").limit(TRAINING_SAMPLE).select("pii_type", "votes", "shown").collect()
-    return train([(features(r.pii_type, tuple(r.votes), r.shown), belief[r.pii_type, tuple(r.votes)]) for r in sample])
+    return train([(features(r.pii_type, tuple(r.votes), (r.digits, r.words, r.capital)), belief[r.pii_type, tuple(r.votes)], r.n) for r in counts])
 
 
 def accepted_spans(records: DataFrame, model: SpanModel | None = None, gazetteer: Gazetteer | None = None) -> DataFrame:
